@@ -133,7 +133,7 @@ ENRICHED = f"""complete_ids AS (SELECT * FROM cleaned_ids WHERE song <> '' AND a
 resolved AS {resolve('complete_ids', 'artist', 'song', False)},
 enriched_users AS (
   SELECT raw_tweet, processed_tweet, res_artist AS artist, res_song AS song, res_genre AS genre,
-         tweet_time, user_id
+         tweet_time, user_id, event_id
   FROM resolved WHERE res_artist IS NOT NULL),
 enriched AS (
   SELECT raw_tweet, processed_tweet, artist, song, genre, tweet_time FROM enriched_users)"""
@@ -176,3 +176,152 @@ BASE = [CATALOG, TWEETS, EXTRACTED, CLEANED, HITS, ENRICHED]
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+def _base(*more: str) -> str:
+    return with_(*BASE, *more)
+
+
+_CAT = with_(CATALOG)
+_ENRICHED_COLS = "raw_tweet, processed_tweet, artist, song, genre, tweet_time"
+_LINES_OK = "NOT (event_id % 50 = 0 OR event_id % 77 = 0 OR event_id % 91 = 0)"
+_TOPK_SONGS = """song_counts AS (SELECT genre, song, artist, count(*) AS count FROM enriched GROUP BY 1, 2, 3),
+top_songs AS (
+  SELECT genre, CAST(rank AS INTEGER) AS rank, song, artist, count FROM (
+    SELECT *, row_number() OVER (PARTITION BY genre ORDER BY count DESC, song, artist) AS rank
+    FROM song_counts) WHERE rank <= 10)"""
+_CHART = """chart AS (
+  SELECT genre, song, artist, CAST(chart_rank AS INTEGER) AS chart_rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY genre ORDER BY popularity DESC, song, artist) AS chart_rank
+    FROM (SELECT genre, song, artist, max(popularity) AS popularity FROM catalog GROUP BY 1, 2, 3))
+  WHERE chart_rank <= 10)"""
+_REGION = """user_region AS (
+  SELECT c.c_custkey AS user_id, r.r_name AS region
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN region r ON n.n_regionkey = r.r_regionkey),
+region_counts AS (
+  SELECT u.region, e.genre, CAST(sum(e.n) AS BIGINT) AS count
+  FROM (SELECT user_id, genre, count(*) AS n FROM enriched_users GROUP BY 1, 2) e
+  JOIN user_region u USING (user_id)
+  GROUP BY 1, 2)"""
+_FEED = """top_tracks AS (
+  SELECT genre, song, artist, rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY genre ORDER BY popularity DESC, track_id) AS rank
+    FROM catalog) WHERE rank <= 10),
+feed_labels AS (
+  SELECT genre, CAST(rank - 1 AS INTEGER) AS pos, song || ' - ' || artist AS label FROM top_tracks
+  UNION ALL SELECT genre, 10, song FROM top_tracks WHERE rank = 1
+  UNION ALL SELECT genre, 11, song || ' - ' || artist || ' - live' FROM top_tracks WHERE rank = 1),
+feed_rows AS (
+  SELECT d.genre_id, f.pos, f.label, CAST(len(string_split(f.label, ' - ')) AS INTEGER) AS n_parts,
+         string_split(f.label, ' - ')[1] AS song, string_split(f.label, ' - ')[2] AS artist
+  FROM feed_labels f JOIN genre_dim d ON lower(f.genre) = d.name)"""
+
+ORACLE: dict[str, str] = {
+    # scalar functions
+    "clean_text": f"SELECT doc_id, {tokens('text')} AS processed_text FROM documents",
+    "strip_text": f"SELECT doc_id, {strip('text')} AS stripped_text FROM documents",
+    "extract_song_artist": with_(CATALOG, TWEETS, EXTRACTED)
+    + f"SELECT event_id, {tokens('song_raw')} AS song, {tokens('artist_raw')} AS artist FROM extracted",
+    "lookup_key": _base() + f"SELECT event_id, {lookup_key('artist', 'song')} AS lookup_key FROM cleaned_ids",
+    "hour_label": "SELECT event_id, CAST(floor(epoch(ts)) AS INTEGER) AS tweet_time, "
+    + hour_label("floor(epoch(ts))")
+    + " AS hour_label FROM events",
+    "epoch_seconds": "SELECT event_id, CAST(CAST(floor(epoch_us(ts) / 1000) AS BIGINT) AS VARCHAR) AS timestamp_ms, "
+    "CAST(floor(epoch_us(ts) / 1000000) AS INTEGER) AS tweet_time FROM events",
+    # sources, projections, filters
+    "parse_tweets_json": with_(CATALOG, TWEETS)
+    + f"SELECT raw_tweet, tweet_time FROM tweets WHERE {_LINES_OK}",
+    "clean_tweets": _base() + "SELECT * FROM cleaned",
+    "complete_tweets": _base() + "SELECT * FROM cleaned WHERE song <> '' AND artist <> ''",
+    "hashtag_filter": with_(CATALOG, TWEETS)
+    + "SELECT 'tweets' AS source, event_id AS post_id FROM tweets WHERE contains(lower(raw_tweet), '#nowplaying') "
+    "UNION ALL SELECT 'documents', doc_id FROM documents WHERE contains(lower(text), '#nowplaying')",
+    "lang_filter": "SELECT doc_id, text FROM documents WHERE lang = 'en'",
+    "scan_cleaned": _base() + "SELECT * FROM cleaned",
+    "sink_roundtrip": _base() + "SELECT * FROM cleaned",
+    "preview_10": _base()
+    + f"SELECT {_ENRICHED_COLS} FROM enriched ORDER BY tweet_time, raw_tweet, processed_tweet, artist, song, genre LIMIT 10",
+    "hour_projection": _base() + f"SELECT artist, song, genre, {hour_label('tweet_time')} AS tweet_time FROM enriched",
+    # catalogue lookups and joins
+    "enrich_tweets": _base() + "SELECT * FROM enriched",
+    "catalog_best_hit": with_(CATALOG, HITS) + "SELECT key, artist, song, genre, track_id, popularity FROM hits",
+    "catalog_artist_top": with_(CATALOG, HITS) + "SELECT artist_key, artist, song, genre, track_id FROM tops",
+    "lookup_modes": with_(CATALOG, HITS, LOOKUP_REQUESTS)
+    + "SELECT * FROM " + resolve("lookup_requests", "artist_in", "song_in", True),
+    "lookup_artist_only": with_(CATALOG, HITS, LOOKUP_REQUESTS)
+    + "SELECT * FROM "
+    + resolve(f"(SELECT * FROM lookup_requests WHERE {strip('song_in')} = '' AND {strip('artist_in')} <> '')",
+              "artist_in", "song_in", True)
+    + " WHERE res_artist IS NOT NULL",
+    "lookup_song_only": with_(CATALOG, HITS, LOOKUP_REQUESTS)
+    + "SELECT * FROM "
+    + resolve(f"(SELECT * FROM lookup_requests WHERE {strip('artist_in')} = '' AND {strip('song_in')} <> '')",
+              "artist_in", "song_in", True)
+    + " WHERE res_artist IS NOT NULL",
+    "genre_dim_dedupe": with_(CATALOG, GENRE_DIM) + "SELECT name, genre_id FROM genre_dim",
+    "genre_lookup": with_(CATALOG, GENRE_DIM, GENRE_REQUESTS)
+    + "SELECT g.request_id, g.request, g.name, d.genre_id FROM genre_norm g JOIN genre_dim d USING (name)",
+    "genre_unknown": with_(CATALOG, GENRE_DIM, GENRE_REQUESTS)
+    + "SELECT g.request_id, g.request, g.name FROM genre_norm g ANTI JOIN genre_dim d USING (name)",
+    "feed_top_songs": with_(CATALOG, GENRE_DIM, GENRE_REQUESTS, _FEED)
+    + "SELECT n.name, n.genre_id, f.pos, f.label, f.n_parts, f.song, f.artist "
+    "FROM (SELECT DISTINCT g.name, d.genre_id FROM genre_norm g JOIN genre_dim d USING (name)) n "
+    "JOIN feed_rows f USING (genre_id)",
+    "chart_compare": _base(_TOPK_SONGS, _CHART)
+    + "SELECT genre, song, artist, t.rank AS tweet_rank, c.chart_rank, "
+    "CAST(c.chart_rank - t.rank AS INTEGER) AS rank_delta "
+    "FROM top_songs t FULL OUTER JOIN chart c USING (genre, song, artist)",
+    # aggregations and rankings
+    "genre_hour_count": _base(HOURLY)
+    + f"SELECT genre, {hour_label('hour_start')} AS tweet_time, count FROM hourly",
+    "kpi_counts": _base()
+    + "SELECT (SELECT count(*) FROM cleaned) AS raw_tweet, count(*) AS processed_tweet, count(song) AS song, "
+    "count(DISTINCT artist) AS artist, count(DISTINCT genre) AS genre, count(DISTINCT song) AS song_distinct "
+    "FROM enriched",
+    "kpi_long": _base(
+        """k AS (SELECT (SELECT count(*) FROM cleaned) AS raw_tweet, count(*) AS processed_tweet,
+               count(song) AS song, count(DISTINCT artist) AS artist, count(DISTINCT genre) AS genre,
+               count(DISTINCT song) AS song_distinct FROM enriched)"""
+    )
+    + "SELECT metric, CAST(value AS BIGINT) AS value FROM (UNPIVOT k ON raw_tweet, processed_tweet, song, "
+    "artist, genre, song_distinct INTO NAME metric VALUE value)",
+    "summary_lines": _base(HOURLY)
+    + f"SELECT {hour_label('hour_start')} || ',' || genre || ',' || CAST(count AS VARCHAR) AS line FROM hourly",
+    "distinct_artists": _base() + "SELECT DISTINCT artist FROM enriched",
+    "distinct_genres": _base() + "SELECT DISTINCT genre FROM enriched",
+    "genre_timeseries": _base(HOURLY)
+    + f"SELECT * FROM (PIVOT (SELECT hour_start, {hour_label('hour_start')} AS tweet_time, genre, count FROM hourly) "
+    "ON genre USING CAST(coalesce(sum(count), 0) AS BIGINT) GROUP BY hour_start, tweet_time)",
+    "top_genre_per_hour": _base(HOURLY)
+    + f"SELECT hour_start, {hour_label('hour_start')} AS tweet_time, genre, count FROM ("
+    "SELECT *, rank() OVER (PARTITION BY hour_start ORDER BY count DESC) AS rk FROM hourly) WHERE rk = 1",
+    "top10_songs_per_genre": _base(_TOPK_SONGS) + "SELECT * FROM top_songs",
+    "top10_artists_per_genre": _base()
+    + "SELECT genre, CAST(rank AS INTEGER) AS rank, artist, count FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY genre ORDER BY count DESC, artist) AS rank FROM ("
+    "SELECT genre, artist, count(*) AS count FROM enriched GROUP BY 1, 2)) WHERE rank <= 10",
+    "top10_songs_catalog": _CAT
+    + "SELECT genre, CAST(rank AS INTEGER) AS rank, track_id, song, artist, popularity FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY genre ORDER BY popularity DESC, track_id) AS rank FROM catalog) "
+    "WHERE rank <= 10",
+    "genre_region_count": _base(_REGION) + "SELECT region, genre, count FROM region_counts",
+    "top_genre_per_region": _base(_REGION)
+    + "SELECT region, genre, count FROM (SELECT *, rank() OVER (PARTITION BY region ORDER BY count DESC) AS rk "
+    "FROM region_counts) WHERE rk = 1",
+    # incremental
+    "incremental_after_hwm": _base()
+    + f"SELECT {_ENRICHED_COLS} FROM enriched WHERE tweet_time > "
+    f"(SELECT max(tweet_time) FROM enriched WHERE tweet_time < {PROCESSED_BEFORE})",
+    "incremental_first_run": _base() + f"SELECT {_ENRICHED_COLS} FROM enriched",
+    "enrich_incremental": _base() + f"SELECT {_ENRICHED_COLS} FROM enriched",
+    # streaming (compared through the sink)
+    "stream_ingest": with_(CATALOG, TWEETS) + f"SELECT raw_tweet, tweet_time FROM tweets WHERE {_LINES_OK}",
+    "stream_clean": _base()
+    + f"SELECT raw_tweet, processed_tweet, song, artist, tweet_time FROM cleaned_ids WHERE {_LINES_OK}",
+    "stream_enrich": _base()
+    + f"SELECT {_ENRICHED_COLS} FROM enriched_users WHERE {_LINES_OK}",
+    "stream_genre_hour": _base()
+    + f"SELECT genre, {hour_label(hour_start('tweet_time'))} AS tweet_time, count(*) AS count "
+    f"FROM enriched_users WHERE {_LINES_OK} GROUP BY 1, 2",
+}
