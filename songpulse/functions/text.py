@@ -32,8 +32,13 @@ EXTRACTION_PATTERNS = (
     r"(?id)#nowplaying(.*.)by(.*?)from",
     r"(?id)#nowplaying(.*.)-(.*.)",
     r"(?id)#nowplaying(.*.)by(.*.)",
-    r"(?id)(.*.)-(.*.)#nowplaying",
+    r"(?idm)^(.*.)-(.*.)#nowplaying",
 )
+# The last pattern carries a line-start anchor (``m`` + ``^``; with ``d`` only "\n" ends a
+# line). The unanchored form's leftmost match always starts at a line start, because any match
+# starting inside a line also matches from that line's start, so the groups are identical; the
+# anchor stops a backtracking engine from retrying every position of a post that does not
+# match (cubic work). The SQL oracle keeps the unanchored form.
 # ----------------------------------------------------------------------------------------------
 
 
@@ -62,18 +67,33 @@ def tokens(c: Column | str) -> Column:
     return strip(x)
 
 
-def _pick_group(text: Column, group: int) -> Column:
+def match_index(c: Column | str) -> Column:
+    """1-based index of the first pattern of the cascade that matches, 0 for none."""
+    text = _col(c)
     expr = None
-    for pattern in EXTRACTION_PATTERNS:
-        cond, val = text.rlike(pattern), F.regexp_extract(text, pattern, group)
-        expr = F.when(cond, val) if expr is None else expr.when(cond, val)
-    return expr.otherwise(F.lit(""))
+    for i, pattern in enumerate(EXTRACTION_PATTERNS, start=1):
+        cond = text.rlike(pattern)
+        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
+    return expr.otherwise(F.lit(0))
+
+
+def groups_of(c: Column | str, index: Column) -> Column:
+    """Struct ``(song, artist)`` of the raw groups of pattern ``index`` (``''`` for 0)."""
+    text = _col(c)
+
+    def group(g: int) -> Column:
+        expr = None
+        for i, pattern in enumerate(EXTRACTION_PATTERNS, start=1):
+            val = F.regexp_extract(text, pattern, g)
+            expr = F.when(index == i, val) if expr is None else expr.when(index == i, val)
+        return expr.otherwise(F.lit(""))
+
+    return F.struct(group(1).alias("song"), group(2).alias("artist"))
 
 
 def extract_raw(c: Column | str) -> Column:
     """Struct ``(song, artist)`` of the *uncleaned* groups of the first matching pattern."""
-    text = _col(c)
-    return F.struct(_pick_group(text, 1).alias("song"), _pick_group(text, 2).alias("artist"))
+    return groups_of(c, match_index(c))
 
 
 def extract_song_artist(c: Column | str) -> Column:

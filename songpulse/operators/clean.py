@@ -6,19 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from songpulse.functions import tokens
-from songpulse.functions.text import extract_raw
+from songpulse.functions.text import groups_of, match_index
 
 
 def clean_tweets(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """(raw_tweet, processed_tweet, song, artist, tweet_time[, keep...]) from
     (raw_tweet, tweet_time). Extraction runs on the raw text; each group is cleaned."""
-    # Two stages so the regex cascade runs once per row: first the raw groups, then cleaning.
-    staged = df.select(
+    # Staged so each regex runs once per row: which pattern matches, its raw groups, cleaning.
+    matched = df.select(
         "raw_tweet",
-        extract_raw("raw_tweet").alias("_g"),
+        match_index("raw_tweet").alias("_m"),
         F.col("tweet_time").cast("int").alias("tweet_time"),
         *keep,
     )
+    staged = matched.select(
+        "raw_tweet", groups_of("raw_tweet", F.col("_m")).alias("_g"), "tweet_time", *keep
+    )
     return staged.select(
         "raw_tweet",
         tokens("raw_tweet").alias("processed_tweet"),
@@ -31,5 +34,11 @@ def clean_tweets(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 def complete_tweets(df: DataFrame) -> DataFrame:
     """Rows naming both a song and an artist (empty string is the missing marker; NULL is
-    dropped as well)."""
-    return df.where((F.col("song") != "") & (F.col("artist") != ""))
+    dropped as well).
+
+    The rows are re-emitted through a one-row ``inline``: a filter on generated columns cannot
+    be pushed below the generator, so the optimizer does not copy the extraction expressions
+    of ``clean_tweets`` into the predicate (which would run every regex twice per row).
+    """
+    rows = df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
+    return rows.where((F.col("song") != "") & (F.col("artist") != ""))

@@ -6,12 +6,17 @@ functions for the arg-max steps) so that the two engines are independent impleme
 
 from __future__ import annotations
 
-from songpulse.functions.text import EXTRACTION_PATTERNS, NON_BLANK_RUN, PY2_WHITESPACE
+from songpulse.functions.text import NON_BLANK_RUN, PY2_WHITESPACE
 from songpulse.sources.fixtures import PROCESSED_BEFORE
 
 WS = "(" + " || ".join(f"chr({ord(c)})" for c in PY2_WHITESPACE) + ")"
 # RE2 has no UNIX_LINES flag; its "." already excludes only "\n".
-RE2_PATTERNS = [p.replace("(?id)", "(?i)") for p in EXTRACTION_PATTERNS]
+RE2_PATTERNS = [
+    r"(?i)#nowplaying(.*.)by(.*?)from",
+    r"(?i)#nowplaying(.*.)-(.*.)",
+    r"(?i)#nowplaying(.*.)by(.*.)",
+    r"(?i)(.*.)-(.*.)#nowplaying",
+]
 
 
 def strip(x: str) -> str:

@@ -29,6 +29,7 @@ from songpulse.operators import ranking, summary
 from songpulse.operators.clean import complete_tweets
 from songpulse.operators.incremental import append_enriched, enrich_new
 from songpulse.plans.pipeline import Pipeline
+from songpulse.plans.sizing import spread
 from songpulse.session import scratch_path
 from songpulse.sources import feed, fixtures, sinks
 from songpulse.sources.tweets import parse_tweets, read_cleaned, read_enriched
@@ -49,15 +50,19 @@ def query(name: str):
 # ---- scalar functions ------------------------------------------------------------------------
 
 
+def _documents(spark, sf):
+    return spread(Pipeline(spark, sf).t.documents, "doc_id")
+
+
 @query("clean_text")
 def q_clean_text(spark, sf):
-    docs = Pipeline(spark, sf).t.documents
+    docs = _documents(spark, sf)
     return docs.select("doc_id", tokens("text").alias("processed_text"))
 
 
 @query("strip_text")
 def q_strip_text(spark, sf):
-    docs = Pipeline(spark, sf).t.documents
+    docs = _documents(spark, sf)
     return docs.select("doc_id", strip("text").alias("stripped_text"))
 
 
@@ -113,7 +118,7 @@ def q_hashtag(spark, sf):
     posts = p.tweets.select(
         F.lit("tweets").alias("source"), F.col("event_id").alias("post_id"), F.col("raw_tweet").alias("text")
     ).unionByName(
-        p.t.documents.select(F.lit("documents").alias("source"), F.col("doc_id").alias("post_id"), "text")
+        _documents(spark, sf).select(F.lit("documents").alias("source"), F.col("doc_id").alias("post_id"), "text")
     )
     return posts.where(F.lower("text").contains("#nowplaying")).select("source", "post_id")
 

@@ -31,3 +31,19 @@ def maybe_broadcast(df: DataFrame, upper_bound_rows: int) -> DataFrame:
     if fits_broadcast(df.sparkSession, upper_bound_rows):
         return F.broadcast(df)
     return df
+
+
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Give CPU-heavy per-row work (regex cleaning) at least one partition per core.
+
+    ``scan`` must be a plain file scan: its partition count comes from the file splits without
+    running a job. A small input stored as one row group is one partition; it is then
+    hash-partitioned on ``key`` (deterministic on retry). At scale the scan already has more
+    splits than cores and this is a no-op, so no shuffle is added.
+    """
+    if scan.isStreaming:
+        return scan
+    target = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() < target:
+        return scan.repartition(target, key)
+    return scan

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -33,6 +34,9 @@ def build_session(
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # Local mode: the driver JVM is also the only executor, so give it the memory.
+        conf["spark.driver.memory"] = os.environ.get("SONGPULSE_DRIVER_MEMORY", "16g")
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)

@@ -40,8 +40,10 @@ def _cat(*parts: str | Column) -> Column:
 def tweets(events: DataFrame, part: DataFrame) -> DataFrame:
     """Posts (event_id, user_id, ts, raw_tweet, tweet_time): one per event, about the track
     ``event_id % count(part)``, written in one of eight shapes chosen by ``event_id % 8``."""
+    from songpulse.plans.sizing import spread
+
     n_parts = part.select(F.count(F.lit(1))).scalar()
-    ev = events.select(
+    ev = spread(events, "event_id").select(
         "event_id", "user_id", "ts", (F.col("event_id") % n_parts).alias("_pk")
     )
     tracks = part.select(
