@@ -10,18 +10,24 @@ from songpulse import schemas
 from songpulse.operators.catalog import enrich
 
 
-def high_water_mark(processed: DataFrame):
-    """``max(tweet_time)`` of the processed rows as a scalar-subquery column (NULL if empty)."""
-    return processed.select(F.max("tweet_time")).scalar()
+def high_water_mark(processed: DataFrame) -> int | None:
+    """``max(tweet_time)`` of the processed rows (one value; None when empty)."""
+    return processed.agg(F.max("tweet_time")).first()[0]
 
 
 def incremental_after(cleaned: DataFrame, processed: DataFrame | None) -> DataFrame:
     """Rows strictly newer than the mark. No sink, or an empty one (NULL mark), means
-    everything is new. Equal-second rows after a run are not taken, as in the original."""
+    everything is new. Equal-second rows after a run are not taken, as in the original.
+
+    The mark is a literal in the filter, so it is pushed into the parquet reader and row
+    groups wholly at or below the mark (earlier appends) are skipped from their statistics.
+    """
     if processed is None:
         return cleaned
     mark = high_water_mark(processed)
-    return cleaned.where(mark.isNull() | (F.col("tweet_time") > mark))
+    if mark is None:
+        return cleaned
+    return cleaned.where(F.col("tweet_time") > F.lit(mark))
 
 
 def read_if_exists(spark: SparkSession, path: str, schema=schemas.ENRICHED) -> DataFrame | None:
