@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from songpulse.functions import lookup_key, strip
-from songpulse.plans.sizing import fits_broadcast
+from songpulse.plans.sizing import fits_broadcast, row_bound
 
 RESULT = ("artist", "song", "genre", "track_id")
 
@@ -124,7 +124,7 @@ def _resolve(
         "_s", F.coalesce(strip(song), F.lit(""))
     )
     if strategy == "auto":
-        strategy = "broadcast" if fits_broadcast(cat.sparkSession, cat.count()) else "distinct"
+        strategy = "broadcast" if fits_broadcast(cat.sparkSession, row_bound(cat)) else "distinct"
     if strategy in ("broadcast", "direct"):
         out = _attach(req, cat, strategy == "broadcast", with_song_only)
         return out.select(*requests.columns, "_res")

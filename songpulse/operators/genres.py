@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from songpulse.functions import strip
-from songpulse.plans.sizing import maybe_broadcast
+from songpulse.plans.sizing import maybe_broadcast, row_bound
 from songpulse.sources.fixtures import genre_dim_raw
 
 
@@ -31,9 +31,9 @@ def _requests(requests: DataFrame, col: str) -> DataFrame:
 
 def lookup_genres(requests: DataFrame, dim: DataFrame, col: str = "request") -> DataFrame:
     """Requests with their genre id; unknown names drop out (see ``unknown_genres``)."""
-    return _requests(requests, col).join(maybe_broadcast(dim, dim.count()), "name", "inner")
+    return _requests(requests, col).join(maybe_broadcast(dim, row_bound(dim)), "name", "inner")
 
 
 def unknown_genres(requests: DataFrame, dim: DataFrame, col: str = "request") -> DataFrame:
     """Requests whose normalised name is not in the dictionary."""
-    return _requests(requests, col).join(maybe_broadcast(dim, dim.count()), "name", "left_anti")
+    return _requests(requests, col).join(maybe_broadcast(dim, row_bound(dim)), "name", "left_anti")

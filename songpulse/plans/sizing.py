@@ -17,8 +17,23 @@ def broadcast_max_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(BROADCAST_MAX_ROWS_CONF, str(DEFAULT_BROADCAST_MAX_ROWS)))
 
 
+_COUNTS: dict[tuple, int] = {}
+_SPLITS: dict[tuple, int] = {}
+
+
+def _key(df: DataFrame) -> tuple:
+    # The plan's semantic hash plus the files it reads: new or rewritten files (Spark writes
+    # new part-file names) give a new key. A stale entry could only change a broadcast or
+    # spreading decision, never a result.
+    return (df.semanticHash(), tuple(sorted(df.inputFiles())))
+
+
 def row_bound(df: DataFrame) -> int:
-    return df.count()
+    """Row count of ``df`` (remembered per plan and input files)."""
+    key = _key(df)
+    if key not in _COUNTS:
+        _COUNTS[key] = df.count()
+    return _COUNTS[key]
 
 
 def fits_broadcast(spark: SparkSession, upper_bound_rows: int) -> bool:
@@ -44,6 +59,9 @@ def spread(scan: DataFrame, key: str) -> DataFrame:
     if scan.isStreaming:
         return scan
     target = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() < target:
+    memo = _key(scan)
+    if memo not in _SPLITS:
+        _SPLITS[memo] = scan.rdd.getNumPartitions()
+    if _SPLITS[memo] < target:
         return scan.repartition(target, key)
     return scan

@@ -142,12 +142,12 @@ def genre_dim_raw(cat: DataFrame) -> DataFrame:
 
 def user_region(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """(user_id, region) through customer -> nation -> region."""
-    from songpulse.plans.sizing import maybe_broadcast
+    from songpulse.plans.sizing import maybe_broadcast, row_bound
 
     geo = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.col("n_nationkey"), F.col("r_name").alias("region")
     )
-    geo = maybe_broadcast(geo, nation.count())
+    geo = maybe_broadcast(geo, row_bound(nation))
     return customer.join(geo, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_custkey").alias("user_id"), "region"
     )

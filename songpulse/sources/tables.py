@@ -10,10 +10,20 @@ TABLES = (
 ).split()
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one driver table. Its schema is inferred once per path and then given to later
+    reads, which skips the footer-reading job; files are still listed on every read."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 class Tables:

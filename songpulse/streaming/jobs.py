@@ -17,7 +17,7 @@ from songpulse import schemas
 from songpulse.functions import hour_label
 from songpulse.operators.catalog import enrich
 from songpulse.operators.clean import clean_tweets
-from songpulse.plans.sizing import fits_broadcast
+from songpulse.plans.sizing import fits_broadcast, row_bound
 from songpulse.sources.tweets import parse_tweets, stream_tweet_lines
 
 DEFAULT_TRIGGER = "120 seconds"
@@ -71,7 +71,7 @@ def stream_clean(spark, landing, sink, checkpoint, max_files=1, **kw) -> Streami
 def _enriched_stream(spark, landing, cat, max_files) -> DataFrame:
     # Stream-static joins: the catalogue tables are static aggregates; broadcast them when the
     # catalogue row count allows, otherwise shuffle the micro-batch against them.
-    strategy = "broadcast" if fits_broadcast(spark, cat.count()) else "direct"
+    strategy = "broadcast" if fits_broadcast(spark, row_bound(cat)) else "direct"
     return enrich(clean_tweets(_parsed(spark, landing, max_files)), cat, strategy=strategy)
 
 

@@ -1,0 +1,35 @@
+"""The three jobs chained end to end over landed lines, as a user would run them."""
+
+from pyspark.sql import functions as F
+
+from songpulse import jobs, schemas, streaming
+from songpulse.operators.summary import genre_hour_count, summary_lines
+from songpulse.plans.pipeline import Pipeline
+from songpulse.session import scratch_path
+from songpulse.sources import fixtures, sinks
+from songpulse.sources.tweets import read_cleaned, read_enriched
+
+
+def test_clean_enrich_summarize(spark):
+    p = Pipeline(spark, "/root/testdata/sf0.001")
+    landing = scratch_path(spark, "landing")
+    streaming.land_lines(fixtures.tweet_lines(p.tweets), landing, 2)
+    cleaned, ckpt = scratch_path(spark, "cleaned"), scratch_path(spark, "ckpt")
+    jobs.clean_job(spark, landing, cleaned, ckpt, available_now=True)
+    catalog = scratch_path(spark, "catalog")
+    p.catalog.write.parquet(catalog)
+    enriched = scratch_path(spark, "enriched")
+    jobs.enrich_job(spark, cleaned, enriched, catalog)
+    jobs.enrich_job(spark, cleaned, enriched, catalog)  # nothing new the second time
+    out = scratch_path(spark, "out")
+    jobs.summarize_job(spark, cleaned, enriched, out)
+
+    c = read_cleaned(spark, cleaned)
+    e = read_enriched(spark, enriched)
+    assert schemas.matches(c, schemas.CLEANED) and schemas.matches(e, schemas.ENRICHED)
+    assert e.count() == e.distinct().count() > 0
+    lines = sorted(r[0] for r in sinks.read_summary_lines(spark, f"{out}/summary").collect())
+    assert lines == sorted(r[0] for r in summary_lines(genre_hour_count(e)).collect())
+    kpis = {r["metric"]: r["value"] for r in sinks.read_kpis(spark, f"{out}/kpis").collect()}
+    assert kpis["raw_tweet"] == c.count() and kpis["processed_tweet"] == kpis["song"] == e.count()
+    assert kpis["genre"] == e.select("genre").distinct().count()
