@@ -20,11 +20,14 @@ splits a skewed join partition.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from songpulse.functions import lookup_key, strip
 from songpulse.plans.sizing import fits_broadcast, row_bound
+from songpulse.session import checkpoint_root
 
 RESULT = ("artist", "song", "genre", "track_id")
 
@@ -84,7 +87,36 @@ def _as_result(df: DataFrame, key: str, name: str) -> DataFrame:
     return df.select(F.col(key), F.struct(*[F.col(c) for c in RESULT]).alias(name))
 
 
-def _attach(req: DataFrame, cat: DataFrame, broadcast: bool, with_song_only: bool) -> DataFrame:
+@dataclass(frozen=True)
+class CatalogIndex:
+    """The three lookup tables of a catalogue plus a row bound on each (the catalogue size)."""
+
+    hits: DataFrame
+    song_hits: DataFrame
+    tops: DataFrame
+    row_bound: int
+
+
+def catalog_index(cat: DataFrame, materialize: bool = False) -> CatalogIndex:
+    """Lookup tables of ``cat``. With ``materialize`` each is computed once and checkpointed
+    into ``spark.checkpoint.dir`` (lineage cut), for plans that re-run often, e.g. every
+    micro-batch of a stream-static join."""
+    tables = [
+        _as_result(best_hits(cat), "key", "_hit"),
+        _as_result(song_hits(cat), "song_key", "_song_hit"),
+        _as_result(artist_top(cat), "artist_key", "_top"),
+    ]
+    if materialize:
+        checkpoint_root(cat.sparkSession)
+        tables = [t.checkpoint(eager=True) for t in tables]
+    return CatalogIndex(*tables, row_bound=row_bound(cat))
+
+
+def _index(cat: DataFrame | CatalogIndex) -> CatalogIndex:
+    return cat if isinstance(cat, CatalogIndex) else catalog_index(cat)
+
+
+def _attach(req: DataFrame, idx: CatalogIndex, broadcast: bool, with_song_only: bool) -> DataFrame:
     """Add ``_res`` (struct of RESULT or NULL) to a frame with stripped ``_a``, ``_s``.
 
     Without the song-only mode (enrichment) a request needs both names; an incomplete one gets
@@ -93,51 +125,56 @@ def _attach(req: DataFrame, cat: DataFrame, broadcast: bool, with_song_only: boo
     """
     a, s = F.col("_a"), F.col("_s")
     both = (a != "") & (s != "")
-    x = req.withColumn("_pk", F.when(both, F.lower(F.concat(a, F.lit(" "), s)))).withColumn(
-        "_ak", F.when((a != "") if with_song_only else both, F.lower(a))
-    )
+    keys = [
+        F.when(both, F.lower(F.concat(a, F.lit(" "), s))).alias("_pk"),
+        F.when((a != "") if with_song_only else both, F.lower(a)).alias("_ak"),
+    ]
+    if with_song_only:
+        keys.append(F.when((a == "") & (s != ""), F.lower(s)).alias("_sk"))
+    x = req.select("*", *keys)
     hint = F.broadcast if broadcast else (lambda d: d)
-    x = x.join(hint(_as_result(best_hits(cat), "key", "_hit")), x["_pk"] == F.col("key"), "left")
+    x = x.join(hint(idx.hits), x["_pk"] == F.col("key"), "left")
     picks = [F.col("_hit")]
     if with_song_only:
-        x = x.withColumn("_sk", F.when((a == "") & (s != ""), F.lower(s)))
-        x = x.join(
-            hint(_as_result(song_hits(cat), "song_key", "_song_hit")),
-            x["_sk"] == F.col("song_key"),
-            "left",
-        )
+        x = x.join(hint(idx.song_hits), x["_sk"] == F.col("song_key"), "left")
         picks.append(F.col("_song_hit"))
-    x = x.join(hint(_as_result(artist_top(cat), "artist_key", "_top")), x["_ak"] == F.col("artist_key"), "left")
+    x = x.join(hint(idx.tops), x["_ak"] == F.col("artist_key"), "left")
     picks.append(F.col("_top"))
-    return x.withColumn("_res", F.coalesce(*picks))
+    return x.select("*", F.coalesce(*picks).alias("_res"))
 
 
 def _resolve(
     requests: DataFrame,
-    cat: DataFrame,
+    cat: DataFrame | CatalogIndex,
     artist: str,
     song: str,
     with_song_only: bool,
     strategy: str,
+    how: str = "left",
 ) -> DataFrame:
-    req = requests.withColumn("_a", F.coalesce(strip(artist), F.lit(""))).withColumn(
-        "_s", F.coalesce(strip(song), F.lit(""))
+    idx = _index(cat)
+    req = requests.select(
+        "*",
+        F.coalesce(strip(artist), F.lit("")).alias("_a"),
+        F.coalesce(strip(song), F.lit("")).alias("_s"),
     )
     if strategy == "auto":
-        strategy = "broadcast" if fits_broadcast(cat.sparkSession, row_bound(cat)) else "distinct"
+        strategy = "broadcast" if fits_broadcast(req.sparkSession, idx.row_bound) else "distinct"
     if strategy in ("broadcast", "direct"):
-        out = _attach(req, cat, strategy == "broadcast", with_song_only)
+        out = _attach(req, idx, strategy == "broadcast", with_song_only)
         return out.select(*requests.columns, "_res")
     if strategy != "distinct":
         raise ValueError(f"unknown strategy {strategy!r}")
     keys = req.select("_a", "_s").distinct()
-    resolved = _attach(keys, cat, False, with_song_only).select("_a", "_s", "_res")
-    return req.join(resolved, ["_a", "_s"], "left").select(*requests.columns, "_res")
+    resolved = _attach(keys, idx, False, with_song_only).select("_a", "_s", "_res")
+    if how == "inner":
+        resolved = resolved.where(F.col("_res").isNotNull())
+    return req.join(resolved, ["_a", "_s"], how).select(*requests.columns, "_res")
 
 
 def lookup(
     requests: DataFrame,
-    cat: DataFrame,
+    cat: DataFrame | CatalogIndex,
     artist: str = "artist",
     song: str = "song",
     keep_unmatched: bool = False,
@@ -145,7 +182,8 @@ def lookup(
 ) -> DataFrame:
     """Requests plus resolved (artist, song, genre, track_id) under ``res_*`` names.
     Unresolved requests are dropped unless ``keep_unmatched`` (then the results are NULL)."""
-    out = _resolve(requests, cat, artist, song, True, strategy)
+    how = "left" if keep_unmatched else "inner"
+    out = _resolve(requests, cat, artist, song, True, strategy, how)
     if not keep_unmatched:
         out = out.where(F.col("_res").isNotNull())
     return out.select(
@@ -155,7 +193,7 @@ def lookup(
 
 def enrich(
     cleaned: DataFrame,
-    cat: DataFrame,
+    cat: DataFrame | CatalogIndex,
     keep: tuple[str, ...] = (),
     strategy: str = "auto",
 ) -> DataFrame:
@@ -163,7 +201,7 @@ def enrich(
     from cleaned rows. Rows without both song and artist, and rows the catalogue cannot
     resolve, are dropped (so a prior ``complete_tweets`` filter is optional)."""
     base = cleaned.select("raw_tweet", "processed_tweet", "artist", "song", "tweet_time", *keep)
-    out = _resolve(base, cat, "artist", "song", False, strategy).where(F.col("_res").isNotNull())
+    out = _resolve(base, cat, "artist", "song", False, strategy, "inner").where(F.col("_res").isNotNull())
     return out.select(
         "raw_tweet",
         "processed_tweet",

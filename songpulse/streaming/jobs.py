@@ -15,9 +15,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from songpulse import schemas
 from songpulse.functions import hour_label
-from songpulse.operators.catalog import enrich
+from songpulse.operators.catalog import catalog_index, enrich
 from songpulse.operators.clean import clean_tweets
-from songpulse.plans.sizing import fits_broadcast, row_bound
+from songpulse.plans.sizing import fits_broadcast
 from songpulse.sources.tweets import parse_tweets, stream_tweet_lines
 
 DEFAULT_TRIGGER = "120 seconds"
@@ -69,10 +69,12 @@ def stream_clean(spark, landing, sink, checkpoint, max_files=1, **kw) -> Streami
 
 
 def _enriched_stream(spark, landing, cat, max_files) -> DataFrame:
-    # Stream-static joins: the catalogue tables are static aggregates; broadcast them when the
-    # catalogue row count allows, otherwise shuffle the micro-batch against them.
-    strategy = "broadcast" if fits_broadcast(spark, row_bound(cat)) else "direct"
-    return enrich(clean_tweets(_parsed(spark, landing, max_files)), cat, strategy=strategy)
+    # Stream-static joins. The catalogue lookup tables are aggregated once when the query
+    # starts and checkpointed (not re-aggregated every micro-batch); they are broadcast when
+    # the catalogue row count allows, otherwise each micro-batch is shuffled against them.
+    idx = catalog_index(cat, materialize=True)
+    strategy = "broadcast" if fits_broadcast(spark, idx.row_bound) else "direct"
+    return enrich(clean_tweets(_parsed(spark, landing, max_files)), idx, strategy=strategy)
 
 
 def stream_enrich(spark, landing, sink, checkpoint, cat, max_files=1, **kw) -> StreamingQuery:
