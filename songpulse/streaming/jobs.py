@@ -36,16 +36,32 @@ def run_to_sink(
     available_now: bool = True,
     processing_time: str = DEFAULT_TRIGGER,
     foreach_batch=None,
+    start_conf: dict[str, str] | None = None,
 ) -> StreamingQuery:
     """Start the query into a parquet sink (or ``foreach_batch``); with ``available_now`` wait
-    until every landed file is processed and return the finished query."""
+    until every landed file is processed and return the finished query.
+
+    ``start_conf`` is set on the session only around ``start()``: the query runs on a clone of
+    the session conf taken there, and the checkpoint keeps it for restarts.
+    """
     w = stream.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     if foreach_batch is not None:
         w = w.foreachBatch(foreach_batch)
     else:
         w = w.format("parquet").option("path", sink)
-    q = w.start()
+    spark = stream.sparkSession
+    saved = {k: spark.conf.get(k, None) for k in (start_conf or {})}
+    try:
+        for k, v in (start_conf or {}).items():
+            spark.conf.set(k, v)
+        q = w.start()
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     if available_now:
         q.awaitTermination()
         if q.exception() is not None:
@@ -97,14 +113,31 @@ def genre_hour_stream(enriched: DataFrame, watermark: str = "2 hours") -> DataFr
     )
 
 
+STATE_PARTITIONS = 32
+
+
 def stream_genre_hour(
-    spark, landing, sink, checkpoint, cat, max_files=1, output_mode="complete", watermark="2 hours", **kw
+    spark,
+    landing,
+    sink,
+    checkpoint,
+    cat,
+    max_files=1,
+    output_mode="complete",
+    watermark="2 hours",
+    state_partitions=STATE_PARTITIONS,
+    **kw,
 ) -> StreamingQuery:
     """Hourly genre counts as a continuous result.
 
     ``complete`` rewrites the (hours x genres bounded) result each batch through
     ``foreachBatch``; ``append`` emits an hour once the watermark passes it, to the file sink.
+    The state holds one row per (hour, genre) and counts arrive partially aggregated, so the
+    state gets its own, small partition count instead of the cluster's shuffle partitions
+    (thousands of state stores per micro-batch would cost more than the state itself).
     """
+    if state_partitions:
+        kw.setdefault("start_conf", {"spark.sql.shuffle.partitions": str(state_partitions)})
     counts = genre_hour_stream(_enriched_stream(spark, landing, cat, max_files), watermark)
     if output_mode == "complete":
         def overwrite(batch: DataFrame, batch_id: int) -> None:
