@@ -70,10 +70,25 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct()
 
 
-def genre_timeseries(hourly: DataFrame) -> DataFrame:
+def genre_values(genres: DataFrame, col: str = "genre") -> list[str]:
+    """Sorted distinct genre names of a dimension, for pivot columns. At most
+    ``spark.sql.pivotMaxValues`` are fetched; more is an error, not a truncation."""
+    limit = int(genres.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
+    rows = genres.select(col).where(F.col(col).isNotNull()).distinct().limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} genres; too many pivot columns")
+    return sorted(r[0] for r in rows)
+
+
+def genre_timeseries(hourly: DataFrame, genres: list[str] | None = None) -> DataFrame:
     """One row per hour (hour_start, tweet_time label) and one count column per genre, 0 where
-    a genre had no post. Spark bounds the pivot values (``spark.sql.pivotMaxValues``)."""
-    wide = hourly.groupBy("hour_start").pivot("genre").agg(F.sum("count")).na.fill(0)
+    a genre had no post.
+
+    Pass ``genres`` (e.g. ``genre_values(catalogue)``) to name the columns from the dimension;
+    without it Spark first runs a distinct job over ``hourly`` itself, which recomputes the
+    whole upstream plan.
+    """
+    wide = hourly.groupBy("hour_start").pivot("genre", genres).agg(F.sum("count")).na.fill(0)
     genre_cols = [c for c in wide.columns if c != "hour_start"]
     return wide.select(
         "hour_start",

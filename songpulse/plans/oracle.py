@@ -295,8 +295,13 @@ ORACLE: dict[str, str] = {
     + f"SELECT {hour_label('hour_start')} || ',' || genre || ',' || CAST(count AS VARCHAR) AS line FROM hourly",
     "distinct_artists": _base() + "SELECT DISTINCT artist FROM enriched",
     "distinct_genres": _base() + "SELECT DISTINCT genre FROM enriched",
+    # Columns are the catalogue's genres: zero rows at an existing hour add a column for a
+    # genre without posts and change no sum.
     "genre_timeseries": _base(HOURLY)
-    + f"SELECT * FROM (PIVOT (SELECT hour_start, {hour_label('hour_start')} AS tweet_time, genre, count FROM hourly) "
+    + "SELECT * FROM (PIVOT (SELECT hour_start, "
+    + hour_label("hour_start")
+    + " AS tweet_time, genre, count FROM (SELECT * FROM hourly UNION ALL "
+    "SELECT genre, (SELECT min(hour_start) FROM hourly), 0 FROM (SELECT DISTINCT genre FROM catalog))) "
     "ON genre USING CAST(coalesce(sum(count), 0) AS BIGINT) GROUP BY hour_start, tweet_time)",
     "top_genre_per_hour": _base(HOURLY)
     + f"SELECT hour_start, {hour_label('hour_start')} AS tweet_time, genre, count FROM ("

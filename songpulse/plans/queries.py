@@ -274,7 +274,9 @@ def q_distinct_genres(spark, sf):
 
 @query("genre_timeseries")
 def q_timeseries(spark, sf):
-    return summary.genre_timeseries(summary.hourly_genre_counts(Pipeline(spark, sf).enriched))
+    p = Pipeline(spark, sf)
+    hourly = summary.hourly_genre_counts(p.enriched)
+    return summary.genre_timeseries(hourly, summary.genre_values(p.catalog))
 
 
 @query("top_genre_per_hour")
