@@ -34,7 +34,8 @@ def tokens(x: str) -> str:
 
 
 def lookup_key(a: str, s: str) -> str:
-    return f"lower({strip(f'coalesce({strip(a)}, {chr(39)}{chr(39)}) || {chr(39)} {chr(39)} || coalesce({strip(s)}, {chr(39)}{chr(39)})')})"
+    joined = f"coalesce({strip(a)}, '') || ' ' || coalesce({strip(s)}, '')"
+    return f"lower({strip(joined)})"
 
 
 def hour_label(t: str) -> str:

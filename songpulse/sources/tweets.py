@@ -25,6 +25,23 @@ def parse_tweets(df: DataFrame, value_col: str = "value", keep: tuple[str, ...]
     return parsed.where(F.col("raw_tweet").isNotNull() & F.col("tweet_time").isNotNull())
 
 
+def line_status(df: DataFrame, value_col: str = "value") -> DataFrame:
+    """Adds ``status`` saying what ``parse_tweets`` does with each line: ``ok``, ``blank``,
+    ``not_json``, ``no_text`` (e.g. a limit notice) or ``bad_time``. Dropped lines stay
+    countable: ``line_status(lines).groupBy("status").count()``."""
+    v = F.col(value_col)
+    p = F.from_json(v, schemas.TWEET_LINE_DDL)
+    is_object = F.coalesce(F.try_parse_json(v).isNotNull() & F.startswith(F.ltrim(v), F.lit("{")), F.lit(False))
+    status = (
+        F.when(v.isNull() | (F.trim(v) == ""), "blank")
+        .when(~is_object, "not_json")
+        .when(p["text"].isNull(), "no_text")
+        .when(epoch_seconds(p["timestamp_ms"]).isNull(), "bad_time")
+        .otherwise("ok")
+    )
+    return df.withColumn("status", status)
+
+
 def read_tweet_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
