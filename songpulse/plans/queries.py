@@ -26,7 +26,6 @@ from songpulse.functions.text import extract_song_artist
 from songpulse.operators import catalog as catalog_ops
 from songpulse.operators import genres as genre_ops
 from songpulse.operators import ranking, summary
-from songpulse.operators.clean import complete_tweets
 from songpulse.operators.incremental import append_enriched, enrich_new
 from songpulse.plans.pipeline import Pipeline
 from songpulse.plans.sizing import spread

@@ -1,7 +1,6 @@
 """Catalogue lookups: the original's seven smoke cases, strategies agree, genre dictionary."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from songpulse.operators.catalog import artist_top, best_hits, enrich, lookup
 from songpulse.operators.genres import dedupe_last, lookup_genres, unknown_genres

@@ -1,8 +1,6 @@
 """High-water-mark runs: first run, empty sink, strict mark, re-run idempotence."""
 
 import pytest
-from pyspark.errors import AnalysisException
-from pyspark.sql import functions as F
 
 from songpulse import schemas
 from songpulse.operators.incremental import append_enriched, incremental_after, read_if_exists

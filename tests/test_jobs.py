@@ -1,6 +1,5 @@
 """The three jobs chained end to end over landed lines, as a user would run them."""
 
-from pyspark.sql import functions as F
 
 from songpulse import jobs, schemas, streaming
 from songpulse.operators.summary import genre_hour_count, summary_lines
