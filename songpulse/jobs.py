@@ -25,13 +25,16 @@ def read_catalog(spark: SparkSession, path: str):
     return schemas.conform(spark.read.parquet(path), schemas.CATALOG)
 
 
-def clean_job(spark, landing, sink, checkpoint, max_files=1, available_now=False):
+def clean_job(spark, landing, sink, checkpoint, max_files=1, available_now=False, partition_by_day=False):
     """Runs until stopped (processing-time trigger) unless ``available_now``."""
-    return stream_clean(spark, landing, sink, checkpoint, max_files=max_files, available_now=available_now)
+    return stream_clean(
+        spark, landing, sink, checkpoint, max_files=max_files, available_now=available_now,
+        partition_by_day=partition_by_day,
+    )
 
 
-def enrich_job(spark, cleaned_path, sink, catalog_path):
-    append_enriched(spark, cleaned_path, sink, read_catalog(spark, catalog_path))
+def enrich_job(spark, cleaned_path, sink, catalog_path, partition_by_day=False):
+    append_enriched(spark, cleaned_path, sink, read_catalog(spark, catalog_path), partition_by_day)
 
 
 def summarize_job(spark, cleaned_path, enriched_path, out_dir, mode="errorifexists"):
@@ -51,10 +54,12 @@ def main(argv=None) -> None:
     c.add_argument("checkpoint")
     c.add_argument("--max-files-per-trigger", type=int, default=1)
     c.add_argument("--available-now", action="store_true")
+    c.add_argument("--partition-by-day", action="store_true")
     e = sub.add_parser("enrich")
     e.add_argument("cleaned")
     e.add_argument("sink")
     e.add_argument("catalog")
+    e.add_argument("--partition-by-day", action="store_true")
     s = sub.add_parser("summarize")
     s.add_argument("cleaned")
     s.add_argument("enriched")
@@ -63,11 +68,13 @@ def main(argv=None) -> None:
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"songpulse-{a.job}").getOrCreate()
     if a.job == "clean":
-        q = clean_job(spark, a.landing, a.sink, a.checkpoint, a.max_files_per_trigger, a.available_now)
+        q = clean_job(
+            spark, a.landing, a.sink, a.checkpoint, a.max_files_per_trigger, a.available_now, a.partition_by_day
+        )
         if not a.available_now:
             q.awaitTermination()
     elif a.job == "enrich":
-        enrich_job(spark, a.cleaned, a.sink, a.catalog)
+        enrich_job(spark, a.cleaned, a.sink, a.catalog, a.partition_by_day)
     else:
         summarize_job(spark, a.cleaned, a.enriched, a.out_dir, "overwrite" if a.overwrite else "errorifexists")
 

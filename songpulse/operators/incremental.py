@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +13,25 @@ from songpulse import schemas
 from songpulse.operators.catalog import enrich
 
 
+def _latest_day(processed: DataFrame) -> str | None:
+    """Newest ``day=`` partition among the files the read already listed (no data read)."""
+    days = [m.group(1) for f in processed.inputFiles() if (m := re.search(r"/day=([0-9-]+)/", f))]
+    return max(days) if days else None
+
+
 def high_water_mark(processed: DataFrame) -> int | None:
-    """``max(tweet_time)`` of the processed rows (one value; None when empty)."""
+    """``max(tweet_time)`` of the processed rows (one value; None when empty).
+
+    On a day-partitioned sink only the newest day is read: it holds the maximum, because the
+    day is derived from ``tweet_time``.
+    """
+    if schemas.DAY in processed.columns:
+        day = _latest_day(processed)
+        if day is not None:
+            newest = processed.where(F.col(schemas.DAY) == F.lit(day).cast("date"))
+            mark = newest.agg(F.max("tweet_time")).first()[0]
+            if mark is not None:
+                return mark
     return processed.agg(F.max("tweet_time")).first()[0]
 
 
@@ -21,13 +41,18 @@ def incremental_after(cleaned: DataFrame, processed: DataFrame | None) -> DataFr
 
     The mark is a literal in the filter, so it is pushed into the parquet reader and row
     groups wholly at or below the mark (earlier appends) are skipped from their statistics.
+    A day-partitioned input is also pruned to the partitions from the mark's day on.
     """
     if processed is None:
         return cleaned
     mark = high_water_mark(processed)
     if mark is None:
         return cleaned
-    return cleaned.where(F.col("tweet_time") > F.lit(mark))
+    cond = F.col("tweet_time") > F.lit(mark)
+    if schemas.DAY in cleaned.columns:
+        mark_day = datetime.date(1970, 1, 1) + datetime.timedelta(days=mark // 86400)
+        cond = (F.col(schemas.DAY) >= F.lit(mark_day)) & cond
+    return cleaned.where(cond)
 
 
 def read_if_exists(spark: SparkSession, path: str, schema=schemas.ENRICHED) -> DataFrame | None:
@@ -45,13 +70,23 @@ def enrich_new(cleaned: DataFrame, processed: DataFrame | None, cat: DataFrame)
     return enrich(incremental_after(cleaned, processed), cat)
 
 
-def append_enriched(spark: SparkSession, cleaned_path: str, sink_path: str, cat: DataFrame) -> None:
+def append_enriched(
+    spark: SparkSession,
+    cleaned_path: str,
+    sink_path: str,
+    cat: DataFrame,
+    partition_by_day: bool = False,
+) -> None:
     """One incremental run: read the cleaned table, append what is new to the sink.
 
     A re-run after a failure appends nothing twice: committed rows raise the mark, and a job
-    that failed before its commit left no files behind.
+    that failed before its commit left no files behind. With ``partition_by_day`` the sink is
+    written in ``day=`` partitions (a day-partitioned cleaned input is read the same way).
     """
     cleaned = spark.read.schema(schemas.CLEANED).parquet(cleaned_path)
     processed = read_if_exists(spark, sink_path)
     new = schemas.conform(enrich_new(cleaned, processed, cat), schemas.ENRICHED)
-    new.write.mode("append").parquet(sink_path)
+    if partition_by_day:
+        schemas.with_day(new).write.mode("append").partitionBy(schemas.DAY).parquet(sink_path)
+    else:
+        new.write.mode("append").parquet(sink_path)

@@ -97,6 +97,14 @@ FEED = StructType(
 )
 
 
+DAY = "day"
+
+
+def with_day(df: DataFrame) -> DataFrame:
+    """Adds ``day`` (UTC calendar date of ``tweet_time``) for day-partitioned sinks."""
+    return df.withColumn(DAY, F.date_from_unix_date(F.floor(F.col("tweet_time") / 86400).cast("int")))
+
+
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Select the schema's columns by name, in schema order, cast to the schema's types."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -37,6 +37,7 @@ def run_to_sink(
     processing_time: str = DEFAULT_TRIGGER,
     foreach_batch=None,
     start_conf: dict[str, str] | None = None,
+    partition_by: list[str] | None = None,
 ) -> StreamingQuery:
     """Start the query into a parquet sink (or ``foreach_batch``); with ``available_now`` wait
     until every landed file is processed and return the finished query.
@@ -50,6 +51,8 @@ def run_to_sink(
         w = w.foreachBatch(foreach_batch)
     else:
         w = w.format("parquet").option("path", sink)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
     spark = stream.sparkSession
     saved = {k: spark.conf.get(k, None) for k in (start_conf or {})}
     try:
@@ -78,10 +81,13 @@ def stream_ingest(spark, landing, sink, checkpoint, max_files=1, **kw) -> Stream
     return run_to_sink(schemas.conform(_parsed(spark, landing, max_files), schemas.RAW_TWEET), sink, checkpoint, **kw)
 
 
-def stream_clean(spark, landing, sink, checkpoint, max_files=1, **kw) -> StreamingQuery:
-    """Landed lines -> cleaned table parquet."""
-    cleaned = clean_tweets(_parsed(spark, landing, max_files))
-    return run_to_sink(schemas.conform(cleaned, schemas.CLEANED), sink, checkpoint, **kw)
+def stream_clean(spark, landing, sink, checkpoint, max_files=1, partition_by_day=False, **kw) -> StreamingQuery:
+    """Landed lines -> cleaned table parquet (optionally in ``day=`` partitions, which lets the
+    incremental enrichment prune by date)."""
+    cleaned = schemas.conform(clean_tweets(_parsed(spark, landing, max_files)), schemas.CLEANED)
+    if partition_by_day:
+        return run_to_sink(schemas.with_day(cleaned), sink, checkpoint, partition_by=[schemas.DAY], **kw)
+    return run_to_sink(cleaned, sink, checkpoint, **kw)
 
 
 def _enriched_stream(spark, landing, cat, max_files) -> DataFrame:

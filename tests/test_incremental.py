@@ -44,3 +44,28 @@ def test_rerun_appends_nothing(spark):
     n1 = read_enriched(spark, sink).count()
     append_enriched(spark, cleaned_path, sink, p.catalog)
     assert read_enriched(spark, sink).count() == n1 == p.enriched.count()
+
+
+def test_day_partitioned_run_prunes_and_matches(spark):
+    from songpulse.operators.incremental import enrich_new, high_water_mark
+    from songpulse.sources.tweets import read_cleaned
+
+    p = Pipeline(spark, SF)
+    cleaned = schemas.conform(p.cleaned, schemas.CLEANED)
+    early_path, full_path = scratch_path(spark, "early"), scratch_path(spark, "full")
+    from pyspark.sql import functions as F
+
+    schemas.with_day(cleaned.where(F.col("tweet_time") < 1705363200)).write.partitionBy("day").parquet(early_path)
+    schemas.with_day(cleaned).write.partitionBy("day").parquet(full_path)
+    sink = scratch_path(spark, "enriched")
+    append_enriched(spark, early_path, sink, p.catalog, partition_by_day=True)
+    processed = read_enriched(spark, sink)
+    assert "day" in processed.columns
+    assert high_water_mark(processed) == processed.agg(F.max("tweet_time")).first()[0]
+    new = enrich_new(read_cleaned(spark, full_path), processed, p.catalog)
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "(day#" in plan
+    append_enriched(spark, full_path, sink, p.catalog, partition_by_day=True)
+    append_enriched(spark, full_path, sink, p.catalog, partition_by_day=True)
+    got = sorted(map(tuple, read_enriched(spark, sink).drop("day").collect()))
+    assert got == sorted(map(tuple, p.enriched.collect()))

@@ -9,22 +9,26 @@ from songpulse.sources import fixtures, sinks
 from songpulse.sources.tweets import read_cleaned, read_enriched
 
 
-def test_clean_enrich_summarize(spark):
+import pytest
+
+
+@pytest.mark.parametrize("by_day", [False, True])
+def test_clean_enrich_summarize(spark, by_day):
     p = Pipeline(spark, "/root/testdata/sf0.001")
     landing = scratch_path(spark, "landing")
     streaming.land_lines(fixtures.tweet_lines(p.tweets), landing, 2)
     cleaned, ckpt = scratch_path(spark, "cleaned"), scratch_path(spark, "ckpt")
-    jobs.clean_job(spark, landing, cleaned, ckpt, available_now=True)
+    jobs.clean_job(spark, landing, cleaned, ckpt, available_now=True, partition_by_day=by_day)
     catalog = scratch_path(spark, "catalog")
     p.catalog.write.parquet(catalog)
     enriched = scratch_path(spark, "enriched")
-    jobs.enrich_job(spark, cleaned, enriched, catalog)
-    jobs.enrich_job(spark, cleaned, enriched, catalog)  # nothing new the second time
+    jobs.enrich_job(spark, cleaned, enriched, catalog, by_day)
+    jobs.enrich_job(spark, cleaned, enriched, catalog, by_day)  # nothing new the second time
     out = scratch_path(spark, "out")
     jobs.summarize_job(spark, cleaned, enriched, out)
 
-    c = read_cleaned(spark, cleaned)
-    e = read_enriched(spark, enriched)
+    c = read_cleaned(spark, cleaned).drop("day")
+    e = read_enriched(spark, enriched).drop("day")
     assert schemas.matches(c, schemas.CLEANED) and schemas.matches(e, schemas.ENRICHED)
     assert e.count() == e.distinct().count() > 0
     lines = sorted(r[0] for r in sinks.read_summary_lines(spark, f"{out}/summary").collect())
