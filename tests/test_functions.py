@@ -96,3 +96,35 @@ def test_functions_stay_in_codegen(spark):
     df = spark.range(3).select(F.col("id").cast("string").alias("x")).select(tokens("x"), extract_song_artist("x"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def test_hour_label_random_against_python(spark):
+    import random
+    import time
+
+    rnd = random.Random(7)
+    vals = [rnd.randint(-2208988800, 4102444799) for _ in range(500)]  # 1900 .. 2099
+    want = [time.strftime("%d %b %Y-%H", time.gmtime(t)) for t in vals]
+    assert _one(spark, hour_label("x"), vals, "x bigint") == want
+
+
+def test_epoch_from_ntz_random_any_zone(spark):
+    import datetime
+    import random
+
+    from songpulse.functions import epoch_ms_from_ntz, epoch_seconds_from_ntz
+
+    rnd = random.Random(11)
+    epoch = datetime.datetime(1970, 1, 1)
+    stamps = [epoch + datetime.timedelta(microseconds=rnd.randint(0, 2_100_000_000_000_000)) for _ in range(300)]  # int seconds: up to 2036
+    stamps += [datetime.datetime(2024, 3, 10, 2, 30, 0, 999), datetime.datetime(2024, 11, 3, 1, 30)]
+    df = spark.createDataFrame([(s,) for s in stamps], "x timestamp_ntz")
+    want = [((s - epoch) // datetime.timedelta(seconds=1), (s - epoch) // datetime.timedelta(milliseconds=1)) for s in stamps]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            got = [(r[0], r[1]) for r in df.select(epoch_seconds_from_ntz("x"), epoch_ms_from_ntz("x")).collect()]
+            assert got == want, tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
