@@ -58,10 +58,13 @@ def spread(scan: DataFrame, key: str) -> DataFrame:
     """
     if scan.isStreaming:
         return scan
-    target = scan.sparkSession.sparkContext.defaultParallelism
-    memo = _key(scan)
-    if memo not in _SPLITS:
-        _SPLITS[memo] = scan.rdd.getNumPartitions()
+    try:
+        target = scan.sparkSession.sparkContext.defaultParallelism
+        memo = _key(scan)
+        if memo not in _SPLITS:
+            _SPLITS[memo] = scan.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session exposes no RDDs: leave the plan as is
+        return scan
     if _SPLITS[memo] < target:
         return scan.repartition(target, key)
     return scan

@@ -51,12 +51,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     Only when the session names none (a local test) is a private folder made and registered.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    if root:
+        try:  # DataFrame.checkpoint() needs the context to know the folder too
+            if not spark.sparkContext.getCheckpointDir():
+                spark.sparkContext.setCheckpointDir(root)
+        except Exception:  # no SparkContext on this kind of session
+            pass
+        return root
+    root = spark.sparkContext.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="songpulse-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
+    spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 
