@@ -87,6 +87,9 @@ def append_enriched(
     processed = read_if_exists(spark, sink_path)
     new = schemas.conform(enrich_new(cleaned, processed, cat), schemas.ENRICHED)
     if partition_by_day:
-        schemas.with_day(new).write.mode("append").partitionBy(schemas.DAY).parquet(sink_path)
+        # Rebalance on the partition column: AQE merges small days and splits big ones to the
+        # advisory size, so each day gets a few right-sized files, not one per task.
+        out = schemas.with_day(new).hint("rebalance", schemas.DAY)
+        out.write.mode("append").partitionBy(schemas.DAY).parquet(sink_path)
     else:
         new.write.mode("append").parquet(sink_path)
