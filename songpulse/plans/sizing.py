@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_MAX_ROWS_CONF = "songpulse.broadcast.maxRows"
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+# A lookup-table row holds a key and four short fields (~100-200 bytes), so 1M rows is a
+# broadcast of roughly 100-200 MB to every executor.
+DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 
 
 def broadcast_max_rows(spark: SparkSession) -> int:
