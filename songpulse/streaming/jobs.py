@@ -139,11 +139,13 @@ def stream_genre_hour(
     ``complete`` rewrites the (hours x genres bounded) result each batch through
     ``foreachBatch``; ``append`` emits an hour once the watermark passes it, to the file sink.
     The state holds one row per (hour, genre) and counts arrive partially aggregated, so the
-    state gets its own, small partition count instead of the cluster's shuffle partitions
-    (thousands of state stores per micro-batch would cost more than the state itself).
+    state gets at most ``state_partitions`` partitions instead of the cluster's shuffle
+    partitions (thousands of state stores per micro-batch would cost more than the state).
     """
     if state_partitions:
-        kw.setdefault("start_conf", {"spark.sql.shuffle.partitions": str(state_partitions)})
+        current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        parts = min(current, state_partitions)
+        kw.setdefault("start_conf", {"spark.sql.shuffle.partitions": str(parts)})
     counts = genre_hour_stream(_enriched_stream(spark, landing, cat, max_files), watermark)
     if output_mode == "complete":
         def overwrite(batch: DataFrame, batch_id: int) -> None:
