@@ -9,6 +9,11 @@ from songpulse import schemas
 from songpulse.functions import epoch_seconds
 
 
+# Stricter than Spark's defaults, closer to a standard JSON parser: no single-quoted strings.
+# (Content after a complete object, e.g. '{...} xyz', is still ignored rather than rejected.)
+JSON_OPTIONS = {"allowSingleQuotes": "false"}
+
+
 def parse_tweets(df: DataFrame, value_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Parse JSON post lines from any batch or streaming DataFrame with a string column.
 
@@ -16,7 +21,7 @@ def parse_tweets(df: DataFrame, value_col: str = "value", keep: tuple[str, ...]
     dropped one by one (the rest of the batch is kept). ``tweet_time`` is epoch ms floored to
     seconds.
     """
-    p = F.from_json(F.col(value_col), schemas.TWEET_LINE_DDL)
+    p = F.from_json(F.col(value_col), schemas.TWEET_LINE_DDL, JSON_OPTIONS)
     parsed = df.select(p.alias("_p"), *keep).select(
         F.col("_p.text").alias("raw_tweet"),
         epoch_seconds(F.col("_p.timestamp_ms")).alias("tweet_time"),
@@ -28,13 +33,13 @@ def parse_tweets(df: DataFrame, value_col: str = "value", keep: tuple[str, ...]
 def line_status(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Adds ``status`` saying what ``parse_tweets`` does with each line: ``ok``, ``blank``,
     ``not_json``, ``no_text`` (e.g. a limit notice) or ``bad_time``. Dropped lines stay
-    countable: ``line_status(lines).groupBy("status").count()``."""
+    countable: ``line_status(lines).groupBy("status").count()``. A single-quoted object counts
+    as ``no_text``."""
     v = F.col(value_col)
-    p = F.from_json(v, schemas.TWEET_LINE_DDL)
-    is_object = F.coalesce(F.try_parse_json(v).isNotNull() & F.startswith(F.ltrim(v), F.lit("{")), F.lit(False))
+    p = F.from_json(v, schemas.TWEET_LINE_DDL, JSON_OPTIONS)
     status = (
         F.when(v.isNull() | (F.trim(v) == ""), "blank")
-        .when(~is_object, "not_json")
+        .when(F.json_object_keys(v).isNull(), "not_json")
         .when(p["text"].isNull(), "no_text")
         .when(epoch_seconds(p["timestamp_ms"]).isNull(), "bad_time")
         .otherwise("ok")

@@ -14,6 +14,9 @@ LINES = [
     ("   ", "blank", None),
     ("not json", "not_json", None),
     ("[1,2]", "not_json", None),
+    ("{'timestamp_ms':'1000','text':'x'}", "no_text", None),
+    ('{"timestamp_ms":"1000","text":"a","text":"b"}', "ok", ("b", 1)),
+    ('{"timestamp_ms":"1000","text":"a",}', "not_json", None),
 ]
 
 
