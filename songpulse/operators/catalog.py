@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from songpulse.functions import lookup_key, strip
+from songpulse.operators.clean import where_computed
 from songpulse.plans.sizing import fits_broadcast, row_bound
 from songpulse.session import checkpoint_root
 
@@ -165,6 +166,9 @@ def _resolve(
         return out.select(*requests.columns, "_res")
     if strategy != "distinct":
         raise ValueError(f"unknown strategy {strategy!r}")
+    if not with_song_only and how == "inner":
+        # Enrichment: requests without both names cannot resolve; drop them before the shuffle.
+        req = where_computed(req, (F.col("_a") != "") & (F.col("_s") != ""))
     keys = req.select("_a", "_s").distinct()
     resolved = _attach(keys, idx, False, with_song_only).select("_a", "_s", "_res")
     if how == "inner":

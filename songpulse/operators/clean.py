@@ -32,13 +32,18 @@ def clean_tweets(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def complete_tweets(df: DataFrame) -> DataFrame:
-    """Rows naming both a song and an artist (empty string is the missing marker; NULL is
-    dropped as well).
+def where_computed(df: DataFrame, cond) -> DataFrame:
+    """``df.where(cond)`` where ``cond`` reads columns computed by expensive expressions.
 
     The rows are re-emitted through a one-row ``inline``: a filter on generated columns cannot
-    be pushed below the generator, so the optimizer does not copy the extraction expressions
-    of ``clean_tweets`` into the predicate (which would run every regex twice per row).
+    be pushed below the generator, so the optimizer does not copy those expressions (e.g. the
+    regex cascade of ``clean_tweets``) into the predicate, which would run them twice per row.
     """
-    rows = df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
-    return rows.where((F.col("song") != "") & (F.col("artist") != ""))
+    rows = df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+    return rows.where(cond)
+
+
+def complete_tweets(df: DataFrame) -> DataFrame:
+    """Rows naming both a song and an artist (empty string is the missing marker; NULL is
+    dropped as well)."""
+    return where_computed(df, (F.col("song") != "") & (F.col("artist") != ""))
