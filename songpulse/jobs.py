@@ -1,4 +1,4 @@
-"""The three jobs of the pipeline, runnable with spark-submit or ``python -m songpulse.jobs``.
+"""The three jobs (clean, enrich, summarize), runnable with spark-submit or ``python -m songpulse.jobs``.
 
   clean     <landing dir> <cleaned sink> <checkpoint>   stream post lines -> cleaned parquet
   enrich    <cleaned dir> <enriched sink> <catalog>     incremental catalogue enrichment

@@ -15,7 +15,7 @@ from songpulse.sources import fixtures
 from songpulse.sources.tables import Tables
 
 
-class Pipeline:
+class Derived:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir

@@ -27,7 +27,7 @@ from songpulse.operators import catalog as catalog_ops
 from songpulse.operators import genres as genre_ops
 from songpulse.operators import ranking, summary
 from songpulse.operators.incremental import append_enriched, enrich_new
-from songpulse.plans.pipeline import Pipeline
+from songpulse.plans.derived import Derived
 from songpulse.plans.sizing import spread
 from songpulse.session import scratch_path
 from songpulse.sources import feed, fixtures, sinks
@@ -50,7 +50,7 @@ def query(name: str):
 
 
 def _documents(spark, sf):
-    return spread(Pipeline(spark, sf).t.documents, "doc_id")
+    return spread(Derived(spark, sf).t.documents, "doc_id")
 
 
 @query("clean_text")
@@ -67,27 +67,27 @@ def q_strip_text(spark, sf):
 
 @query("extract_song_artist")
 def q_extract(spark, sf):
-    tw = Pipeline(spark, sf).tweets
+    tw = Derived(spark, sf).tweets
     e = tw.select("event_id", extract_song_artist("raw_tweet").alias("e"))
     return e.select("event_id", F.col("e.song").alias("song"), F.col("e.artist").alias("artist"))
 
 
 @query("lookup_key")
 def q_lookup_key(spark, sf):
-    c = Pipeline(spark, sf).cleaned_ids
+    c = Derived(spark, sf).cleaned_ids
     return c.select("event_id", lookup_key("artist", "song").alias("lookup_key"))
 
 
 @query("hour_label")
 def q_hour_label(spark, sf):
-    ev = Pipeline(spark, sf).t.events
+    ev = Derived(spark, sf).t.events
     t = epoch_seconds_from_ntz("ts")
     return ev.select("event_id", t.alias("tweet_time"), hour_label(t).alias("hour_label"))
 
 
 @query("epoch_seconds")
 def q_epoch_seconds(spark, sf):
-    ev = Pipeline(spark, sf).t.events
+    ev = Derived(spark, sf).t.events
     ms = epoch_ms_from_ntz("ts").cast("string")
     return ev.select("event_id", ms.alias("timestamp_ms"), epoch_seconds(ms).alias("tweet_time"))
 
@@ -97,23 +97,23 @@ def q_epoch_seconds(spark, sf):
 
 @query("parse_tweets_json")
 def q_parse(spark, sf):
-    p = Pipeline(spark, sf)
+    p = Derived(spark, sf)
     return parse_tweets(fixtures.tweet_lines(p.tweets))
 
 
 @query("clean_tweets")
 def q_clean(spark, sf):
-    return Pipeline(spark, sf).cleaned
+    return Derived(spark, sf).cleaned
 
 
 @query("complete_tweets")
 def q_complete(spark, sf):
-    return Pipeline(spark, sf).complete
+    return Derived(spark, sf).complete
 
 
 @query("hashtag_filter")
 def q_hashtag(spark, sf):
-    p = Pipeline(spark, sf)
+    p = Derived(spark, sf)
     posts = p.tweets.select(
         F.lit("tweets").alias("source"), F.col("event_id").alias("post_id"), F.col("raw_tweet").alias("text")
     ).unionByName(
@@ -124,13 +124,13 @@ def q_hashtag(spark, sf):
 
 @query("lang_filter")
 def q_lang(spark, sf):
-    return Pipeline(spark, sf).t.documents.where(F.col("lang") == "en").select("doc_id", "text")
+    return Derived(spark, sf).t.documents.where(F.col("lang") == "en").select("doc_id", "text")
 
 
 @query("scan_cleaned")
 def q_scan_cleaned(spark, sf):
     path = scratch_path(spark, "cleaned")
-    schemas.conform(Pipeline(spark, sf).cleaned, schemas.CLEANED).write.parquet(path)
+    schemas.conform(Derived(spark, sf).cleaned, schemas.CLEANED).write.parquet(path)
     return read_cleaned(spark, path)
 
 
@@ -138,7 +138,7 @@ def q_scan_cleaned(spark, sf):
 def q_sink_roundtrip(spark, sf):
     """Two appends (before / from the split day) read back as one table."""
     path = scratch_path(spark, "cleaned-append")
-    cleaned = schemas.conform(Pipeline(spark, sf).cleaned, schemas.CLEANED)
+    cleaned = schemas.conform(Derived(spark, sf).cleaned, schemas.CLEANED)
     sinks.append_parquet(cleaned.where(F.col("tweet_time") < fixtures.PROCESSED_BEFORE), path)
     sinks.append_parquet(cleaned.where(F.col("tweet_time") >= fixtures.PROCESSED_BEFORE), path)
     return read_cleaned(spark, path)
@@ -148,13 +148,13 @@ def q_sink_roundtrip(spark, sf):
 def q_preview(spark, sf):
     """The first ten enriched rows by time (a top-k report: the limit is the feature), with
     every column as tie-break so the ten are deterministic."""
-    e = Pipeline(spark, sf).enriched
+    e = Derived(spark, sf).enriched
     return e.orderBy("tweet_time", "raw_tweet", "processed_tweet", "artist", "song", "genre").limit(10)
 
 
 @query("hour_projection")
 def q_hour_projection(spark, sf):
-    return summary.hour_projection(Pipeline(spark, sf).enriched)
+    return summary.hour_projection(Derived(spark, sf).enriched)
 
 
 # ---- catalogue lookups and joins ---------------------------------------------------------------
@@ -162,21 +162,21 @@ def q_hour_projection(spark, sf):
 
 @query("enrich_tweets")
 def q_enrich(spark, sf):
-    return Pipeline(spark, sf).enriched
+    return Derived(spark, sf).enriched
 
 
 @query("catalog_best_hit")
 def q_best_hit(spark, sf):
-    return catalog_ops.best_hits(Pipeline(spark, sf).catalog)
+    return catalog_ops.best_hits(Derived(spark, sf).catalog)
 
 
 @query("catalog_artist_top")
 def q_artist_top(spark, sf):
-    return catalog_ops.artist_top(Pipeline(spark, sf).catalog)
+    return catalog_ops.artist_top(Derived(spark, sf).catalog)
 
 
 def _lookups(spark, sf, where=None, keep_unmatched=False):
-    cat = Pipeline(spark, sf).catalog
+    cat = Derived(spark, sf).catalog
     req = fixtures.lookup_requests(cat)
     if where is not None:
         req = req.where(where)
@@ -200,19 +200,19 @@ def q_lookup_song(spark, sf):
 
 @query("genre_dim_dedupe")
 def q_genre_dim(spark, sf):
-    return genre_ops.genre_dim(Pipeline(spark, sf).catalog)
+    return genre_ops.genre_dim(Derived(spark, sf).catalog)
 
 
 @query("genre_lookup")
 def q_genre_lookup(spark, sf):
-    cat = Pipeline(spark, sf).catalog
+    cat = Derived(spark, sf).catalog
     out = genre_ops.lookup_genres(fixtures.genre_requests(cat), genre_ops.genre_dim(cat))
     return out.select("request_id", "request", "name", "genre_id")
 
 
 @query("genre_unknown")
 def q_genre_unknown(spark, sf):
-    cat = Pipeline(spark, sf).catalog
+    cat = Derived(spark, sf).catalog
     out = genre_ops.unknown_genres(fixtures.genre_requests(cat), genre_ops.genre_dim(cat))
     return out.select("request_id", "request", "name")
 
@@ -220,7 +220,7 @@ def q_genre_unknown(spark, sf):
 @query("feed_top_songs")
 def q_feed(spark, sf):
     """Requested genre names -> genre id -> landed feed document -> [song, artist] rows."""
-    cat = Pipeline(spark, sf).catalog
+    cat = Derived(spark, sf).catalog
     dim = genre_ops.genre_dim(cat)
     path = scratch_path(spark, "feed")
     feed.write_feed_docs(feed.build_feed_docs(cat, dim), path)
@@ -230,7 +230,7 @@ def q_feed(spark, sf):
 
 @query("chart_compare")
 def q_chart_compare(spark, sf):
-    p = Pipeline(spark, sf)
+    p = Derived(spark, sf)
     return ranking.chart_compare(ranking.top_songs_per_genre(p.enriched), ranking.external_chart(p.catalog))
 
 
@@ -239,18 +239,18 @@ def q_chart_compare(spark, sf):
 
 @query("genre_hour_count")
 def q_genre_hour(spark, sf):
-    return summary.genre_hour_count(Pipeline(spark, sf).enriched)
+    return summary.genre_hour_count(Derived(spark, sf).enriched)
 
 
 @query("kpi_counts")
 def q_kpis(spark, sf):
-    p = Pipeline(spark, sf)
+    p = Derived(spark, sf)
     return summary.kpi_counts(p.cleaned, p.enriched)
 
 
 @query("kpi_long")
 def q_kpi_long(spark, sf):
-    p = Pipeline(spark, sf)
+    p = Derived(spark, sf)
     path = scratch_path(spark, "kpis")
     sinks.write_kpis(summary.kpi_long(summary.kpi_counts(p.cleaned, p.enriched)), path)
     return sinks.read_kpis(spark, path)
@@ -259,51 +259,51 @@ def q_kpi_long(spark, sf):
 @query("summary_lines")
 def q_summary_lines(spark, sf):
     path = scratch_path(spark, "summary")
-    sinks.write_summary_lines(summary.summary_lines(summary.genre_hour_count(Pipeline(spark, sf).enriched)), path)
+    sinks.write_summary_lines(summary.summary_lines(summary.genre_hour_count(Derived(spark, sf).enriched)), path)
     return sinks.read_summary_lines(spark, path)
 
 
 @query("distinct_artists")
 def q_distinct_artists(spark, sf):
-    return summary.distinct_values(Pipeline(spark, sf).enriched, "artist")
+    return summary.distinct_values(Derived(spark, sf).enriched, "artist")
 
 
 @query("distinct_genres")
 def q_distinct_genres(spark, sf):
-    return summary.distinct_values(Pipeline(spark, sf).enriched, "genre")
+    return summary.distinct_values(Derived(spark, sf).enriched, "genre")
 
 
 @query("genre_timeseries")
 def q_timeseries(spark, sf):
-    p = Pipeline(spark, sf)
+    p = Derived(spark, sf)
     hourly = summary.hourly_genre_counts(p.enriched)
     return summary.genre_timeseries(hourly, summary.genre_values(p.catalog))
 
 
 @query("top_genre_per_hour")
 def q_top_genre_hour(spark, sf):
-    best = ranking.top_genre_per_hour(summary.hourly_genre_counts(Pipeline(spark, sf).enriched))
+    best = ranking.top_genre_per_hour(summary.hourly_genre_counts(Derived(spark, sf).enriched))
     return best.select("hour_start", hour_label("hour_start").alias("tweet_time"), "genre", "count")
 
 
 @query("top10_songs_per_genre")
 def q_top_songs(spark, sf):
-    return ranking.top_songs_per_genre(Pipeline(spark, sf).enriched)
+    return ranking.top_songs_per_genre(Derived(spark, sf).enriched)
 
 
 @query("top10_artists_per_genre")
 def q_top_artists(spark, sf):
-    return ranking.top_artists_per_genre(Pipeline(spark, sf).enriched)
+    return ranking.top_artists_per_genre(Derived(spark, sf).enriched)
 
 
 @query("top10_songs_catalog")
 def q_top_catalog(spark, sf):
-    top = ranking.top_tracks_by_popularity(Pipeline(spark, sf).catalog)
+    top = ranking.top_tracks_by_popularity(Derived(spark, sf).catalog)
     return top.select("genre", "rank", "track_id", "song", "artist", "popularity")
 
 
 def _region_counts(spark, sf):
-    p = Pipeline(spark, sf)
+    p = Derived(spark, sf)
     users = fixtures.user_region(p.t.customer, p.t.nation, p.t.region)
     return ranking.genre_region_count(p.enriched_users, users)
 
@@ -321,7 +321,7 @@ def q_top_region(spark, sf):
 # ---- incremental -----------------------------------------------------------------------------
 
 
-def _processed_sink(spark, p: Pipeline) -> str:
+def _processed_sink(spark, p: Derived) -> str:
     """Enriched rows of the days before the split, written as the existing sink."""
     path = scratch_path(spark, "enriched")
     early = p.enriched.where(F.col("tweet_time") < fixtures.PROCESSED_BEFORE)
@@ -331,14 +331,14 @@ def _processed_sink(spark, p: Pipeline) -> str:
 
 @query("incremental_after_hwm")
 def q_incremental(spark, sf):
-    p = Pipeline(spark, sf)
+    p = Derived(spark, sf)
     processed = read_enriched(spark, _processed_sink(spark, p))
     return schemas.conform(enrich_new(p.cleaned, processed, p.catalog), schemas.ENRICHED)
 
 
 @query("incremental_first_run")
 def q_first_run(spark, sf):
-    p = Pipeline(spark, sf)
+    p = Derived(spark, sf)
     cleaned_path = scratch_path(spark, "cleaned")
     schemas.conform(p.cleaned, schemas.CLEANED).write.parquet(cleaned_path)
     sink = scratch_path(spark, "enriched")
@@ -349,7 +349,7 @@ def q_first_run(spark, sf):
 @query("enrich_incremental")
 def q_enrich_incremental(spark, sf):
     """Run 1 sees the days before the split, run 2 sees everything; the sink ends complete."""
-    p = Pipeline(spark, sf)
+    p = Derived(spark, sf)
     cleaned = schemas.conform(p.cleaned, schemas.CLEANED)
     early, full = scratch_path(spark, "cleaned-early"), scratch_path(spark, "cleaned-full")
     cleaned.where(F.col("tweet_time") < fixtures.PROCESSED_BEFORE).write.parquet(early)
@@ -365,14 +365,14 @@ def q_enrich_incremental(spark, sf):
 STREAM_FILES = 4
 
 
-def _landed(spark, p: Pipeline) -> str:
+def _landed(spark, p: Derived) -> str:
     path = scratch_path(spark, "landing")
     streaming.land_lines(fixtures.tweet_lines(p.tweets), path, STREAM_FILES)
     return path
 
 
 def _stream(spark, sf, job, with_catalog=False):
-    p = Pipeline(spark, sf)
+    p = Derived(spark, sf)
     landing = _landed(spark, p)
     sink, ckpt = scratch_path(spark, "sink"), scratch_path(spark, "stream-ckpt")
     if with_catalog:

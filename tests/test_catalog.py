@@ -71,18 +71,18 @@ def test_enrich_drops_incomplete_and_unresolved(spark, cat):
 
 
 def test_strategies_agree_on_fixture(spark):
-    from songpulse.plans.pipeline import Pipeline
+    from songpulse.plans.derived import Derived
 
-    p = Pipeline(spark, "/root/testdata/sf0.001")
+    p = Derived(spark, "/root/testdata/sf0.001")
     a = sorted(map(tuple, enrich(p.cleaned, p.catalog, strategy="broadcast").collect()))
     b = sorted(map(tuple, enrich(p.cleaned, p.catalog, strategy="distinct").collect()))
     assert a == b and len(a) > 0
 
 
 def test_auto_strategy_respects_bound(spark):
-    from songpulse.plans.pipeline import Pipeline
+    from songpulse.plans.derived import Derived
 
-    p = Pipeline(spark, "/root/testdata/sf0.001")
+    p = Derived(spark, "/root/testdata/sf0.001")
     spark.conf.set(BROADCAST_MAX_ROWS_CONF, "10")
     try:
         plan = enrich(p.cleaned, p.catalog)._jdf.queryExecution().executedPlan().toString()

@@ -4,7 +4,7 @@ import pytest
 
 from songpulse import schemas
 from songpulse.operators.incremental import append_enriched, incremental_after, read_if_exists
-from songpulse.plans.pipeline import Pipeline
+from songpulse.plans.derived import Derived
 from songpulse.session import scratch_path
 from songpulse.sources.tweets import read_enriched
 
@@ -24,7 +24,7 @@ def test_other_errors_surface(spark, tmp_path):
 
 
 def test_empty_sink_means_everything(spark):
-    p = Pipeline(spark, SF)
+    p = Derived(spark, SF)
     empty = spark.createDataFrame([], schemas.ENRICHED)
     assert incremental_after(p.cleaned, empty).count() == p.cleaned.count()
 
@@ -36,7 +36,7 @@ def test_strict_mark(spark):
 
 
 def test_rerun_appends_nothing(spark):
-    p = Pipeline(spark, SF)
+    p = Derived(spark, SF)
     cleaned_path = scratch_path(spark, "cleaned")
     schemas.conform(p.cleaned, schemas.CLEANED).write.parquet(cleaned_path)
     sink = scratch_path(spark, "enriched")
@@ -50,7 +50,7 @@ def test_day_partitioned_run_prunes_and_matches(spark):
     from songpulse.operators.incremental import enrich_new, high_water_mark
     from songpulse.sources.tweets import read_cleaned
 
-    p = Pipeline(spark, SF)
+    p = Derived(spark, SF)
     cleaned = schemas.conform(p.cleaned, schemas.CLEANED)
     early_path, full_path = scratch_path(spark, "early"), scratch_path(spark, "full")
     from pyspark.sql import functions as F

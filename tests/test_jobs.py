@@ -3,7 +3,7 @@
 
 from songpulse import jobs, schemas, streaming
 from songpulse.operators.summary import genre_hour_count, summary_lines
-from songpulse.plans.pipeline import Pipeline
+from songpulse.plans.derived import Derived
 from songpulse.session import scratch_path
 from songpulse.sources import fixtures, sinks
 from songpulse.sources.tweets import read_cleaned, read_enriched
@@ -14,7 +14,7 @@ import pytest
 
 @pytest.mark.parametrize("by_day", [False, True])
 def test_clean_enrich_summarize(spark, by_day):
-    p = Pipeline(spark, "/root/testdata/sf0.001")
+    p = Derived(spark, "/root/testdata/sf0.001")
     landing = scratch_path(spark, "landing")
     streaming.land_lines(fixtures.tweet_lines(p.tweets), landing, 2)
     cleaned, ckpt = scratch_path(spark, "cleaned"), scratch_path(spark, "ckpt")

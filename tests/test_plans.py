@@ -7,7 +7,7 @@ from songpulse.operators.catalog import enrich
 from songpulse.operators.incremental import incremental_after
 from songpulse.operators.ranking import top_songs_per_genre
 from songpulse.operators.summary import genre_hour_count
-from songpulse.plans.pipeline import Pipeline
+from songpulse.plans.derived import Derived
 from songpulse.plans.sizing import BROADCAST_MAX_ROWS_CONF, spread
 from songpulse.session import scratch_path
 from songpulse.sources.tweets import read_cleaned, read_enriched
@@ -20,7 +20,7 @@ def _plan(df):
 
 
 def _materialised(spark):
-    p = Pipeline(spark, SF)
+    p = Derived(spark, SF)
     path = scratch_path(spark, "cleaned")
     schemas.conform(p.cleaned, schemas.CLEANED).write.parquet(path)
     return p, read_cleaned(spark, path)
@@ -57,12 +57,12 @@ def test_large_catalogue_path_is_exact_under_a_hot_key(spark):
 
 
 def test_top_k_limits_before_the_shuffle(spark):
-    plan = _plan(top_songs_per_genre(Pipeline(spark, SF).enriched))
+    plan = _plan(top_songs_per_genre(Derived(spark, SF).enriched))
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
 def test_counts_aggregate_partially(spark):
-    plan = _plan(genre_hour_count(Pipeline(spark, SF).enriched))
+    plan = _plan(genre_hour_count(Derived(spark, SF).enriched))
     assert "partial_count" in plan
 
 

@@ -5,13 +5,13 @@ import glob
 import pytest
 
 from songpulse.operators.summary import genre_hour_count, summary_lines
-from songpulse.plans.pipeline import Pipeline
+from songpulse.plans.derived import Derived
 from songpulse.session import local_path, scratch_path
 from songpulse.sources import sinks
 
 
 def test_summary_sink_modes(spark):
-    lines = summary_lines(genre_hour_count(Pipeline(spark, "/root/testdata/sf0.001").enriched))
+    lines = summary_lines(genre_hour_count(Derived(spark, "/root/testdata/sf0.001").enriched))
     path = scratch_path(spark, "summary")
     sinks.write_summary_lines(lines, path, single_file=True)
     assert len(glob.glob(local_path(path) + "/part-*")) == 1

@@ -2,7 +2,7 @@
 
 from songpulse import streaming
 from songpulse.operators.summary import genre_hour_count
-from songpulse.plans.pipeline import Pipeline
+from songpulse.plans.derived import Derived
 from songpulse.session import scratch_path
 from songpulse.sources import fixtures
 from songpulse.sources.tweets import parse_tweets
@@ -15,7 +15,7 @@ def _rows(df):
 
 
 def test_ingest_batches_and_idempotence(spark):
-    p = Pipeline(spark, SF)
+    p = Derived(spark, SF)
     landing = scratch_path(spark, "landing")
     streaming.land_lines(fixtures.tweet_lines(p.tweets), landing, 3)
     sink, ckpt = scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
@@ -29,7 +29,7 @@ def test_ingest_batches_and_idempotence(spark):
 
 
 def test_enrich_and_hourly_equal_batch(spark):
-    p = Pipeline(spark, SF)
+    p = Derived(spark, SF)
     lines = fixtures.tweet_lines(p.tweets)
     landing = scratch_path(spark, "landing")
     streaming.land_lines(lines, landing, 2)
