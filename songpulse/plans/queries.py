@@ -371,7 +371,7 @@ def _landed(spark, p: Derived) -> str:
     return path
 
 
-def _stream(spark, sf, job, with_catalog=False):
+def _stream(spark, sf, job, with_catalog=False, reader=None):
     p = Derived(spark, sf)
     landing = _landed(spark, p)
     sink, ckpt = scratch_path(spark, "sink"), scratch_path(spark, "stream-ckpt")
@@ -379,7 +379,7 @@ def _stream(spark, sf, job, with_catalog=False):
         job(spark, landing, sink, ckpt, p.catalog)
     else:
         job(spark, landing, sink, ckpt)
-    return spark.read.parquet(sink)
+    return reader(spark, sink) if reader else spark.read.parquet(sink)
 
 
 @query("stream_ingest")
@@ -399,4 +399,4 @@ def q_stream_enrich(spark, sf):
 
 @query("stream_genre_hour")
 def q_stream_genre_hour(spark, sf):
-    return _stream(spark, sf, streaming.stream_genre_hour, with_catalog=True)
+    return _stream(spark, sf, streaming.stream_genre_hour, with_catalog=True, reader=streaming.read_genre_hour)

@@ -2,6 +2,7 @@
 
 from songpulse.streaming.jobs import (
     land_lines,
+    read_genre_hour,
     run_to_sink,
     stream_clean,
     stream_enrich,
@@ -11,6 +12,7 @@ from songpulse.streaming.jobs import (
 
 __all__ = [
     "land_lines",
+    "read_genre_hour",
     "run_to_sink",
     "stream_clean",
     "stream_enrich",

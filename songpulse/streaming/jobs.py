@@ -105,13 +105,15 @@ def stream_enrich(spark, landing, sink, checkpoint, cat, max_files=1, **kw) -> S
     return run_to_sink(out, sink, checkpoint, **kw)
 
 
-def genre_hour_stream(enriched: DataFrame, watermark: str = "2 hours") -> DataFrame:
-    """Hourly (genre, label, count) over event time with a watermark on the post time."""
+def genre_hour_stream(enriched: DataFrame, watermark: str | None = "2 hours") -> DataFrame:
+    """Hourly (genre, label, count) over event time, with a watermark on the post time when
+    ``watermark`` is given (then rows older than it are dropped as late)."""
     ts = F.timestamp_seconds(F.col("tweet_time"))
+    timed = enriched.withColumn("ts", ts)
+    if watermark:
+        timed = timed.withWatermark("ts", watermark)
     counts = (
-        enriched.withColumn("ts", ts)
-        .withWatermark("ts", watermark)
-        .groupBy(F.window("ts", "1 hour"), "genre")
+        timed.groupBy(F.window("ts", "1 hour"), "genre")
         .agg(F.count(F.lit(1)).alias("count"))
     )
     return counts.select(
@@ -129,15 +131,21 @@ def stream_genre_hour(
     checkpoint,
     cat,
     max_files=1,
-    output_mode="complete",
-    watermark="2 hours",
+    output_mode="update",
+    watermark=None,
     state_partitions=STATE_PARTITIONS,
     **kw,
 ) -> StreamingQuery:
     """Hourly genre counts as a continuous result.
 
-    ``complete`` rewrites the (hours x genres bounded) result each batch through
-    ``foreachBatch``; ``append`` emits an hour once the watermark passes it, to the file sink.
+    ``update`` (default) writes only the (genre, hour) rows a batch changed, into that
+    batch's own ``batch=<id>`` folder (a replayed batch rewrites just its folder); readers take
+    the latest row per group with ``read_genre_hour``, so no partial result is ever visible.
+    Without a watermark no row is ever dropped, so the result equals the batch count even when
+    posts arrive out of order; state stays bounded by hours x genres.
+    ``append`` (needs ``watermark``, e.g. "2 hours") emits an hour once the watermark passes
+    it, to the file sink; rows older than the watermark are dropped as late.
+
     The state holds one row per (hour, genre) and counts arrive partially aggregated, so the
     state gets at most ``state_partitions`` partitions instead of the cluster's shuffle
     partitions (thousands of state stores per micro-batch would cost more than the state).
@@ -147,9 +155,18 @@ def stream_genre_hour(
         parts = min(current, state_partitions)
         kw.setdefault("start_conf", {"spark.sql.shuffle.partitions": str(parts)})
     counts = genre_hour_stream(_enriched_stream(spark, landing, cat, max_files), watermark)
-    if output_mode == "complete":
-        def overwrite(batch: DataFrame, batch_id: int) -> None:
-            batch.write.mode("overwrite").parquet(sink)
+    if output_mode == "update":
+        def write_updates(batch: DataFrame, batch_id: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
 
-        return run_to_sink(counts, sink, checkpoint, output_mode="complete", foreach_batch=overwrite, **kw)
+        return run_to_sink(counts, sink, checkpoint, output_mode="update", foreach_batch=write_updates, **kw)
+    if output_mode != "append" or not watermark:
+        raise ValueError("append mode needs a watermark; other modes: update")
     return run_to_sink(counts, sink, checkpoint, output_mode="append", **kw)
+
+
+def read_genre_hour(spark: SparkSession, sink: str) -> DataFrame:
+    """Current hourly counts from an ``update``-mode sink: per (genre, hour), the row written
+    by the latest batch (a grouped aggregate, no sort)."""
+    log = spark.read.parquet(sink)
+    return log.groupBy("genre", "tweet_time").agg(F.max_by("count", "batch").alias("count"))
