@@ -85,3 +85,17 @@ def test_append_mode_drops_late_rows(spark):
     assert ("G1", "01 Jan 2024-00", 1) in got
     assert ("G2", "01 Jan 2024-06", 2) in got
     assert all(r[0] != "G3" for r in got)  # its hour is still open
+
+
+def test_hourly_update_log_survives_rerun(spark):
+    p = Derived(spark, SF)
+    landing = scratch_path(spark, "landing")
+    streaming.land_lines(fixtures.tweet_lines(p.tweets), landing, 3)
+    sink, ckpt = scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
+    streaming.stream_genre_hour(spark, landing, sink, ckpt, p.catalog)
+    first = _rows(streaming.read_genre_hour(spark, sink))
+    batches = spark.read.parquet(sink).select("batch").distinct().count()
+    q = streaming.stream_genre_hour(spark, landing, sink, ckpt, p.catalog)
+    assert all(x["numInputRows"] == 0 for x in q.recentProgress)
+    assert spark.read.parquet(sink).select("batch").distinct().count() == batches
+    assert _rows(streaming.read_genre_hour(spark, sink)) == first
