@@ -350,10 +350,10 @@ def q_first_run(spark, sf):
 def q_enrich_incremental(spark, sf):
     """Run 1 sees the days before the split, run 2 sees everything; the sink ends complete."""
     p = Derived(spark, sf)
-    cleaned = schemas.conform(p.cleaned, schemas.CLEANED)
     early, full = scratch_path(spark, "cleaned-early"), scratch_path(spark, "cleaned-full")
-    cleaned.where(F.col("tweet_time") < fixtures.PROCESSED_BEFORE).write.parquet(early)
-    cleaned.write.parquet(full)
+    schemas.conform(p.cleaned, schemas.CLEANED).write.parquet(full)
+    # The early part is cut from the written table, not cleaned a second time.
+    read_cleaned(spark, full).where(F.col("tweet_time") < fixtures.PROCESSED_BEFORE).write.parquet(early)
     sink = scratch_path(spark, "enriched")
     append_enriched(spark, early, sink, p.catalog)
     append_enriched(spark, full, sink, p.catalog)
