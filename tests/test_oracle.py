@@ -7,6 +7,8 @@ from oracle_check import compare, duck
 
 from conftest import SF_SMALL
 
+from songpulse.session import checkpoint_root
+
 QUERIES = entry_mod.queries()
 ORACLE = entry_mod.oracle_sql()
 
@@ -30,6 +32,13 @@ def test_query_matches_oracle(spark, con, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     limited = any(op in plan for op in ("GlobalLimit", "CollectLimit", "TakeOrderedAndProject", "LocalLimit"))
     assert limited == (name in LIMIT_IS_THE_FEATURE), plan[:300]
+    # Inputs are the driver tables, or what Spark derived from them under the checkpoint folder.
+    def norm(path):
+        return "/" + path.replace("file:", "").lstrip("/")
+
+    root = norm(checkpoint_root(spark))
+    files = [norm(f) for f in df.inputFiles()]
+    assert files and all(f.startswith(SF_SMALL) or f.startswith(root) for f in files), files[:3]
     problems, n = compare(df, con, ORACLE[name])
     assert not problems, problems
 
