@@ -60,4 +60,20 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, cast(n_repeat_words
   cast(bits as bigint) as fail_bits, base_failed, bits = 0 as kept from b
 """
 
-ORACLE: dict[str, str] = {"op9_mix_sources": OP9, "op10_quality_ledger": OP10}
+OP5 = r"""
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as ws from documents),
+sh as (select distinct doc_id, array_to_string(ws[i : i + 3], ' ') as s
+  from (select doc_id, ws, unnest(generate_series(1, greatest(len(ws) - 3, 1))) as i from d where len(ws) > 0)),
+n as (select doc_id, count(*) as n from sh group by doc_id),
+common as (select x.doc_id as a, y.doc_id as b, count(*) as c from sh x join sh y on x.s = y.s and x.doc_id != y.doc_id group by all),
+links as (select a, b from common join n na on a = na.doc_id join n nb on b = nb.doc_id where 100 * c >= 80 * (na.n + nb.n - c)),
+reach as (select a, b from links union select r.a, l.b from reach r join links l on r.b = l.a),
+least as (select a, min(b) as least from reach group by a)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, least(d.doc_id, coalesce(least, d.doc_id)) as component_id,
+  d.doc_id = least(d.doc_id, coalesce(least, d.doc_id)) as kept
+from d left join n using (doc_id) left join least on a = d.doc_id
+"""
+
+ORACLE: dict[str, str] = {"op5_minhash_dedup": OP5, "op9_mix_sources": OP9, "op10_quality_ledger": OP10}

@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from songpulse.llm import mixing, quality
+from songpulse.llm import minhash, mixing, quality
 from songpulse.llm.common import table
 
 
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document, by four-word shingles."""
+    rows = minhash.classes(table(spark, sf_dir, "documents"), shingle_words=4)
+    return rows.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents mixed to the source weights: words taken of each."""
     return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
@@ -26,6 +32,7 @@ def op10_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_minhash_dedup": op5_minhash_dedup,
     "op9_mix_sources": op9_mix_sources,
     "op10_quality_ledger": op10_quality_ledger,
 }
