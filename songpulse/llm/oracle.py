@@ -60,6 +60,19 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, cast(n_repeat_words
   cast(bits as bigint) as fail_bits, base_failed, bits = 0 as kept from b
 """
 
+OP3 = r"""
+with c as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e as (select *, length(text) + length(regexp_replace(text, '[^<>\\]', '', 'g'))
+  + length(role) + length(regexp_replace(role, '[^<>\\]', '', 'g')) + 15 as n from c),
+o as (select conv_id, count(*) as n_turns, string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text) as turns,
+    coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '') as loss, sum(n) as n
+  from e group by conv_id)
+select conv_id, n_turns, sha256(turns) as turns_sha256, cast(length(loss) as bigint) as loss_chars, sha256(loss) as loss_sha256,
+  cast(n as bigint) as formatted_chars from o
+"""
+
 OP5 = r"""
 with recursive d as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -76,4 +89,4 @@ select d.doc_id, coalesce(n.n, 0) as n_shingles, least(d.doc_id, coalesce(least,
 from d left join n using (doc_id) left join least on a = d.doc_id
 """
 
-ORACLE: dict[str, str] = {"op5_minhash_dedup": OP5, "op9_mix_sources": OP9, "op10_quality_ledger": OP10}
+ORACLE: dict[str, str] = {"op3_format_chats": OP3, "op5_minhash_dedup": OP5, "op9_mix_sources": OP9, "op10_quality_ledger": OP10}

@@ -4,19 +4,69 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from songpulse.llm import minhash, mixing, quality
+from songpulse.llm import bpe, chat, minhash, mixing, pii, quality
 from songpulse.llm.common import table
 
 
+def op3_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all conversations, and one of control strings, read back from their formatted form."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(r"\### Assistant: </turn> ok").alias("text"),
+    )
+    chats = chat.read_back(chat.format_chats(rows.unionByName(control)))
+    turns = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return chats.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(turns, ""), 256).alias("turns_sha256"),
+        F.length(F.array_join("loss_texts", "")).cast("long").alias("loss_chars"),
+        F.sha2(F.array_join("loss_texts", ""), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again: token count and digests of ids and bytes."""
+    rows = bpe.encode(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+        public_tokenizers.PATTERN, decoded=True,
+    )
+    return rows.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document, by four-word shingles."""
     rows = minhash.classes(table(spark, sf_dir, "documents"), shingle_words=4)
     return rows.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def op8_find_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts, digest of the base spans, all spans."""
+    rows = pii.find(table(spark, sf_dir, "documents"))
+    said = lambda found: F.array_join(F.transform(found, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda kind: F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("pii", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+    return rows.select(
+        "doc_id",
+        *(count(kind).alias(f"n_{kind}") for kind in pii.BASE_KINDS),
+        F.sha2(said(base), 256).alias("base_sha256"),
+        said("pii").alias("spans"),
+    )
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents mixed to the source weights: words taken of each."""
     return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
@@ -32,7 +82,10 @@ def op10_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_format_chats": op3_format_chats,
+    "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_minhash_dedup": op5_minhash_dedup,
+    "op8_find_pii": op8_find_pii,
     "op9_mix_sources": op9_mix_sources,
     "op10_quality_ledger": op10_quality_ledger,
 }
