@@ -48,16 +48,17 @@ def quality_weight(text: Column) -> Column:
 
 
 def sized(docs: DataFrame, keep: list[str], seed: str) -> DataFrame:
-    """``keep`` columns, ``_src``, ``size`` in words and ``_v``, the sampling order."""
+    """``keep`` columns, ``_id``, ``_src``, ``_size`` in words and ``_v``, the sampling order."""
     text = whole_text()
     rows = docs.select(
         *keep,
+        F.col("doc_id").alias("_id"),
         F.col("source").alias("_src"),
         F.size(words(text)).cast("long").alias("_size"),
         draw(F.col("doc_id"), seed).alias("_u"),
         quality_weight(text).alias("_w"),
     )
-    return rows.select(*keep, "_src", "_size", F.pow("_u", F.lit(1.0) / F.col("_w")).alias("_v"))
+    return rows.select(*keep, "_id", "_src", "_size", F.pow("_u", F.lit(1.0) / F.col("_w")).alias("_v"))
 
 
 def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = TOTAL_SHARE) -> DataFrame:
@@ -99,15 +100,15 @@ def mix(docs: DataFrame, keep: list[str] | None = None, seed: str = SEED, bucket
     ``copies`` is how often the mix takes the document, ``taken`` its words, repeats counted.
     """
     keep = keep or ["doc_id"]
-    rows = sized(docs, list(dict.fromkeys([*keep, "doc_id"])), seed)
-    rows = stage(rows, "mix-sized")
+    # Planning needs ids, sizes and draws only; other columns are read again when it is done.
+    rows = stage(sized(docs, [], seed), "mix-sized")
     sources = stage(rows.groupBy("_src").agg(F.sum("_size").alias("source_size"), F.count("*").alias("_n")), "mix-sources")
     largest = sources.agg(F.max("_n")).first()[0] or 1
     n_buckets = max(1, -(-largest // bucket_docs))
-    rows = rows.withColumn("_b", F.floor((F.lit(1.0) - F.col("_v")) * n_buckets).cast("long"))
+    bucket = F.floor((F.lit(1.0) - F.col("_v")) * n_buckets).cast("long")
 
     # Where the budget of each source ends: bucket sums, then running sums over the buckets.
-    sums = rows.groupBy("_src", "_b").agg(F.sum("_size").alias("_sum"))
+    sums = rows.withColumn("_b", bucket).groupBy("_src", "_b").agg(F.sum("_size").alias("_sum"))
     run = Window.partitionBy("_src").orderBy("_b")
     sums = sums.withColumn("_end", F.sum("_sum").over(run))
     plan = targets(sources.select("_src", "source_size"))
@@ -122,12 +123,14 @@ def mix(docs: DataFrame, keep: list[str] | None = None, seed: str = SEED, bucket
         F.col("p._src").alias("_s2"), "source_size", "target", "epochs", "budget", "_cut", "_before"
     )
     plan = bounded(stage(plan, "mix-plan"), BROADCAST_SOURCES)
-    rows = rows.join(plan, F.col("_src").eqNullSafe(F.col("_s2")))
+    rows = rows.withColumnRenamed("_id", "doc_id") if keep == ["doc_id"] else sized(docs, keep, seed)
+    by_id = "doc_id" if keep == ["doc_id"] else "_id"
+    rows = rows.withColumn("_b", bucket).join(plan, F.col("_src").eqNullSafe(F.col("_s2")))
 
     cols = [*keep, "_size", "source_size", "target", "epochs"]
     in_cut = F.coalesce(F.col("_b") == F.col("_cut"), F.lit(False))
     whole = rows.where(~in_cut).select(*cols, (F.col("_cut").isNull() | (F.col("_b") < F.col("_cut"))).alias("_in"))
-    order = Window.partitionBy("_src").orderBy(F.desc("_v"), F.asc_nulls_last("doc_id"), "_size")
+    order = Window.partitionBy("_src").orderBy(F.desc("_v"), F.asc_nulls_last(by_id), "_size")
     ahead = F.coalesce(F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     cut = rows.where(in_cut).withColumn("_at", F.col("_before") + ahead)
     cut = cut.select(*cols, (2 * F.col("_at") + F.col("_size") <= 2 * F.col("budget")).alias("_in"))
@@ -140,3 +143,14 @@ def mix(docs: DataFrame, keep: list[str] | None = None, seed: str = SEED, bucket
         "copies",
         (F.col("_size") * F.col("copies")).alias("taken"),
     )
+
+
+def take(docs: DataFrame, seed: str = SEED, bucket_docs: int = BUCKET_DOCS) -> DataFrame:
+    """The mixed documents with all columns of ``docs``: one row per copy that the mix takes.
+
+    Rows ride along as one struct, so that no column name can clash. Only the documents of the
+    buckets in which budgets end are shuffled with their texts.
+    """
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
+    mixed = mix(docs.select(row, "doc_id", "source", "text"), ["_row"], seed, bucket_docs)
+    return mixed.select("_row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("_row.*")

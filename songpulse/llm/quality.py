@@ -131,6 +131,17 @@ def apply_policy(rows: DataFrame, version: str = PRODUCTION) -> DataFrame:
     return rows.withColumns({"policy": F.lit(version), "kept": passes(POLICIES[version])})
 
 
+def select_passing(docs: DataFrame, version: str = PRODUCTION) -> DataFrame:
+    """The documents that a policy keeps, with all their columns.
+
+    The row rides through the measurement as one struct, so that no column name can clash, and comes
+    out of a generator, so that no filter is pushed below (and evaluated twice over) the measurement.
+    """
+    row = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col("text"))
+    rows = with_measures(row, ["_row"]).withColumn("fail_bits", fail_bits())
+    return rows.select(F.inline(F.when(passes(POLICIES[version]), F.array("_row"))))
+
+
 def ablation(rows: DataFrame, version: str = PRODUCTION) -> DataFrame:
     """Per rule of a policy: documents failing it, failing it alone, and kept without it.
 
