@@ -41,7 +41,7 @@ def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens, ids (little-endian unsigned 32-bit) and text as decoded from the ids."""
     rows = bpe.encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, keep=["doc_id", "source"], decoded=True)
     return rows.select(
-        "doc_id", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", F.decode("decoded", F.lit("UTF-8")).alias("text")
+        "doc_id", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", F.decode("decoded", "UTF-8").alias("text")
     )
 
 
