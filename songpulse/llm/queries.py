@@ -8,10 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from songpulse.llm import bpe, chat, minhash, mixing, pii, quality
+from songpulse.llm import bpe, chat, lang_id, minhash, mixing, pii, quality, token_spans
 from songpulse.llm.common import table
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, by a model that has not seen the held-out ones."""
+    docs = table(spark, sf_dir, "documents")
+    held = lang_id.held_out(F.col("doc_id"))
+    model = lang_id.fit(docs.where(~held & F.col("doc_id").isNotNull()).select("doc_id", "text", "lang"))
+    rows = lang_id.predict(docs, model)
+    return rows.select("doc_id", held.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op3_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of all conversations, and one of control strings, read back from their formatted form."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -53,6 +62,13 @@ def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document; tokens over a boundary go where most of them is."""
+    return token_spans.section_counts(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+
+
 def op8_find_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: counts, digest of the base spans, all spans."""
     rows = pii.find(table(spark, sf_dir, "documents"))
@@ -82,9 +98,11 @@ def op10_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
     "op3_format_chats": op3_format_chats,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_minhash_dedup": op5_minhash_dedup,
+    "op6_token_counts": op6_token_counts,
     "op8_find_pii": op8_find_pii,
     "op9_mix_sources": op9_mix_sources,
     "op10_quality_ledger": op10_quality_ledger,
