@@ -8,10 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from songpulse.llm import bpe, chat, lang_id, minhash, mixing, pii, quality, token_spans
+from songpulse.llm import ann, bpe, chat, html_text, lang_id, minhash, mixing, pii, quality, token_spans
 from songpulse.llm.common import table
 
 
+def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every vec_id divisible by 20, among all others."""
+    rows = table(spark, sf_dir, "embeddings")
+    return ann.nearest(rows, rows.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, by a model that has not seen the held-out ones."""
     docs = table(spark, sf_dir, "documents")
@@ -69,6 +75,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op8_find_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: counts, digest of the base spans, all spans."""
     rows = pii.find(table(spark, sf_dir, "documents"))
@@ -98,11 +109,13 @@ def op10_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_nearest": op1_nearest,
     "op2_language_id": op2_language_id,
     "op3_format_chats": op3_format_chats,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_minhash_dedup": op5_minhash_dedup,
     "op6_token_counts": op6_token_counts,
+    "op7_main_text": op7_main_text,
     "op8_find_pii": op8_find_pii,
     "op9_mix_sources": op9_mix_sources,
     "op10_quality_ledger": op10_quality_ledger,
