@@ -67,7 +67,7 @@ def allocate(
             owner[t] = touched[shared.argmax()]
     elif rule == "first":
         gap = inside & (s < starts[np.maximum(owner, 0)]) if len(starts) else inside
-        owner[gap] = -1
+        owner[gap], over[gap] = -1, False
     return owner, over
 
 
