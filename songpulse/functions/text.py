@@ -91,20 +91,20 @@ def groups_of(c: Column | str, index: Column) -> Column:
     return F.struct(group(1).alias("song"), group(2).alias("artist"))
 
 
-def extract_raw(c: Column | str) -> Column:
-    """Struct ``(song, artist)`` of the *uncleaned* groups of the first matching pattern."""
-    return groups_of(c, match_index(c))
-
-
 def extract_song_artist(c: Column | str) -> Column:
     """Struct ``(song, artist)`` from the first matching pattern, both cleaned by ``tokens``.
 
     No match (or NULL text) gives ``('', '')`` (``tokens('')`` is ``''``). The branch is chosen
     on *pattern matched*, not on a non-empty group, so an empty artist from the first pattern
-    stays empty.
+    stays empty. The index is bound once, as the variable of a one-element transform; over whole
+    tables ``operators.clean.with_song_artist`` does the same in stages.
     """
-    raw = extract_raw(c)
-    return F.struct(tokens(raw["song"]).alias("song"), tokens(raw["artist"]).alias("artist"))
+
+    def cleaned(index: Column) -> Column:
+        raw = groups_of(c, index)
+        return F.struct(tokens(raw["song"]).alias("song"), tokens(raw["artist"]).alias("artist"))
+
+    return F.get(F.transform(F.array(match_index(c)), cleaned), F.lit(0))
 
 
 def lookup_key(artist: Column | str, song: Column | str) -> Column:

@@ -11,7 +11,8 @@ def _col(c: Column | str) -> Column:
 
 
 def epoch_seconds_from_ntz(ts: Column | str) -> Column:
-    """Whole seconds since 1970-01-01 of a TIMESTAMP_NTZ, built from its fields (zone-free)."""
+    """Whole seconds since 1970-01-01 of a TIMESTAMP_NTZ, built from its fields (zone-free); NULL
+    beyond the range of an int."""
     t = _col(ts)
     secs = (
         F.unix_date(F.to_date(t)).cast("bigint") * 86400
@@ -19,7 +20,7 @@ def epoch_seconds_from_ntz(ts: Column | str) -> Column:
         + F.minute(t) * 60
         + F.second(t)
     )
-    return secs.cast("int")
+    return secs.try_cast("int")
 
 
 def epoch_ms_from_ntz(ts: Column | str) -> Column:
@@ -35,9 +36,10 @@ def epoch_ms_from_ntz(ts: Column | str) -> Column:
 
 
 def epoch_seconds(ms: Column | str) -> Column:
-    """Epoch milliseconds (a string or number) to whole seconds, floored; bad input -> NULL."""
+    """Epoch milliseconds (a string or number) to whole seconds, floored; bad input, or a time
+    beyond the range of an int, -> NULL."""
     m = _col(ms).try_cast("bigint")
-    return F.floor(m / F.lit(1000)).cast("int")
+    return F.floor(m / F.lit(1000)).try_cast("int")
 
 
 def hour_start(t: Column | str) -> Column:

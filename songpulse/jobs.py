@@ -1,7 +1,9 @@
-"""The three jobs (clean, enrich, summarize), runnable with spark-submit or ``python -m songpulse.jobs``.
+"""The jobs, runnable with spark-submit or ``python -m songpulse.jobs``.
 
   clean     <landing dir> <cleaned sink> <checkpoint>   stream post lines -> cleaned parquet
   enrich    <cleaned dir> <enriched sink> <catalog>     incremental catalogue enrichment
+  stream-enrich <landing dir> <enriched sink> <checkpoint> <catalog>   stream-static enrichment
+  stream-hours  <landing dir> <hourly sink> <checkpoint> <catalog>     continuous hourly counts
   summarize <cleaned dir> <enriched dir> <out dir>      hourly summary lines + headline totals
 
 The catalogue is a parquet table (track_id, song, artist, genre, popularity).
@@ -18,18 +20,29 @@ from songpulse.operators.incremental import append_enriched
 from songpulse.operators.summary import genre_hour_count, kpi_counts, kpi_long, summary_lines
 from songpulse.sources import sinks
 from songpulse.sources.tweets import read_cleaned, read_enriched
-from songpulse.streaming import stream_clean
+from songpulse.streaming import stream_clean, stream_enrich, stream_genre_hour
 
 
 def read_catalog(spark: SparkSession, path: str):
     return schemas.conform(spark.read.parquet(path), schemas.CATALOG)
 
 
-def clean_job(spark, landing, sink, checkpoint, max_files=1, available_now=False, partition_by_day=False):
+def clean_job(
+    spark, landing, sink, checkpoint, max_files=1, available_now=False, partition_by_day=False, max_bytes=None
+):
     """Runs until stopped (processing-time trigger) unless ``available_now``."""
     return stream_clean(
         spark, landing, sink, checkpoint, max_files=max_files, available_now=available_now,
-        partition_by_day=partition_by_day,
+        partition_by_day=partition_by_day, max_bytes=max_bytes,
+    )
+
+
+def stream_job(spark, job, landing, sink, checkpoint, catalog_path, max_files=1, available_now=False, max_bytes=None):
+    """The stream-static jobs; run until stopped unless ``available_now``."""
+    start = {"stream-enrich": stream_enrich, "stream-hours": stream_genre_hour}[job]
+    cat = read_catalog(spark, catalog_path)
+    return start(
+        spark, landing, sink, checkpoint, cat, max_files=max_files, max_bytes=max_bytes, available_now=available_now
     )
 
 
@@ -48,13 +61,18 @@ def summarize_job(spark, cleaned_path, enriched_path, out_dir, mode="errorifexis
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="songpulse.jobs")
     sub = ap.add_subparsers(dest="job", required=True)
-    c = sub.add_parser("clean")
-    c.add_argument("landing")
-    c.add_argument("sink")
-    c.add_argument("checkpoint")
-    c.add_argument("--max-files-per-trigger", type=int, default=1)
-    c.add_argument("--available-now", action="store_true")
-    c.add_argument("--partition-by-day", action="store_true")
+    for name in ("clean", "stream-enrich", "stream-hours"):
+        c = sub.add_parser(name)
+        c.add_argument("landing")
+        c.add_argument("sink")
+        c.add_argument("checkpoint")
+        if name == "clean":
+            c.add_argument("--partition-by-day", action="store_true")
+        else:
+            c.add_argument("catalog")
+        c.add_argument("--max-files-per-trigger", type=int, default=1)
+        c.add_argument("--max-bytes-per-trigger", type=int)
+        c.add_argument("--available-now", action="store_true")
     e = sub.add_parser("enrich")
     e.add_argument("cleaned")
     e.add_argument("sink")
@@ -69,7 +87,15 @@ def main(argv=None) -> None:
     spark = SparkSession.builder.appName(f"songpulse-{a.job}").getOrCreate()
     if a.job == "clean":
         q = clean_job(
-            spark, a.landing, a.sink, a.checkpoint, a.max_files_per_trigger, a.available_now, a.partition_by_day
+            spark, a.landing, a.sink, a.checkpoint, a.max_files_per_trigger, a.available_now, a.partition_by_day,
+            a.max_bytes_per_trigger,
+        )
+        if not a.available_now:
+            q.awaitTermination()
+    elif a.job.startswith("stream-"):
+        q = stream_job(
+            spark, a.job, a.landing, a.sink, a.checkpoint, a.catalog, a.max_files_per_trigger, a.available_now,
+            a.max_bytes_per_trigger,
         )
         if not a.available_now:
             q.awaitTermination()

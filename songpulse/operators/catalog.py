@@ -4,7 +4,7 @@ A request (artist, song) resolves, like a catalogue search service would, to:
 
 * both given: the best track whose ``lower(artist + ' ' + song)`` equals the request text;
   failing that, the artist's best track with the artist's main genre (fallback);
-* artist only: the artist's best track and main genre;
+* artist only: the artist's best track, with that track's own genre;
 * song only: the best track with that title;
 * nothing, or nothing found: no result.
 
@@ -12,8 +12,8 @@ A request (artist, song) resolves, like a catalogue search service would, to:
 of its tracks, ties to the smaller name. Each lookup table is one grouped aggregate of the
 catalogue (partial aggregation, no window sort), keyed by the normalised text.
 
-Join strategy: the catalogue row count bounds every lookup table. Within the broadcast limit the
-tables are broadcast and the requests are never shuffled. Beyond it the distinct requests are
+Join strategy: the catalogue's measured bytes bound the lookup tables. Within the broadcast limit,
+taken over all of them together, they are broadcast and the requests are never shuffled. Beyond it the distinct requests are
 resolved first (a hot request collapses in the map-side aggregate) and joined back once; AQE
 splits a skewed join partition.
 """
@@ -26,8 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from songpulse.functions import lookup_key, strip
-from songpulse.operators.clean import where_computed
-from songpulse.plans.sizing import fits_broadcast, row_bound
+from songpulse.plans.sizing import byte_bound, fits_broadcast
 from songpulse.session import checkpoint_root
 
 RESULT = ("artist", "song", "genre", "track_id")
@@ -57,7 +56,8 @@ def song_hits(cat: DataFrame) -> DataFrame:
 
 
 def artist_top(cat: DataFrame) -> DataFrame:
-    """(artist_key, artist, song, genre, track_id): the artist's best track and main genre."""
+    """(artist_key, artist, song, genre, own_genre, track_id): the artist's best track, the artist's
+    main genre and the track's own."""
     keyed = cat.withColumn("artist_key", F.lower(strip("artist")))
     per_genre = keyed.groupBy("artist_key", "genre").agg(
         F.count(F.lit(1)).alias("n"),
@@ -68,6 +68,7 @@ def artist_top(cat: DataFrame) -> DataFrame:
                 F.col("track_id"),
                 F.col("artist"),
                 F.col("song"),
+                F.col("genre").alias("own_genre"),
             )
         ).alias("top"),
     )
@@ -80,50 +81,43 @@ def artist_top(cat: DataFrame) -> DataFrame:
         F.col("t.artist").alias("artist"),
         F.col("t.song").alias("song"),
         F.col("g.genre").alias("genre"),
+        F.col("t.own_genre").alias("own_genre"),
         F.col("t.track_id").alias("track_id"),
     )
 
 
-def _as_result(df: DataFrame, key: str, name: str) -> DataFrame:
-    return df.select(F.col(key), F.struct(*[F.col(c) for c in RESULT]).alias(name))
+def _as_result(df: DataFrame, key: str, name: str, *more: str) -> DataFrame:
+    return df.select(F.col(key), F.struct(*[F.col(c) for c in RESULT]).alias(name), *more)
 
 
 @dataclass(frozen=True)
 class CatalogIndex:
-    """The three lookup tables of a catalogue plus a row bound on each (the catalogue size)."""
+    """The lookup tables of a catalogue and a bound on their bytes. ``song_hits`` is for song-only
+    requests; an index for enrichment alone has none."""
 
     hits: DataFrame
-    song_hits: DataFrame
     tops: DataFrame
-    row_bound: int
+    song_hits: DataFrame | None
+    n_bytes: int
 
 
-def catalog_index(cat: DataFrame, materialize: bool = False) -> CatalogIndex:
+def catalog_index(cat: DataFrame, materialize: bool = False, song_only: bool = True) -> CatalogIndex:
     """Lookup tables of ``cat``. With ``materialize`` each is computed once and checkpointed
     into ``spark.checkpoint.dir`` (lineage cut), for plans that re-run often, e.g. every
     micro-batch of a stream-static join."""
-    tables = [
-        _as_result(best_hits(cat), "key", "_hit"),
-        _as_result(song_hits(cat), "song_key", "_song_hit"),
-        _as_result(artist_top(cat), "artist_key", "_top"),
-    ]
+    tables = [_as_result(best_hits(cat), "key", "_hit"), _as_result(artist_top(cat), "artist_key", "_top", "own_genre")]
+    if song_only:
+        tables.append(_as_result(song_hits(cat), "song_key", "_song_hit"))
     if materialize:
         checkpoint_root(cat.sparkSession)
         tables = [t.checkpoint(eager=True) for t in tables]
-    return CatalogIndex(*tables, row_bound=row_bound(cat))
-
-
-def _index(cat: DataFrame | CatalogIndex) -> CatalogIndex:
-    return cat if isinstance(cat, CatalogIndex) else catalog_index(cat)
+    # Each table has at most a row per track: its names, and a key made of them.
+    n_bytes = len(tables) * byte_bound(cat, ("song", "artist", "song", "artist", "genre", "genre"))
+    return CatalogIndex(tables[0], tables[1], tables[2] if song_only else None, n_bytes)
 
 
 def _attach(req: DataFrame, idx: CatalogIndex, broadcast: bool, with_song_only: bool) -> DataFrame:
-    """Add ``_res`` (struct of RESULT or NULL) to a frame with stripped ``_a``, ``_s``.
-
-    Without the song-only mode (enrichment) a request needs both names; an incomplete one gets
-    NULL keys and no result. Keeping that test inside the keys, not in a filter, stops the
-    optimizer from copying the extraction expressions into a pushed-down predicate.
-    """
+    """Add ``_res`` (struct of RESULT or NULL) to a frame with stripped ``_a``, ``_s``."""
     a, s = F.col("_a"), F.col("_s")
     both = (a != "") & (s != "")
     keys = [
@@ -140,7 +134,8 @@ def _attach(req: DataFrame, idx: CatalogIndex, broadcast: bool, with_song_only:
         x = x.join(hint(idx.song_hits), x["_sk"] == F.col("song_key"), "left")
         picks.append(F.col("_song_hit"))
     x = x.join(hint(idx.tops), x["_ak"] == F.col("artist_key"), "left")
-    picks.append(F.col("_top"))
+    top, genre = F.col("_top"), F.when(s != "", F.col("_top.genre")).otherwise(F.col("own_genre"))
+    picks.append(F.when(top.isNotNull(), F.struct(top["artist"], top["song"], genre.alias("genre"), top["track_id"])))
     return x.select("*", F.coalesce(*picks).alias("_res"))
 
 
@@ -153,22 +148,25 @@ def _resolve(
     strategy: str,
     how: str = "left",
 ) -> DataFrame:
-    idx = _index(cat)
+    idx = cat if isinstance(cat, CatalogIndex) else catalog_index(cat, song_only=with_song_only)
+    if not with_song_only and how == "inner":
+        # Enrichment: requests without both names cannot resolve. Over a stored table this filter
+        # reaches the parquet reader; no NULL key reaches a shuffle.
+        requests = requests.where((F.col(artist) != "") & (F.col(song) != ""))
     req = requests.select(
         "*",
         F.coalesce(strip(artist), F.lit("")).alias("_a"),
         F.coalesce(strip(song), F.lit("")).alias("_s"),
     )
+    if not with_song_only and how == "inner":
+        req = req.where((F.col("_a") != "") & (F.col("_s") != ""))
     if strategy == "auto":
-        strategy = "broadcast" if fits_broadcast(req.sparkSession, idx.row_bound) else "distinct"
+        strategy = "broadcast" if fits_broadcast(req.sparkSession, idx.n_bytes) else "distinct"
     if strategy in ("broadcast", "direct"):
         out = _attach(req, idx, strategy == "broadcast", with_song_only)
         return out.select(*requests.columns, "_res")
     if strategy != "distinct":
         raise ValueError(f"unknown strategy {strategy!r}")
-    if not with_song_only and how == "inner":
-        # Enrichment: requests without both names cannot resolve; drop them before the shuffle.
-        req = where_computed(req, (F.col("_a") != "") & (F.col("_s") != ""))
     keys = req.select("_a", "_s").distinct()
     resolved = _attach(keys, idx, False, with_song_only).select("_a", "_s", "_res")
     if how == "inner":
@@ -203,9 +201,9 @@ def enrich(
 ) -> DataFrame:
     """Enriched table (raw_tweet, processed_tweet, artist, song, genre, tweet_time[, keep])
     from cleaned rows. Rows without both song and artist, and rows the catalogue cannot
-    resolve, are dropped (so a prior ``complete_tweets`` filter is optional)."""
+    resolve to a genre, are dropped (so a prior ``complete_tweets`` filter is optional)."""
     base = cleaned.select("raw_tweet", "processed_tweet", "artist", "song", "tweet_time", *keep)
-    out = _resolve(base, cat, "artist", "song", False, strategy, "inner").where(F.col("_res").isNotNull())
+    out = _resolve(base, cat, "artist", "song", False, strategy, "inner").where(F.col("_res.genre").isNotNull())
     return out.select(
         "raw_tweet",
         "processed_tweet",

@@ -11,39 +11,33 @@ from songpulse.functions.text import groups_of, match_index
 
 def clean_tweets(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """(raw_tweet, processed_tweet, song, artist, tweet_time[, keep...]) from
-    (raw_tweet, tweet_time). Extraction runs on the raw text; each group is cleaned."""
-    # Staged so each regex runs once per row: which pattern matches, its raw groups, cleaning.
-    matched = df.select(
-        "raw_tweet",
-        match_index("raw_tweet").alias("_m"),
-        F.col("tweet_time").cast("int").alias("tweet_time"),
-        *keep,
-    )
-    staged = matched.select(
-        "raw_tweet", groups_of("raw_tweet", F.col("_m")).alias("_g"), "tweet_time", *keep
-    )
-    return staged.select(
-        "raw_tweet",
-        tokens("raw_tweet").alias("processed_tweet"),
-        tokens(F.col("_g.song")).alias("song"),
-        tokens(F.col("_g.artist")).alias("artist"),
-        "tweet_time",
-        *keep,
+    (raw_tweet, tweet_time). Extraction runs on the raw text; each group is cleaned.
+
+    A filter on song or artist stays above the extraction (see ``with_song_artist``), so it does
+    not repeat it; unused columns are still pruned."""
+    timed = df.select("raw_tweet", F.col("tweet_time").cast("int").alias("tweet_time"), *keep)
+    named = with_song_artist(timed, "raw_tweet")
+    return named.select(
+        "raw_tweet", tokens("raw_tweet").alias("processed_tweet"), "song", "artist", "tweet_time", *keep
     )
 
 
-def where_computed(df: DataFrame, cond) -> DataFrame:
-    """``df.where(cond)`` where ``cond`` reads columns computed by expensive expressions.
+def with_song_artist(df: DataFrame, text: str) -> DataFrame:
+    """``df`` and the cleaned (song, artist) of the text column, in stages.
 
-    The rows are re-emitted through a one-row ``inline``: a filter on generated columns cannot
-    be pushed below the generator, so the optimizer does not copy those expressions (e.g. the
-    regex cascade of ``clean_tweets``) into the predicate, which would run them twice per row.
+    First which pattern matches (each is tried once at most), then that pattern's two groups,
+    then cleaning. The result comes out of a one-row ``inline``: a filter on generated columns
+    cannot be pushed below the generator, so the optimizer does not copy the regex chain
+    into the predicate, which would run it twice and outgrow the code generator.
     """
-    rows = df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
-    return rows.where(cond)
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    matched = df.select(*cols, match_index(text).alias("_m"))
+    groups = matched.select(*cols, groups_of(text, F.col("_m")).alias("_g"))
+    cleaned = F.struct(tokens(F.col("_g.song")).alias("song"), tokens(F.col("_g.artist")).alias("artist"))
+    return groups.select(*cols, F.inline(F.array(cleaned)))
 
 
 def complete_tweets(df: DataFrame) -> DataFrame:
     """Rows naming both a song and an artist (empty string is the missing marker; NULL is
-    dropped as well)."""
-    return where_computed(df, (F.col("song") != "") & (F.col("artist") != ""))
+    dropped as well). Over a stored table the filter reaches the parquet reader."""
+    return df.where((F.col("song") != "") & (F.col("artist") != ""))

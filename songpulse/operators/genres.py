@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from songpulse.functions import strip
-from songpulse.plans.sizing import maybe_broadcast, row_bound
-from songpulse.sources.fixtures import genre_dim_raw
 
 
 def normalise_genre(c: Column | str) -> Column:
@@ -19,9 +17,10 @@ def dedupe_last(raw: DataFrame, key: str = "name", value: str = "genre_id", orde
     return raw.groupBy(key).agg(F.max_by(value, order).alias(value))
 
 
-def genre_dim(cat: DataFrame) -> DataFrame:
-    """(name, genre_id) with unique lower-case names."""
-    return dedupe_last(genre_dim_raw(cat))
+def genre_dim(entries: DataFrame) -> DataFrame:
+    """(name, genre_id) with unique normalised names, from a dictionary table (ordinal, name,
+    genre_id) that may repeat names: the last entry of a name wins."""
+    return dedupe_last(entries.withColumn("name", normalise_genre("name")))
 
 
 def _requests(requests: DataFrame, col: str) -> DataFrame:
@@ -31,9 +30,19 @@ def _requests(requests: DataFrame, col: str) -> DataFrame:
 
 def lookup_genres(requests: DataFrame, dim: DataFrame, col: str = "request") -> DataFrame:
     """Requests with their genre id; unknown names drop out (see ``unknown_genres``)."""
-    return _requests(requests, col).join(maybe_broadcast(dim, row_bound(dim)), "name", "inner")
+    return _requests(requests, col).join(dim, "name", "inner")
 
 
 def unknown_genres(requests: DataFrame, dim: DataFrame, col: str = "request") -> DataFrame:
     """Requests whose normalised name is not in the dictionary."""
-    return _requests(requests, col).join(maybe_broadcast(dim, row_bound(dim)), "name", "left_anti")
+    return _requests(requests, col).join(dim, "name", "left_anti")
+
+
+def top_10_songs(requests: DataFrame, dim: DataFrame, feed_rows: DataFrame, col: str = "request") -> DataFrame:
+    """(name, genre_id, pos, label, n_parts, song, artist): the feed entries of each requested genre.
+
+    A request is trimmed, lower-cased and looked up in the dictionary ``dim``; an empty, NULL or
+    unknown genre has no rows. ``feed_rows`` are entries by genre id, as ``read_feed`` gives them.
+    """
+    names = lookup_genres(requests, dim, col).select("name", "genre_id").distinct()
+    return names.join(feed_rows, "genre_id")

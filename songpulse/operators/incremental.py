@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime
-import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -13,23 +12,17 @@ from songpulse import schemas
 from songpulse.operators.catalog import enrich
 
 
-def _latest_day(processed: DataFrame) -> str | None:
-    """Newest ``day=`` partition among the files the read already listed (no data read)."""
-    days = [m.group(1) for f in processed.inputFiles() if (m := re.search(r"/day=([0-9-]+)/", f))]
-    return max(days) if days else None
-
-
 def high_water_mark(processed: DataFrame) -> int | None:
     """``max(tweet_time)`` of the processed rows (one value; None when empty).
 
-    On a day-partitioned sink only the newest day is read: it holds the maximum, because the
-    day is derived from ``tweet_time``.
+    On a day-partitioned sink the newest day is found from the partition column alone, and only
+    that day's times are read: it holds the maximum, because the day is derived from
+    ``tweet_time``.
     """
     if schemas.DAY in processed.columns:
-        day = _latest_day(processed)
+        day = processed.agg(F.max(schemas.DAY)).first()[0]
         if day is not None:
-            newest = processed.where(F.col(schemas.DAY) == F.lit(day).cast("date"))
-            mark = newest.agg(F.max("tweet_time")).first()[0]
+            mark = processed.where(F.col(schemas.DAY) == F.lit(day)).agg(F.max("tweet_time")).first()[0]
             if mark is not None:
                 return mark
     return processed.agg(F.max("tweet_time")).first()[0]
@@ -79,8 +72,11 @@ def append_enriched(
 ) -> None:
     """One incremental run: read the cleaned table, append what is new to the sink.
 
-    A re-run after a failure appends nothing twice: committed rows raise the mark, and a job
-    that failed before its commit left no files behind. With ``partition_by_day`` the sink is
+    A re-run appends nothing twice: committed rows raise the mark. A job that fails before its
+    commit leaves no visible files. A commit that itself dies half way may leave some of its
+    files visible; these raise the mark, and the next run then skips the rest of that run's
+    rows. Where the file system cannot rename a job's output as one, empty the sink's newest
+    files before the re-run, or append through a table format with atomic commits. With ``partition_by_day`` the sink is
     written in ``day=`` partitions (a day-partitioned cleaned input is read the same way).
     """
     cleaned = spark.read.schema(schemas.CLEANED).parquet(cleaned_path)

@@ -37,11 +37,14 @@ def summary_lines(summary: DataFrame) -> DataFrame:
 
 def kpi_counts(raw: DataFrame, enriched: DataFrame) -> DataFrame:
     """One row: raw_tweet, processed_tweet, song (a row count, as in the original), artist,
-    genre (distinct counts) and song_distinct. One scan of each input."""
+    genre (distinct counts) and song_distinct. One scan of each input; posts are first counted
+    per (genre, artist, song), so only the distinct triples are expanded for the three counts."""
     raw_n = raw.select(F.count(F.lit(1))).scalar()
-    agg = enriched.agg(
-        F.count(F.lit(1)).alias("processed_tweet"),
-        F.count("song").alias("song"),
+    triples = enriched.groupBy("genre", "artist", "song").agg(F.count(F.lit(1)).alias("_n"))
+    total = lambda n: F.coalesce(F.sum(n), F.lit(0).cast("bigint"))
+    agg = triples.agg(
+        total("_n").alias("processed_tweet"),
+        total(F.when(F.col("song").isNotNull(), F.col("_n"))).alias("song"),
         F.count_distinct("artist").alias("artist"),
         F.count_distinct("genre").alias("genre"),
         F.count_distinct("song").alias("song_distinct"),
@@ -76,7 +79,7 @@ def genre_values(genres: DataFrame, col: str = "genre") -> list[str]:
     limit = int(genres.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
     rows = genres.select(col).where(F.col(col).isNotNull()).distinct().limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ValueError(f"more than {limit} genres; too many pivot columns")
+        raise ValueError(f"more than {limit} genres for columns; use hourly_genre_counts, one row per hour and genre")
     return sorted(r[0] for r in rows)
 
 

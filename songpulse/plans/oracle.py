@@ -11,6 +11,7 @@ from songpulse.sources.fixtures import PROCESSED_BEFORE
 
 WS = "(" + " || ".join(f"chr({ord(c)})" for c in PY2_WHITESPACE) + ")"
 # RE2 has no UNIX_LINES flag; its "." already excludes only "\n".
+# The extraction cascade, as the original program has it.
 RE2_PATTERNS = [
     r"(?i)#nowplaying(.*.)by(.*?)from",
     r"(?i)#nowplaying(.*.)-(.*.)",
@@ -61,13 +62,13 @@ CATALOG = """catalog AS (
 
 TWEETS = """tweets AS (
   SELECT e.event_id, e.user_id, e.ts,
-    CASE e.event_id % 8
+    CASE (e.event_id + e.event_id // (SELECT count(*) FROM part)) % 8
       WHEN 0 THEN '#nowplaying ' || p.p_name || ' by ' || replace(p.p_brand, '#', ' ')
                   || ' from Radio http://t.co/x' || CAST(e.event_id AS VARCHAR)
       WHEN 1 THEN '#NowPlaying ' || p.p_name || ' - ' || replace(p.p_brand, '#', ' ') || ' #music'
       WHEN 2 THEN '#nowplaying ' || p.p_name || ' by ' || replace(p.p_brand, '#', ' ')
       WHEN 3 THEN p.p_name || ' - ' || replace(p.p_brand, '#', ' ') || ' #NOWPLAYING'
-      WHEN 4 THEN 'I love ' || p.p_name || ' @dj #nowplaying'
+      WHEN 4 THEN 'I love ' || p.p_name || ' @dj' || CASE WHEN e.event_id % 3 = 0 THEN '' ELSE ' #nowplaying' END
       WHEN 5 THEN '#nowplaying ' || p.p_name || ' by from x'
       WHEN 6 THEN '#nowplaying ' || p.p_name || ' by Unknown Artist'
       ELSE '#nowplaying Wrong Title by ' || replace(p.p_brand, '#', ' ')
@@ -95,7 +96,7 @@ song_hits AS (
     FROM (SELECT *, lower({strip('song')}) AS song_key FROM catalog))
   WHERE rn = 1),
 artist_tracks AS (
-  SELECT artist_key, artist, song, track_id FROM (
+  SELECT artist_key, artist, song, track_id, genre AS own_genre FROM (
     SELECT *, row_number() OVER (PARTITION BY artist_key ORDER BY popularity DESC, track_id) AS rn
     FROM (SELECT *, lower({strip('artist')}) AS artist_key FROM catalog))
   WHERE rn = 1),
@@ -106,7 +107,7 @@ artist_genres AS (
           FROM catalog GROUP BY 1, 2))
   WHERE rn = 1),
 tops AS (
-  SELECT t.artist_key, t.artist, t.song, g.genre, t.track_id
+  SELECT t.artist_key, t.artist, t.song, g.genre, t.own_genre, t.track_id
   FROM artist_tracks t JOIN artist_genres g USING (artist_key))"""
 
 
@@ -122,9 +123,11 @@ def resolve(src: str, a: str, s: str, with_song_only: bool) -> str:
     )
 
     def pick(c: str) -> str:
+        # Artist only: the hit's own genre; the artist's main genre belongs to the fallback.
+        top = "CASE WHEN r._s = '' THEN tp.own_genre ELSE tp.genre END" if c == "genre" else f"tp.{c}"
         return (
             f"CASE WHEN h.key IS NOT NULL THEN h.{c} WHEN sh.song_key IS NOT NULL THEN sh.{c} "
-            f"WHEN tp.artist_key IS NOT NULL THEN tp.{c} END"
+            f"WHEN tp.artist_key IS NOT NULL THEN {top} END"
         )
 
     return f"""(SELECT r.* EXCLUDE (_a, _s), {pick('artist')} AS res_artist, {pick('song')} AS res_song,
@@ -140,12 +143,12 @@ resolved AS {resolve('complete_ids', 'artist', 'song', False)},
 enriched_users AS (
   SELECT raw_tweet, processed_tweet, res_artist AS artist, res_song AS song, res_genre AS genre,
          tweet_time, user_id, event_id
-  FROM resolved WHERE res_artist IS NOT NULL),
+  FROM resolved WHERE res_genre IS NOT NULL),
 enriched AS (
   SELECT raw_tweet, processed_tweet, artist, song, genre, tweet_time FROM enriched_users)"""
 
 GENRE_DIM = """genre_dim_raw AS (
-  SELECT track_id AS ordinal, lower(genre) AS name, CAST(track_id + 1000 AS INTEGER) AS genre_id
+  SELECT track_id AS ordinal, lower(genre) AS name, CAST(track_id + 1000 AS BIGINT) AS genre_id
   FROM catalog),
 genre_dim AS (SELECT name, arg_max(genre_id, ordinal) AS genre_id FROM genre_dim_raw GROUP BY name)"""
 
@@ -167,10 +170,10 @@ genre_norm AS (
 LOOKUP_REQUESTS = """lookup_requests AS (
   SELECT track_id AS request_id, CAST(track_id % 7 AS INTEGER) AS case_id,
     CASE WHEN track_id % 7 IN (0, 1, 2) THEN artist
-         WHEN track_id % 7 = 3 THEN 'Bloopie Boxie Boom' ELSE '' END AS artist_in,
+         WHEN track_id % 7 = 3 THEN 'Nobody Of That Name' ELSE '' END AS artist_in,
     CASE WHEN track_id % 7 IN (0, 6) THEN song
-         WHEN track_id % 7 = 1 THEN 'He did not sing this song'
-         WHEN track_id % 7 = 4 THEN 'Bloopie Boxie Boom' ELSE '' END AS song_in
+         WHEN track_id % 7 = 1 THEN 'A Title Of Someone Else'
+         WHEN track_id % 7 = 4 THEN 'No Title At All' ELSE '' END AS song_in
   FROM catalog)"""
 
 HOURLY = f"""hourly AS (
@@ -190,7 +193,7 @@ def _base(*more: str) -> str:
 
 _CAT = with_(CATALOG)
 _ENRICHED_COLS = "raw_tweet, processed_tweet, artist, song, genre, tweet_time"
-_LINES_OK = "NOT (event_id % 50 = 0 OR event_id % 77 = 0 OR event_id % 91 = 0)"
+_LINES_OK = "NOT (event_id % 50 = 0 OR event_id % 77 = 0 OR event_id % 91 = 0 OR event_id % 83 = 0)"
 _TOPK_SONGS = """song_counts AS (SELECT genre, song, artist, count(*) AS count FROM enriched GROUP BY 1, 2, 3),
 top_songs AS (
   SELECT genre, CAST(rank AS INTEGER) AS rank, song, artist, count FROM (
@@ -242,7 +245,8 @@ ORACLE: dict[str, str] = {
     "complete_tweets": _base() + "SELECT * FROM cleaned WHERE song <> '' AND artist <> ''",
     "hashtag_filter": with_(CATALOG, TWEETS)
     + "SELECT 'tweets' AS source, event_id AS post_id FROM tweets WHERE contains(lower(raw_tweet), '#nowplaying') "
-    "UNION ALL SELECT 'documents', doc_id FROM documents WHERE contains(lower(text), '#nowplaying')",
+    "UNION ALL SELECT 'documents', doc_id FROM documents "
+    "WHERE contains(lower(text || CASE WHEN doc_id % 10 = 0 THEN ' #NowPlaying' ELSE '' END), '#nowplaying')",
     "lang_filter": "SELECT doc_id, text FROM documents WHERE lang = 'en'",
     "scan_cleaned": _base() + "SELECT * FROM cleaned",
     "sink_roundtrip": _base() + "SELECT * FROM cleaned",
@@ -252,7 +256,7 @@ ORACLE: dict[str, str] = {
     # catalogue lookups and joins
     "enrich_tweets": _base() + "SELECT * FROM enriched",
     "catalog_best_hit": with_(CATALOG, HITS) + "SELECT key, artist, song, genre, track_id, popularity FROM hits",
-    "catalog_artist_top": with_(CATALOG, HITS) + "SELECT artist_key, artist, song, genre, track_id FROM tops",
+    "catalog_artist_top": with_(CATALOG, HITS) + "SELECT artist_key, artist, song, genre, own_genre, track_id FROM tops",
     "lookup_modes": with_(CATALOG, HITS, LOOKUP_REQUESTS)
     + "SELECT * FROM " + resolve("lookup_requests", "artist_in", "song_in", True),
     "lookup_artist_only": with_(CATALOG, HITS, LOOKUP_REQUESTS)
@@ -296,14 +300,12 @@ ORACLE: dict[str, str] = {
     + f"SELECT {hour_label('hour_start')} || ',' || genre || ',' || CAST(count AS VARCHAR) AS line FROM hourly",
     "distinct_artists": _base() + "SELECT DISTINCT artist FROM enriched",
     "distinct_genres": _base() + "SELECT DISTINCT genre FROM enriched",
-    # Columns are the catalogue's genres: zero rows at an existing hour add a column for a
-    # genre without posts and change no sum.
+    # The genres of the driver's catalogue (a view cannot take columns from data).
     "genre_timeseries": _base(HOURLY)
     + "SELECT * FROM (PIVOT (SELECT hour_start, "
     + hour_label("hour_start")
-    + " AS tweet_time, genre, count FROM (SELECT * FROM hourly UNION ALL "
-    "SELECT genre, (SELECT min(hour_start) FROM hourly), 0 FROM (SELECT DISTINCT genre FROM catalog))) "
-    "ON genre USING CAST(coalesce(sum(count), 0) AS BIGINT) GROUP BY hour_start, tweet_time)",
+    + " AS tweet_time, genre, count FROM hourly) "
+    "ON genre IN ('ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD') USING CAST(coalesce(sum(count), 0) AS BIGINT) GROUP BY hour_start, tweet_time)",
     "top_genre_per_hour": _base(HOURLY)
     + f"SELECT hour_start, {hour_label('hour_start')} AS tweet_time, genre, count FROM ("
     "SELECT *, rank() OVER (PARTITION BY hour_start ORDER BY count DESC) AS rk FROM hourly) WHERE rk = 1",

@@ -22,13 +22,12 @@ from songpulse.functions import (
     strip,
     tokens,
 )
-from songpulse.functions.text import extract_song_artist
 from songpulse.operators import catalog as catalog_ops
 from songpulse.operators import genres as genre_ops
 from songpulse.operators import ranking, summary
+from songpulse.operators.clean import with_song_artist
 from songpulse.operators.incremental import append_enriched, enrich_new
 from songpulse.plans.derived import Derived
-from songpulse.plans.sizing import spread
 from songpulse.session import scratch_path
 from songpulse.sources import feed, fixtures, sinks
 from songpulse.sources.tweets import parse_tweets, read_cleaned, read_enriched
@@ -50,7 +49,7 @@ def query(name: str):
 
 
 def _documents(spark, sf):
-    return spread(Derived(spark, sf).t.documents, "doc_id")
+    return fixtures.spread_scan(Derived(spark, sf).t.documents, "doc_id")
 
 
 @query("clean_text")
@@ -68,8 +67,7 @@ def q_strip_text(spark, sf):
 @query("extract_song_artist")
 def q_extract(spark, sf):
     tw = Derived(spark, sf).tweets
-    e = tw.select("event_id", extract_song_artist("raw_tweet").alias("e"))
-    return e.select("event_id", F.col("e.song").alias("song"), F.col("e.artist").alias("artist"))
+    return with_song_artist(tw.select("event_id", "raw_tweet"), "raw_tweet").drop("raw_tweet")
 
 
 @query("lookup_key")
@@ -117,7 +115,7 @@ def q_hashtag(spark, sf):
     posts = p.tweets.select(
         F.lit("tweets").alias("source"), F.col("event_id").alias("post_id"), F.col("raw_tweet").alias("text")
     ).unionByName(
-        _documents(spark, sf).select(F.lit("documents").alias("source"), F.col("doc_id").alias("post_id"), "text")
+        fixtures.tagged_documents(p.t.documents).select(F.lit("documents").alias("source"), F.col("doc_id").alias("post_id"), "text")
     )
     return posts.where(F.lower("text").contains("#nowplaying")).select("source", "post_id")
 
@@ -198,22 +196,26 @@ def q_lookup_song(spark, sf):
     return _lookups(spark, sf, (strip("artist_in") == "") & (strip("song_in") != ""))
 
 
+def _genre_dim(cat):
+    return genre_ops.genre_dim(fixtures.genre_dim_raw(cat))
+
+
 @query("genre_dim_dedupe")
 def q_genre_dim(spark, sf):
-    return genre_ops.genre_dim(Derived(spark, sf).catalog)
+    return _genre_dim(Derived(spark, sf).catalog)
 
 
 @query("genre_lookup")
 def q_genre_lookup(spark, sf):
     cat = Derived(spark, sf).catalog
-    out = genre_ops.lookup_genres(fixtures.genre_requests(cat), genre_ops.genre_dim(cat))
+    out = genre_ops.lookup_genres(fixtures.genre_requests(cat), _genre_dim(cat))
     return out.select("request_id", "request", "name", "genre_id")
 
 
 @query("genre_unknown")
 def q_genre_unknown(spark, sf):
     cat = Derived(spark, sf).catalog
-    out = genre_ops.unknown_genres(fixtures.genre_requests(cat), genre_ops.genre_dim(cat))
+    out = genre_ops.unknown_genres(fixtures.genre_requests(cat), _genre_dim(cat))
     return out.select("request_id", "request", "name")
 
 
@@ -221,11 +223,10 @@ def q_genre_unknown(spark, sf):
 def q_feed(spark, sf):
     """Requested genre names -> genre id -> landed feed document -> [song, artist] rows."""
     cat = Derived(spark, sf).catalog
-    dim = genre_ops.genre_dim(cat)
+    dim = _genre_dim(cat)
     path = scratch_path(spark, "feed")
     feed.write_feed_docs(feed.build_feed_docs(cat, dim), path)
-    names = genre_ops.lookup_genres(fixtures.genre_requests(cat), dim).select("name", "genre_id").distinct()
-    return names.join(feed.read_feed(spark, path), "genre_id")
+    return genre_ops.top_10_songs(fixtures.genre_requests(cat), dim, feed.read_feed(spark, path))
 
 
 @query("chart_compare")
@@ -321,10 +322,10 @@ def q_top_region(spark, sf):
 # ---- incremental -----------------------------------------------------------------------------
 
 
-def _processed_sink(spark, p: Derived) -> str:
+def _processed_sink(spark, cleaned, cat) -> str:
     """Enriched rows of the days before the split, written as the existing sink."""
     path = scratch_path(spark, "enriched")
-    early = p.enriched.where(F.col("tweet_time") < fixtures.PROCESSED_BEFORE)
+    early = catalog_ops.enrich(cleaned.where(F.col("tweet_time") < fixtures.PROCESSED_BEFORE), cat)
     schemas.conform(early, schemas.ENRICHED).write.parquet(path)
     return path
 
@@ -332,8 +333,11 @@ def _processed_sink(spark, p: Derived) -> str:
 @query("incremental_after_hwm")
 def q_incremental(spark, sf):
     p = Derived(spark, sf)
-    processed = read_enriched(spark, _processed_sink(spark, p))
-    return schemas.conform(enrich_new(p.cleaned, processed, p.catalog), schemas.ENRICHED)
+    cleaned_path = scratch_path(spark, "cleaned")
+    schemas.conform(p.cleaned, schemas.CLEANED).write.parquet(cleaned_path)
+    cleaned = read_cleaned(spark, cleaned_path)
+    processed = read_enriched(spark, _processed_sink(spark, cleaned, p.catalog))
+    return schemas.conform(enrich_new(cleaned, processed, p.catalog), schemas.ENRICHED)
 
 
 @query("incremental_first_run")
@@ -362,12 +366,9 @@ def q_enrich_incremental(spark, sf):
 
 # ---- streaming -------------------------------------------------------------------------------
 
-STREAM_FILES = 4
-
-
 def _landed(spark, p: Derived) -> str:
     path = scratch_path(spark, "landing")
-    streaming.land_lines(fixtures.tweet_lines(p.tweets), path, STREAM_FILES)
+    streaming.land_lines(fixtures.tweet_lines(p.tweets), path)
     return path
 
 
@@ -375,10 +376,10 @@ def _stream(spark, sf, job, with_catalog=False, reader=None):
     p = Derived(spark, sf)
     landing = _landed(spark, p)
     sink, ckpt = scratch_path(spark, "sink"), scratch_path(spark, "stream-ckpt")
-    if with_catalog:
-        job(spark, landing, sink, ckpt, p.catalog)
-    else:
-        job(spark, landing, sink, ckpt)
+    # Landing makes a file per partition, at least one per core: a batch takes a quarter of the cores' files.
+    per_batch = max(1, spark.sparkContext.defaultParallelism // 4)
+    inputs = [p.catalog] if with_catalog else []
+    job(spark, landing, sink, ckpt, *inputs, max_files=per_batch)
     return reader(spark, sink) if reader else spark.read.parquet(sink)
 
 

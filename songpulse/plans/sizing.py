@@ -1,7 +1,7 @@
-"""Broadcast only behind a checked row bound; otherwise leave the join to a shuffle.
+"""Broadcast only behind a checked size; otherwise leave the join to a shuffle.
 
-The bound is a row count of a table that is at least as large as the side to broadcast
-(for parquet scans and projections of them Spark answers it from file footers).
+The size is measured in bytes over the table that the sides to broadcast are aggregated from, and
+covers all sides that are broadcast together.
 """
 
 from __future__ import annotations
@@ -9,64 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BROADCAST_MAX_ROWS_CONF = "songpulse.broadcast.maxRows"
-# A lookup-table row holds a key and four short fields (~100-200 bytes), so 1M rows is a
-# broadcast of roughly 100-200 MB to every executor.
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES_CONF = "songpulse.broadcast.maxBytes"
+DEFAULT_BROADCAST_MAX_BYTES = 256 << 20
+#: Bytes of a row beside its strings: fixed-width fields, offsets and the hash table's entry.
+ROW_OVERHEAD = 128
 
 
-def broadcast_max_rows(spark: SparkSession) -> int:
-    return int(spark.conf.get(BROADCAST_MAX_ROWS_CONF, str(DEFAULT_BROADCAST_MAX_ROWS)))
+def fits_broadcast(spark: SparkSession, n_bytes: int) -> bool:
+    return n_bytes <= int(spark.conf.get(BROADCAST_MAX_BYTES_CONF, str(DEFAULT_BROADCAST_MAX_BYTES)))
 
 
-_COUNTS: dict[tuple, int] = {}
-_SPLITS: dict[tuple, int] = {}
-
-
-def _key(df: DataFrame) -> tuple:
-    # The plan's semantic hash plus the files it reads: new or rewritten files (Spark writes
-    # new part-file names) give a new key. A stale entry could only change a broadcast or
-    # spreading decision, never a result.
-    return (df.semanticHash(), tuple(sorted(df.inputFiles())))
-
-
-def row_bound(df: DataFrame) -> int:
-    """Row count of ``df`` (remembered per plan and input files)."""
-    key = _key(df)
-    if key not in _COUNTS:
-        _COUNTS[key] = df.count()
-    return _COUNTS[key]
-
-
-def fits_broadcast(spark: SparkSession, upper_bound_rows: int) -> bool:
-    return upper_bound_rows <= broadcast_max_rows(spark)
-
-
-def maybe_broadcast(df: DataFrame, upper_bound_rows: int) -> DataFrame:
-    """``broadcast(df)`` when ``upper_bound_rows`` is within the configured limit, else ``df``
-    unchanged (sort-merge join, with AQE splitting skewed partitions)."""
-    if fits_broadcast(df.sparkSession, upper_bound_rows):
-        return F.broadcast(df)
-    return df
-
-
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Give CPU-heavy per-row work (regex cleaning) at least one partition per core.
-
-    ``scan`` must be a plain file scan: its partition count comes from the file splits without
-    running a job. A small input stored as one row group is one partition; it is then
-    hash-partitioned on ``key`` (deterministic on retry). At scale the scan already has more
-    splits than cores and this is a no-op, so no shuffle is added.
-    """
-    if scan.isStreaming:
-        return scan
-    try:
-        target = scan.sparkSession.sparkContext.defaultParallelism
-        memo = _key(scan)
-        if memo not in _SPLITS:
-            _SPLITS[memo] = scan.rdd.getNumPartitions()
-    except Exception:  # e.g. a Spark Connect session exposes no RDDs: leave the plan as is
-        return scan
-    if _SPLITS[memo] < target:
-        return scan.repartition(target, key)
-    return scan
+def byte_bound(df: DataFrame, strings: tuple[str, ...]) -> int:
+    """Bytes that the rows of ``df`` take with the given string columns (one aggregate)."""
+    sizes = [F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint") for c in strings]
+    row = sum(sizes, F.lit(ROW_OVERHEAD).cast("bigint"))
+    return df.agg(F.sum(row)).first()[0] or 0

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -48,7 +49,8 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (a local test) is a private folder made and registered.
+    Only a local session (a test) may name none: it gets a private folder. On a cluster that would
+    be each machine's own disk, so it is an error there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
@@ -60,6 +62,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root
     root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="songpulse-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     spark.conf.set("spark.checkpoint.dir", root)
@@ -73,6 +77,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}{sep}songpulse/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is directly in ``path`` on its file system; empty if it does not exist."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme (for tests that look at files directly)."""
     return path[5:] if path.startswith("file:") else path

@@ -14,22 +14,16 @@ def build_feed_docs(cat: DataFrame, dim: DataFrame, k: int = 10) -> DataFrame:
     """One JSON document per genre id: its ``k`` most popular tracks as ``song - artist``
     labels, then one label without a separator and one with two."""
     top = top_tracks_by_popularity(cat, k)
-    labels = top.select(
-        "genre",
-        (F.col("rank") - 1).alias("pos"),
-        F.concat_ws(" - ", "song", "artist").alias("label"),
-    )
-    first = top.where(F.col("rank") == 1)
-    extras = first.select("genre", F.lit(k).alias("pos"), F.col("song").alias("label")).unionByName(
-        first.select(
-            "genre",
-            F.lit(k + 1).alias("pos"),
-            F.concat_ws(" - ", "song", "artist", F.lit("live")).alias("label"),
-        )
+    label = F.concat_ws(" - ", "song", "artist")
+    at = lambda pos, text: F.struct(pos.cast("int").alias("pos"), text.alias("label"))
+    # The extra labels are made from the first track's own row: one pass over the catalogue.
+    first = F.array(
+        at(F.lit(0), label), at(F.lit(k), F.col("song")), at(F.lit(k + 1), F.concat_ws(" - ", label, F.lit("live")))
     )
+    each = F.when(F.col("rank") == 1, first).otherwise(F.array(at(F.col("rank") - 1, label)))
     # At most k + 2 entries per genre, so collecting them per genre is bounded.
-    entries = labels.unionByName(extras).groupBy("genre").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "label"))).alias("e")
+    entries = top.select("genre", F.explode(each).alias("x")).groupBy("genre").agg(
+        F.sort_array(F.collect_list("x")).alias("e")
     )
     docs = entries.join(dim, F.lower(F.col("genre")) == F.col("name"))
     doc = F.to_json(
@@ -51,7 +45,7 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
     """(genre_id, pos, label, n_parts, song, artist); a label is split on the literal
     ``' - '`` and may give one part (artist NULL) or more than two."""
     raw = spark.read.option("basePath", path).text(path)
-    doc = raw.select(F.col("genre_id").cast("int"), F.from_json("value", schemas.FEED).alias("d"))
+    doc = raw.select(F.col("genre_id").cast("bigint"), F.from_json("value", schemas.FEED).alias("d"))
     ex = doc.select("genre_id", F.posexplode("d.feed.entry").alias("pos", "entry"))
     parts = F.split(F.col("entry.title.label"), " - ", -1)
     return ex.select(

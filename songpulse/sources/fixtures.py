@@ -37,27 +37,45 @@ def _cat(*parts: str | Column) -> Column:
     return F.concat(*[_s(p) for p in parts])
 
 
+def spread_scan(scan: DataFrame, key: str) -> DataFrame:
+    """Input of a fixture as at least one partition per core.
+
+    The driver tables are single row groups, so a scan of one is one task; the fixtures stand
+    for landed data of many files. Only fixtures use this; operators take inputs as they are.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
+
+
+def tagged_documents(documents: DataFrame) -> DataFrame:
+    """Documents (doc_id, text), every tenth with the hashtag at its end."""
+    tag = F.when(F.col("doc_id") % 10 == 0, F.lit(" #NowPlaying")).otherwise(F.lit(""))
+    return spread_scan(documents, "doc_id").select("doc_id", F.concat("text", tag).alias("text"))
+
+
 def tweets(events: DataFrame, part: DataFrame) -> DataFrame:
     """Posts (event_id, user_id, ts, raw_tweet, tweet_time): one per event, about the track
-    ``event_id % count(part)``, written in one of eight shapes chosen by ``event_id % 8``."""
-    from songpulse.plans.sizing import spread
-
+    ``event_id % count(part)``, written in one of eight shapes. The shape moves on by one each
+    time the events have gone through the tracks, so a track meets all shapes; a third of
+    the posts of shape 4 have no hashtag."""
     n_parts = part.select(F.count(F.lit(1))).scalar()
-    ev = spread(events, "event_id").select(
-        "event_id", "user_id", "ts", (F.col("event_id") % n_parts).alias("_pk")
+    turn = F.floor(F.col("event_id") / n_parts).cast("bigint")
+    ev = spread_scan(events, "event_id").select(
+        "event_id", "user_id", "ts", (F.col("event_id") % n_parts).alias("_pk"), ((F.col("event_id") + turn) % 8).alias("_k")
     )
     tracks = part.select(
         F.col("p_partkey").alias("_pk"),
         F.col("p_name").alias("_s"),
         F.replace(F.col("p_brand"), F.lit("#"), F.lit(" ")).alias("_a"),
     )
-    s, a, k = F.col("_s"), F.col("_a"), F.col("event_id") % 8
+    s, a, k = F.col("_s"), F.col("_a"), F.col("_k")
     text = (
         F.when(k == 0, _cat("#nowplaying ", s, " by ", a, " from Radio http://t.co/x",
                             F.col("event_id").cast("string")))
         .when(k == 1, _cat("#NowPlaying ", s, " - ", a, " #music"))
         .when(k == 2, _cat("#nowplaying ", s, " by ", a))
         .when(k == 3, _cat(s, " - ", a, " #NOWPLAYING"))
+        .when((k == 4) & (F.col("event_id") % 3 == 0), _cat("I love ", s, " @dj"))
         .when(k == 4, _cat("I love ", s, " @dj #nowplaying"))
         .when(k == 5, _cat("#nowplaying ", s, " by from x"))
         .when(k == 6, _cat("#nowplaying ", s, " by Unknown Artist"))
@@ -74,7 +92,8 @@ def tweets(events: DataFrame, part: DataFrame) -> DataFrame:
 
 def tweet_lines(tw: DataFrame) -> DataFrame:
     """JSON lines (event_id, value) as a post stream delivers them, with noise: every 50th
-    event is a ``{"limit":1}`` notice, every 77th an empty line, every 91st not JSON."""
+    event is a ``{"limit":1}`` notice, every 77th an empty line, every 91st not JSON, every 83rd
+    has a time beyond the range of an int."""
     line = F.to_json(
         F.struct(
             epoch_ms_from_ntz("ts").cast("string").alias("timestamp_ms"),
@@ -86,6 +105,7 @@ def tweet_lines(tw: DataFrame) -> DataFrame:
         F.when(eid % 50 == 0, F.lit('{"limit":1}'))
         .when(eid % 77 == 0, F.lit(""))
         .when(eid % 91 == 0, F.lit("not json"))
+        .when(eid % 83 == 0, F.lit('{"timestamp_ms":9999999999999,"text":"#nowplaying a by b"}'))
         .otherwise(line)
     )
     return tw.select("event_id", value.alias("value"))
@@ -97,13 +117,13 @@ def lookup_requests(cat: DataFrame) -> DataFrame:
     k = F.col("track_id") % 7
     artist = (
         F.when(k.isin(0, 1, 2), F.col("artist"))
-        .when(k == 3, F.lit("Bloopie Boxie Boom"))
+        .when(k == 3, F.lit("Nobody Of That Name"))
         .otherwise(F.lit(""))
     )
     song = (
         F.when(k.isin(0, 6), F.col("song"))
-        .when(k == 1, F.lit("He did not sing this song"))
-        .when(k == 4, F.lit("Bloopie Boxie Boom"))
+        .when(k == 1, F.lit("A Title Of Someone Else"))
+        .when(k == 4, F.lit("No Title At All"))
         .otherwise(F.lit(""))
     )
     return cat.select(
@@ -136,18 +156,15 @@ def genre_dim_raw(cat: DataFrame) -> DataFrame:
     return cat.select(
         F.col("track_id").alias("ordinal"),
         F.lower(F.col("genre")).alias("name"),
-        (F.col("track_id") + 1000).cast("int").alias("genre_id"),
+        (F.col("track_id") + 1000).cast("bigint").alias("genre_id"),
     )
 
 
 def user_region(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """(user_id, region) through customer -> nation -> region."""
-    from songpulse.plans.sizing import maybe_broadcast, row_bound
-
     geo = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.col("n_nationkey"), F.col("r_name").alias("region")
     )
-    geo = maybe_broadcast(geo, row_bound(nation))
     return customer.join(geo, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_custkey").alias("user_id"), "region"
     )

@@ -15,7 +15,8 @@ _SCHEMAS: dict[str, object] = {}
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one driver table. Its schema is inferred once per path and then given to later
-    reads, which skips the footer-reading job; files are still listed on every read."""
+    reads, which skips the footer-reading job; files are still listed on every read. A table
+    whose columns change within one process must be read under another path."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"

@@ -17,8 +17,8 @@ JSON_OPTIONS = {"allowSingleQuotes": "false"}
 def parse_tweets(df: DataFrame, value_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Parse JSON post lines from any batch or streaming DataFrame with a string column.
 
-    Blank lines, non-JSON lines, notices without ``text`` and non-numeric ``timestamp_ms`` are
-    dropped one by one (the rest of the batch is kept). ``tweet_time`` is epoch ms floored to
+    Blank lines, non-JSON lines, notices without ``text`` and ``timestamp_ms`` that is
+    no number or out of range are dropped one by one (the rest of the batch is kept). ``tweet_time`` is epoch ms floored to
     seconds.
     """
     p = F.from_json(F.col(value_col), schemas.TWEET_LINE_DDL, JSON_OPTIONS)
@@ -51,13 +51,15 @@ def read_tweet_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def stream_tweet_lines(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """Landed line files as a stream; ``maxFilesPerTrigger`` is the per-batch admission cap."""
-    return (
-        spark.readStream.format("text")
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .load(path)
-    )
+def stream_tweet_lines(
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = 1, max_bytes_per_trigger: int | None = None
+) -> DataFrame:
+    """Landed line files as a stream. The per-batch admission cap is a number of files or, if
+    ``max_bytes_per_trigger`` is given , their bytes."""
+    reader = spark.readStream.format("text")
+    if max_bytes_per_trigger:
+        return reader.option("maxBytesPerTrigger", max_bytes_per_trigger).load(path)
+    return reader.option("maxFilesPerTrigger", max_files_per_trigger).load(path)
 
 
 def read_cleaned(spark: SparkSession, path: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Streaming forms of the batch jobs.
 
 The source is a directory of landed JSON lines (any connector giving a string ``value`` column
-plugs into ``parse_tweets`` the same way). ``maxFilesPerTrigger`` caps each micro-batch, the
+plugs into ``parse_tweets`` the same way). ``max_files`` or ``max_bytes`` cap each micro-batch, the
 checkpoint makes a restart resume at the last committed batch, and the parquet file sink is
 exactly-once. Tests and the registered queries run with ``availableNow``; production uses a
 processing-time trigger (120 s in the original).
@@ -18,14 +18,19 @@ from songpulse.functions import hour_label
 from songpulse.operators.catalog import catalog_index, enrich
 from songpulse.operators.clean import clean_tweets
 from songpulse.plans.sizing import fits_broadcast
+from songpulse.session import child_folders, delete_folder
 from songpulse.sources.tweets import parse_tweets, stream_tweet_lines
 
 DEFAULT_TRIGGER = "120 seconds"
+#: Files that a micro-batch adds per day to a day-partitioned sink, at most.
+FILES_PER_DAY = 8
 
 
-def land_lines(lines: DataFrame, path: str, files: int) -> None:
-    """Write (event_id, value) lines as ``files`` text files, split by a hash of event_id."""
-    lines.repartition(files, "event_id").select("value").write.mode("errorifexists").text(path)
+def land_lines(lines: DataFrame, path: str, files: int | None = None) -> None:
+    """Write (event_id, value) lines as text files, one per partition of ``lines``; given
+    ``files``, as that many, split by a hash of event_id."""
+    dealt = lines.repartition(files, "event_id") if files else lines
+    dealt.select("value").write.mode("errorifexists").text(path)
 
 
 def run_to_sink(
@@ -72,36 +77,42 @@ def run_to_sink(
     return q
 
 
-def _parsed(spark: SparkSession, landing: str, max_files: int) -> DataFrame:
-    return parse_tweets(stream_tweet_lines(spark, landing, max_files))
+def _parsed(spark: SparkSession, landing: str, max_files: int | None, max_bytes: int | None) -> DataFrame:
+    return parse_tweets(stream_tweet_lines(spark, landing, max_files, max_bytes))
 
 
-def stream_ingest(spark, landing, sink, checkpoint, max_files=1, **kw) -> StreamingQuery:
+def stream_ingest(spark, landing, sink, checkpoint, max_files=1, max_bytes=None, **kw) -> StreamingQuery:
     """Landed lines -> (raw_tweet, tweet_time) parquet."""
-    return run_to_sink(schemas.conform(_parsed(spark, landing, max_files), schemas.RAW_TWEET), sink, checkpoint, **kw)
+    parsed = _parsed(spark, landing, max_files, max_bytes)
+    return run_to_sink(schemas.conform(parsed, schemas.RAW_TWEET), sink, checkpoint, **kw)
 
 
-def stream_clean(spark, landing, sink, checkpoint, max_files=1, partition_by_day=False, **kw) -> StreamingQuery:
+def stream_clean(
+    spark, landing, sink, checkpoint, max_files=1, partition_by_day=False, max_bytes=None, **kw
+) -> StreamingQuery:
     """Landed lines -> cleaned table parquet (optionally in ``day=`` partitions, which lets the
     incremental enrichment prune by date)."""
-    cleaned = schemas.conform(clean_tweets(_parsed(spark, landing, max_files)), schemas.CLEANED)
+    cleaned = schemas.conform(clean_tweets(_parsed(spark, landing, max_files, max_bytes)), schemas.CLEANED)
     if partition_by_day:
-        return run_to_sink(schemas.with_day(cleaned), sink, checkpoint, partition_by=[schemas.DAY], **kw)
+        # A batch adds at most FILES_PER_DAY files per day, and a hot day is still split over tasks.
+        part = F.pmod(F.xxhash64("raw_tweet", "tweet_time"), F.lit(FILES_PER_DAY))
+        dealt = schemas.with_day(cleaned).repartition(F.col(schemas.DAY), part)
+        return run_to_sink(dealt, sink, checkpoint, partition_by=[schemas.DAY], **kw)
     return run_to_sink(cleaned, sink, checkpoint, **kw)
 
 
-def _enriched_stream(spark, landing, cat, max_files) -> DataFrame:
+def _enriched_stream(spark, landing, cat, max_files, max_bytes) -> DataFrame:
     # Stream-static joins. The catalogue lookup tables are aggregated once when the query
     # starts and checkpointed (not re-aggregated every micro-batch); they are broadcast when
-    # the catalogue row count allows, otherwise each micro-batch is shuffled against them.
-    idx = catalog_index(cat, materialize=True)
-    strategy = "broadcast" if fits_broadcast(spark, idx.row_bound) else "direct"
-    return enrich(clean_tweets(_parsed(spark, landing, max_files)), idx, strategy=strategy)
+    # the catalogue's bytes allow, otherwise each micro-batch is shuffled against them.
+    idx = catalog_index(cat, materialize=True, song_only=False)
+    strategy = "broadcast" if fits_broadcast(spark, idx.n_bytes) else "direct"
+    return enrich(clean_tweets(_parsed(spark, landing, max_files, max_bytes)), idx, strategy=strategy)
 
 
-def stream_enrich(spark, landing, sink, checkpoint, cat, max_files=1, **kw) -> StreamingQuery:
+def stream_enrich(spark, landing, sink, checkpoint, cat, max_files=1, max_bytes=None, **kw) -> StreamingQuery:
     """Landed lines -> enriched table parquet (stream-static join with the catalogue)."""
-    out = schemas.conform(_enriched_stream(spark, landing, cat, max_files), schemas.ENRICHED)
+    out = schemas.conform(_enriched_stream(spark, landing, cat, max_files, max_bytes), schemas.ENRICHED)
     return run_to_sink(out, sink, checkpoint, **kw)
 
 
@@ -121,7 +132,8 @@ def genre_hour_stream(enriched: DataFrame, watermark: str | None = "2 hours") ->
     )
 
 
-STATE_PARTITIONS = 32
+#: Update batches after which one of them holds the whole result and older folders can go.
+COMPACT_EVERY = 50
 
 
 def stream_genre_hour(
@@ -133,7 +145,9 @@ def stream_genre_hour(
     max_files=1,
     output_mode="update",
     watermark=None,
-    state_partitions=STATE_PARTITIONS,
+    state_partitions=None,
+    max_bytes=None,
+    compact_every=COMPACT_EVERY,
     **kw,
 ) -> StreamingQuery:
     """Hourly genre counts as a continuous result.
@@ -141,22 +155,35 @@ def stream_genre_hour(
     ``update`` (default) writes only the (genre, hour) rows a batch changed, into that
     batch's own ``batch=<id>`` folder (a replayed batch rewrites just its folder); readers take
     the latest row per group with ``read_genre_hour``, so no partial result is ever visible.
+    Every ``compact_every`` batches the folder holds all groups, and a later batch removes the
+    folders before it. Batch ids belong to one checkpoint, so a new checkpoint on a sink that
+    holds results is refused.
     Without a watermark no row is ever dropped, so the result equals the batch count even when
-    posts arrive out of order; state stays bounded by hours x genres.
+    posts arrive out of order; the state has one row per hour and genre seen and is not evicted.
     ``append`` (needs ``watermark``, e.g. "2 hours") emits an hour once the watermark passes
-    it, to the file sink; rows older than the watermark are dropped as late.
+    it, to the file sink; rows older than the watermark are dropped as late, and so is state.
 
-    The state holds one row per (hour, genre) and counts arrive partially aggregated, so the
-    state gets at most ``state_partitions`` partitions instead of the cluster's shuffle
-    partitions (thousands of state stores per micro-batch would cost more than the state).
+    ``state_partitions``: shuffle partitions of the whole query, catalogue joins of a large
+    catalogue included; default the session's. Lower it only where the catalogue is broadcast
+    and the cluster's partition count would make too many state stores.
     """
     if state_partitions:
-        current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-        parts = min(current, state_partitions)
-        kw.setdefault("start_conf", {"spark.sql.shuffle.partitions": str(parts)})
-    counts = genre_hour_stream(_enriched_stream(spark, landing, cat, max_files), watermark)
+        kw.setdefault("start_conf", {"spark.sql.shuffle.partitions": str(state_partitions)})
+    counts = genre_hour_stream(_enriched_stream(spark, landing, cat, max_files, max_bytes), watermark)
     if output_mode == "update":
+        if child_folders(spark, sink) and not child_folders(spark, f"{checkpoint}/offsets"):
+            raise ValueError(f"{sink} holds results of another checkpoint; start a new sink or keep its checkpoint")
+
         def write_updates(batch: DataFrame, batch_id: int) -> None:
+            own = batch.sparkSession
+            # Folders before the last whole one of a committed batch are not read again.
+            whole = (batch_id - 1) // compact_every * compact_every if batch_id else 0
+            for name in child_folders(own, sink):
+                if name.startswith("batch=") and int(name[6:]) < whole:
+                    delete_folder(own, f"{sink}/{name}")
+            if batch_id and batch_id % compact_every == 0 and child_folders(own, sink):
+                log = own.read.parquet(sink).where(F.col("batch") < batch_id)
+                batch = _latest(log.unionByName(batch.withColumn("batch", F.lit(batch_id))))
             batch.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
 
         return run_to_sink(counts, sink, checkpoint, output_mode="update", foreach_batch=write_updates, **kw)
@@ -165,8 +192,11 @@ def stream_genre_hour(
     return run_to_sink(counts, sink, checkpoint, output_mode="append", **kw)
 
 
+def _latest(log: DataFrame) -> DataFrame:
+    return log.groupBy("genre", "tweet_time").agg(F.max_by("count", "batch").alias("count"))
+
+
 def read_genre_hour(spark: SparkSession, sink: str) -> DataFrame:
     """Current hourly counts from an ``update``-mode sink: per (genre, hour), the row written
     by the latest batch (a grouped aggregate, no sort)."""
-    log = spark.read.parquet(sink)
-    return log.groupBy("genre", "tweet_time").agg(F.max_by("count", "batch").alias("count"))
+    return _latest(spark.read.parquet(sink))

@@ -69,3 +69,12 @@ def test_day_partitioned_run_prunes_and_matches(spark):
     append_enriched(spark, full_path, sink, p.catalog, partition_by_day=True)
     got = sorted(map(tuple, read_enriched(spark, sink).drop("day").collect()))
     assert got == sorted(map(tuple, p.enriched.collect()))
+
+
+def test_mark_ignores_day_folders_above_the_sink(spark, tmp_path):
+    from songpulse.operators.incremental import high_water_mark
+
+    rows = [("r", "p", "a", "s", "g", t) for t in (1704067200, 1704412800)]
+    sink = str(tmp_path / "day=2024-01-01" / "sink")
+    schemas.with_day(spark.createDataFrame(rows, schemas.ENRICHED)).write.partitionBy("day").parquet(sink)
+    assert high_water_mark(read_if_exists(spark, sink)) == 1704412800

@@ -9,8 +9,10 @@ from conftest import SF_SMALL
 
 from songpulse.session import checkpoint_root
 
-QUERIES = entry_mod.queries()
-ORACLE = entry_mod.oracle_sql()
+from songpulse.plans.queries import REGISTRY
+
+QUERIES = {k: v for k, v in entry_mod.queries().items() if k in REGISTRY}
+ORACLE = {k: v for k, v in entry_mod.oracle_sql().items() if k in REGISTRY}
 
 
 @pytest.fixture(scope="module")

@@ -10,6 +10,8 @@ LINES = [
     ('{"timestamp_ms":"1","text":null}', "no_text", None),
     ('{"timestamp_ms":"abc","text":"x"}', "bad_time", None),
     ('{"text":"x"}', "bad_time", None),
+    ('{"timestamp_ms":9999999999999,"text":"a"}', "bad_time", None),
+    ('{"timestamp_ms":"99999999999999999999","text":"a"}', "bad_time", None),
     ("", "blank", None),
     ("   ", "blank", None),
     ("not json", "not_json", None),

@@ -99,3 +99,82 @@ def test_hourly_update_log_survives_rerun(spark):
     assert all(x["numInputRows"] == 0 for x in q.recentProgress)
     assert spark.read.parquet(sink).select("batch").distinct().count() == batches
     assert _rows(streaming.read_genre_hour(spark, sink)) == first
+
+
+LINE = '{"timestamp_ms":"%d000","text":"#nowplaying a by b"}'
+CAT = "track_id long, song string, artist string, genre string, popularity double"
+
+
+def _land(spark, landing, name, lines):
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{landing}/{name}")
+
+
+def test_stream_restarts_past_a_bad_time(spark):
+    landing, sink, ckpt = scratch_path(spark, "landing"), scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
+    _land(spark, landing, "f0", [LINE % 5, '{"timestamp_ms":9999999999999,"text":"a"}'])
+    streaming.stream_ingest(spark, f"{landing}/*", sink, ckpt)
+    _land(spark, landing, "f1", [LINE % 6])
+    streaming.stream_clean(spark, f"{landing}/*", sink + "-clean", ckpt + "-clean", partition_by_day=True)
+    streaming.stream_ingest(spark, f"{landing}/*", sink, ckpt)
+    assert [r["tweet_time"] for r in spark.read.parquet(sink).orderBy("tweet_time").collect()] == [5, 6]
+    assert spark.read.parquet(sink + "-clean").count() == 2
+
+
+def test_new_checkpoint_on_an_old_hourly_sink_is_refused(spark):
+    import pytest
+
+    landing, sink, ckpt = scratch_path(spark, "landing"), scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
+    cat = spark.createDataFrame([(1, "a", "b", "G", 1.0)], CAT)
+    _land(spark, landing, "f0", [LINE % 5])
+    streaming.stream_genre_hour(spark, f"{landing}/*", sink, ckpt, cat)
+    with pytest.raises(ValueError, match="another checkpoint"):
+        streaming.stream_genre_hour(spark, f"{landing}/*", sink, ckpt + "-new", cat)
+    _land(spark, landing, "f1", [LINE % 6])
+    streaming.stream_genre_hour(spark, f"{landing}/*", sink, ckpt, cat)
+    assert _rows(streaming.read_genre_hour(spark, sink)) == [("G", "01 Jan 1970-00", 2)]
+
+
+def test_hourly_log_is_compacted(spark):
+    from songpulse.session import child_folders
+
+    landing, sink, ckpt = scratch_path(spark, "landing"), scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
+    cat = spark.createDataFrame([(1, "a", "b", "G", 1.0)], CAT)
+    for i in range(8):
+        _land(spark, landing, f"f{i}", [LINE % (i * 3600), LINE % 7])
+    streaming.stream_genre_hour(spark, f"{landing}/*", sink, ckpt, cat, compact_every=3)
+    kept = {int(x[6:]) for x in child_folders(spark, sink) if x.startswith("batch=")}
+    assert min(kept) == 6 and len(kept) <= 4
+    got = {r["tweet_time"]: r["count"] for r in streaming.read_genre_hour(spark, sink).collect()}
+    assert len(got) == 8 and sum(got.values()) == 16
+
+
+def test_processing_time_trigger_runs_until_stopped(spark):
+    landing, sink, ckpt = scratch_path(spark, "landing"), scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
+    _land(spark, landing, "f0", [LINE % 5])
+    q = streaming.stream_ingest(spark, f"{landing}/*", sink, ckpt, max_files=None, max_bytes=1 << 20, available_now=False, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        _land(spark, landing, "f1", [LINE % 6])
+        q.processAllAvailable()
+        assert q.isActive and spark.read.parquet(sink).count() == 2
+    finally:
+        q.stop()
+
+
+def test_session_partitions_stay_for_the_hourly_stream(spark):
+    from songpulse.streaming import jobs
+
+    seen = {}
+
+    def fake(stream, *a, **kw):
+        seen.update(kw)
+
+    original, jobs.run_to_sink = jobs.run_to_sink, fake
+    try:
+        cat = spark.createDataFrame([(1, "a", "b", "G", 1.0)], CAT)
+        landing = scratch_path(spark, "landing")
+        _land(spark, landing, "f0", [LINE % 5])
+        jobs.stream_genre_hour(spark, f"{landing}/*", scratch_path(spark, "s"), scratch_path(spark, "c"), cat)
+    finally:
+        jobs.run_to_sink = original
+    assert "start_conf" not in seen
