@@ -39,7 +39,7 @@ sections = [
  ("Enrichment, catalogue within the broadcast bound (cleaned table read from parquet)",
   "Posts are never shuffled: both lookup tables are grouped aggregates of the catalogue, broadcast. The scan reads the five cleaned columns.",
   enrich(cleaned, p.catalog)),
- ("Enrichment, catalogue beyond the bound (`songpulse.broadcast.maxRows=0`, auto-broadcast off)",
+ ("Enrichment, catalogue beyond the bound (`songpulse.broadcast.maxBytes=0`, auto-broadcast off)",
   "Distinct (artist, song) requests are partially aggregated, resolved against the lookup tables, and joined back with one shuffle of the posts (AQE splits a hot partition).",
   None),
  ("Top-10 songs per genre",
@@ -48,13 +48,13 @@ sections = [
  ("Incremental selection by high-water mark",
   "The mark is a literal: `GreaterThan(tweet_time, ...)` is in `PushedFilters` of the cleaned scan.",
   incremental_after(cleaned, read_enriched(spark, sink))),
- ("Headline totals", "One pass: `Expand` feeds the three distinct counts and the row counts into one partial/final aggregate; the raw count is a scalar subquery (not shown).",
+ ("Headline totals", "One pass: posts are counted per (genre, artist, song) first; `Expand` then only feeds the distinct triples into the three distinct counts. The raw count is a scalar subquery (not shown).",
   REGISTRY["kpi_counts"](spark, sf)),
 ]
-spark.conf.set("songpulse.broadcast.maxRows", "0"); spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+spark.conf.set("songpulse.broadcast.maxBytes", "0"); spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
 big = enrich(cleaned, p.catalog)
 big_plan = compact(big)
-spark.conf.unset("songpulse.broadcast.maxRows"); spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+spark.conf.unset("songpulse.broadcast.maxBytes"); spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 doc = ["# Physical plans of the key queries", "",
        "Generated on sf0.01 with `local[8]`, 8 shuffle partitions, AQE on (initial plans; AQE may still",
        "turn a small shuffle join into a broadcast at run time). Expression ids and long expressions",
