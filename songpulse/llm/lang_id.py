@@ -45,7 +45,7 @@ _OTHER = re.compile(r"[\W\d_]+")
 def letters(text: str | None) -> bytes:
     """Lower-cased words of letters with single spaces around them; empty if there are none."""
     words = _OTHER.sub(" ", text.lower()).strip() if text else ""
-    return f" {words} ".encode("utf-8", "replace") if words else b""
+    return f" {words} ".encode("utf-8", "replace") if any(map(str.isalpha, words)) else b""
 
 
 def ngrams(raw: np.ndarray) -> Iterator[np.ndarray]:
