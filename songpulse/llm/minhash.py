@@ -7,13 +7,14 @@ by k steps around the circle. So two permutations give all coordinates. ``BANDS`
 probability (1 - 0.8^5)^32 = 3e-6.
 
 Copies (equal shingle sets) are first folded into one class, so that they cost one comparison
-per class. Then, in two passes, never a group collected and no pair of an agreeing group
+per class. Then, in three passes, never a group collected and no pair of an agreeing group
 listed:
 
-1. every class of a bucket is paired with the bucket's first class only; the pairs are verified
-   on the full sets and joined to components;
-2. buckets that still hold different components list the pairs across components (agreeing
-   in size class), which are verified too. Buckets inside one component list nothing.
+1. every class is paired with the least class that heads one of its buckets; the pairs are
+   verified on the full sets and joined to components;
+2. a class and the head of any of its buckets are a pair if their components still differ;
+3. buckets that still hold different components list the pairs across components (agreeing
+   in size class and sketch), which are verified too.
 
 Pairs are thinned before the sets are fetched by set sizes and by a 128-bit sketch (one bit per
 coordinate) whose bound a pair at the threshold misses with probability below 1e-7.
@@ -134,29 +135,37 @@ def _set_batches(k: int):
     return run
 
 
-def _similar_size(a: Column, b: Column, threshold: int) -> Column:
-    return 100 * F.least(a, b) >= threshold * F.greatest(a, b)
+def _near(a: str, b: str, threshold: int) -> Column:
+    """Whether sizes and sketches (columns n, s1, s2 with suffixes) leave room for a link; the bound on
+    bits holds for 80 per cent and above."""
+    n = [F.col(f"n_{x}") for x in (a, b)]
+    near = 100 * F.least(*n) >= threshold * F.greatest(*n)
+    if threshold < THRESHOLD:
+        return near
+    bits = [F.bit_count(F.col(f"{s}_{a}").bitwiseXOR(F.col(f"{s}_{b}"))) for s in ("s1", "s2")]
+    return near & (bits[0] + bits[1] <= SKETCH_MOST)
+
+
+def _side(features: DataFrame, name: str, *more: str | Column) -> DataFrame:
+    """Features as one side of a pair: id as ``name``, n, s1 and s2 with the suffix."""
+    return features.select(F.col("id").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in ("n", "s1", "s2")), *more)
 
 
 def _thinned(pairs: DataFrame, features: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (a, b) that sizes and sketches allow; the bound on bits holds for 80 per cent and above."""
-    x = features.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("s1").alias("a1"), F.col("s2").alias("a2"))
-    y = features.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("s1").alias("b1"), F.col("s2").alias("b2"))
-    bits = F.bit_count(F.col("a1").bitwiseXOR(F.col("b1"))) + F.bit_count(F.col("a2").bitwiseXOR(F.col("b2")))
-    near = bits <= SKETCH_MOST if threshold >= THRESHOLD else F.lit(True)
-    both = pairs.join(x, "a").join(y, "b").where(_similar_size(F.col("na"), F.col("nb"), threshold) & near)
-    return both.select("a", "b", "na", "nb")
+    """Pairs (a, b) that sizes and sketches allow, with the sizes."""
+    both = pairs.join(_side(features, "a"), "a").join(_side(features, "b"), "b")
+    return both.where(_near("a", "b", threshold)).select("a", "b", "n_a", "n_b")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFrame:
-    """Pairs (a, b, na, nb) whose full shingle sets reach the threshold, as links (a, b)."""
+    """Pairs (a, b, n_a, n_b) whose full shingle sets reach the threshold, as links (a, b)."""
     needed = stage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "minhash-needed")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string"))
     texts = texts.join(bounded(needed, BROADCAST_IDS), "id", "left_semi")
     sets = stage(texts.mapInArrow(_set_batches(k), "id long, sh array<long>").dropDuplicates(["id"]), "minhash-sets")
     x, y = sets.select(F.col("id").alias("a"), F.col("sh").alias("sa")), sets.select(F.col("id").alias("b"), F.col("sh").alias("sb"))
     common = F.size(F.array_intersect("sa", "sb"))
-    linked = 100 * common >= threshold * (F.col("na") + F.col("nb") - common)
+    linked = 100 * common >= threshold * (F.col("n_a") + F.col("n_b") - common)
     return pairs.join(y, "b").join(x, "a").where(linked).select("a", "b")
 
 
@@ -176,26 +185,35 @@ def classes(
     heads = keys.groupBy("key").agg(F.min("id").alias("head"), F.count("*").alias("size")).where("size > 1")
     members = stage(keys.join(heads, "key"), "minhash-members")
 
-    first = members.where("id != head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
     features = reps.select("id", "n", "s1", "s2")
-    links = stage(verified(stage(_thinned(first, features, threshold), "minhash-pairs"), docs, shingle_words, threshold), "minhash-links")
+    others = members.where("id != head")
+
+    def link(pairs: DataFrame) -> DataFrame:
+        return stage(verified(stage(pairs, "minhash-pairs"), docs, shingle_words, threshold), "minhash-links")
+
+    links = link(_thinned(others.groupBy(F.col("id").alias("b")).agg(F.min("head").alias("a")), features, threshold))
     labels = components(links)
 
-    # Second pass: buckets whose classes are not yet one component, without pairs tried above.
-    left = members.where("size > 2").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    first, second = labels.select("id", "label"), labels.select(F.col("id").alias("head"), F.col("label").alias("head_label"))
+    apart = others.join(first, "id", "left").join(second, "head", "left")
+    apart = apart.where(F.coalesce("label", "id") != F.coalesce("head_label", "head"))
+    apart = apart.select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
+    links = links.unionByName(link(_thinned(apart, features, threshold)))
+    labels = components(links)
+
+    # Third pass: pairs with a bucket's head have been tried, or are in one component.
+    left = others.where("size > 2").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     mixed = left.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("key")
-    left = left.join(mixed, "key").where("id != head").join(reps.select("id", "n"), "id")
-    size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / threshold))).cast("int")
-    left = stage(left.select("key", "id", "label", size_class.alias("c")), "minhash-left")
-    x = left.select("key", "c", F.col("id").alias("a"), F.col("label").alias("la"))
+    left = left.join(mixed, "key").join(features, "id")
     # Sets that reach the threshold are in the same or in neighbouring size classes.
-    y = left.select("key", F.explode(F.array(F.col("c") - 1, "c", F.col("c") + 1)).alias("c"), F.col("id").alias("b"), F.col("label").alias("lb"))
-    across = x.join(y, ["key", "c"]).where("a < b and la != lb").select("a", "b").distinct()
-    across = across.join(first, ["a", "b"], "left_anti")
-    across = stage(_thinned(across, features, threshold), "minhash-across")
+    size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / threshold))).cast("int")
+    left = stage(left.select("key", "id", "label", "n", "s1", "s2", size_class.alias("c")), "minhash-left")
+    x = _side(left, "a", "key", "c", "label")
+    y = _side(left, "b", "key", F.col("label").alias("label_b"), F.explode(F.array(F.col("c") - 1, "c", F.col("c") + 1)).alias("c"))
+    across = x.join(y, ["key", "c"]).where((F.col("a") < F.col("b")) & (F.col("label") != F.col("label_b")) & _near("a", "b", threshold))
+    across = stage(across.select("a", "b", "n_a", "n_b").distinct(), "minhash-across")
     if not across.isEmpty():
-        more = stage(verified(across, docs, shingle_words, threshold), "minhash-links")
-        labels = components(links.unionByName(more))
+        labels = components(links.unionByName(link(across)))
 
     found = copies.join(labels, "id", "left").select(*group, F.coalesce("label", "id").alias("_component"))
     out = sig.drop("bands", "s1", "s2").join(found, group, "left")
