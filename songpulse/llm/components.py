@@ -20,7 +20,7 @@ def _least(edges: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every neighbour above a node is linked to the least around that node."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return _least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return _least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -29,6 +29,21 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return pairs.where("u != m").select("u", F.col("m").alias("v")).distinct()
 
 
+def forest_roots(links: DataFrame) -> DataFrame:
+    """(id, label) of every b in links (a, b) where a < b and no b comes twice: its root.
+
+    Such links are a forest; every label is replaced by its own label until nothing changes, which
+    takes the logarithm of the depth.
+    """
+    labels = stage(links.select(F.col("b").alias("id"), F.col("a").alias("label")), "roots")
+    while True:
+        up = labels.select(F.col("id").alias("label"), F.col("label").alias("up"))
+        moved = stage(labels.join(up, "label", "left"), "roots")
+        labels = moved.select("id", F.coalesce("up", "label").alias("label"))
+        if moved.where("up is not null").isEmpty():
+            return labels
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, label) for every node of links (a, b); label is the least node that it reaches.
 

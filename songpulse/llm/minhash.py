@@ -13,15 +13,16 @@ listed:
 1. every class is paired with the least class that heads one of its buckets; the pairs are
    verified on the full sets and joined to components;
 2. a class and the head of any of its buckets are a pair if their components still differ;
-3. buckets that still hold different components list the pairs across components (agreeing
-   in size class and sketch), which are verified too.
+3. buckets that still hold different components list the pairs across components whose sizes and
+   longer sketches (1,024 bits, made for these documents only) leave room for a link; a pair is
+   listed in one of its common buckets, the one of least key, and verified too.
 
 Pairs are thinned before the sets are fetched by set sizes and by a 128-bit sketch (one bit per
 coordinate) whose bound a pair at the threshold misses with probability below 1e-7.
 
 Defined cases: NULL text, empty text and text without words have an empty set and link with
 nothing; fewer words than a shingle are one shingle; A-Z compare in lower case; rows that share
-a doc_id are one document (if their texts differ, any of these is compared with other documents);
+a doc_id are one document (if their texts differ, each is compared with other documents);
 rows with a NULL doc_id link only with equal sets, and ``deduplicate`` keeps them all; an empty
 table gives an empty result; further columns are ignored (``deduplicate`` keeps them).
 """
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 
 from songpulse.llm import shingles as S
 from songpulse.llm.common import bounded, stage
-from songpulse.llm.components import components
+from songpulse.llm.components import components, forest_roots
 
 THRESHOLD = 80  # per cent of Jaccard similarity
 SHINGLE_WORDS = 5
@@ -45,6 +46,9 @@ BANDS, ROWS = 32, 5
 SKETCH_BITS = 128
 #: Differing sketch bits of a pair at 80 per cent: mean 12.8, deviation 3.4; P(more than 32) < 1e-7.
 SKETCH_MOST = 32
+#: Bits of the longer sketch: mean 102 differ at 80 per cent, deviation 9.6; P(more than 150) < 1e-6.
+#: It counts coordinates from FINE_FROM on, which take no part in the bands.
+FINE_BITS, FINE_MOST, FINE_FROM = 1024, 150, 1000
 #: Ids up to which the table of needed documents (8 bytes a row) is broadcast; else it is shuffled.
 BROADCAST_IDS = 1_000_000
 
@@ -54,15 +58,15 @@ _P1, _P2 = 0x85EBCA6B, 0xC2B2AE35
 _CHUNK = 16_384
 
 
-def signature(sets: list[np.ndarray], n: int) -> np.ndarray:
-    """Array (n coordinates, sets) of circulant MinHashes; no set may be empty."""
+def signature(sets: list[np.ndarray], n: int, first: int = 0) -> np.ndarray:
+    """Array (n coordinates from ``first`` on, sets) of circulant MinHashes; no set may be empty."""
     starts = np.cumsum([0] + [len(s) for s in sets[:-1]])
     place = ((np.concatenate(sets) * _PLACE) >> np.uint64(32)).astype(np.uint32)
     spun = place * np.uint32(_P1)  # the shift distributes over the multiplication
     out = np.empty((n, len(sets)), np.uint32)
     v, t = np.empty_like(spun), np.empty_like(spun)
     for k in range(n):
-        np.add(spun, np.uint32(k * _STEP * _P1 & 0xFFFFFFFF), out=v)
+        np.add(spun, np.uint32((first + k) * _STEP * _P1 & 0xFFFFFFFF), out=v)
         np.right_shift(v, 15, out=t)
         np.bitwise_xor(v, t, out=v)
         np.multiply(v, np.uint32(_P2), out=v)
@@ -70,6 +74,12 @@ def signature(sets: list[np.ndarray], n: int) -> np.ndarray:
     return out
 
 
+def sketch(sig: np.ndarray) -> np.ndarray:
+    """Array (words, sets) of 64-bit integers with one bit of every coordinate."""
+    bits = np.packbits((sig >> np.uint32(16) & np.uint32(1)).astype(np.uint8), axis=0)
+    return np.ascontiguousarray(bits.T).view(np.int64).T
+
+
 def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """Array (sets, bands) of 64-bit keys, different for each band."""
     keys = np.empty((sig.shape[1], bands), np.uint64)
@@ -103,8 +113,7 @@ def _signature_batches(k: int, bands: int, rows: int):
                     every = np.concatenate(sets)
                     digests[0, full] = np.add.reduceat(S.mix64(every), starts).view(np.int64)
                     digests[1, full] = np.add.reduceat(S.mix64(~every), starts).view(np.int64)
-                    bits = np.packbits((sig[:SKETCH_BITS] >> np.uint32(16) & np.uint32(1)).astype(np.uint8), axis=0)
-                    digests[2:, full] = np.ascontiguousarray(bits.T).view(np.int64).T
+                    digests[2:, full] = sketch(sig[:SKETCH_BITS])
                     for i, keys in zip(full, band_keys(sig, bands, rows), strict=True):
                         bands_of[i] = keys
                 ids = batch.column(0).slice(at, len(group))
@@ -135,40 +144,75 @@ def _set_batches(k: int):
     return run
 
 
-def _near(a: str, b: str, threshold: int) -> Column:
-    """Whether sizes and sketches (columns n, s1, s2 with suffixes) leave room for a link; the bound on
-    bits holds for 80 per cent and above."""
-    n = [F.col(f"n_{x}") for x in (a, b)]
+def _fine_batches(k: int):
+    names = ["id", *_FINE]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for group in S.grouped((S.shingle_set(t.as_py(), k) for t in batch.column(1)), _CHUNK):
+                words = np.zeros((len(_FINE), len(group)), np.int64)
+                full = [i for i, s in enumerate(group) if len(s)]
+                if full:
+                    words[:, full] = sketch(signature([group[i] for i in full], FINE_BITS, FINE_FROM))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(group)), *map(pa.array, words)], names)
+                at += len(group)
+
+    return run
+
+
+_SKETCH = ("s1", "s2")
+_FINE = tuple(f"f{i}" for i in range(FINE_BITS // 64))
+
+
+def _near(threshold: int, words: tuple[str, ...] = _SKETCH, most: int = SKETCH_MOST) -> Column:
+    """Whether sizes and sketches (columns n and ``words`` with suffixes _a, _b) leave room for a
+    link; the bounds on bits hold for 80 per cent and above."""
+    n = [F.col("n_a"), F.col("n_b")]
     near = 100 * F.least(*n) >= threshold * F.greatest(*n)
     if threshold < THRESHOLD:
         return near
-    bits = [F.bit_count(F.col(f"{s}_{a}").bitwiseXOR(F.col(f"{s}_{b}"))) for s in ("s1", "s2")]
-    return near & (bits[0] + bits[1] <= SKETCH_MOST)
+    bits = [F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in words]
+    return near & (sum(bits[1:], bits[0]) <= most)
 
 
-def _side(features: DataFrame, name: str, *more: str | Column) -> DataFrame:
-    """Features as one side of a pair: id as ``name``, n, s1 and s2 with the suffix."""
-    return features.select(F.col("id").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in ("n", "s1", "s2")), *more)
+def _side(features: DataFrame, name: str, *more: str) -> DataFrame:
+    """Features as one side of a pair: id as ``name``, n and the others with the suffix."""
+    return features.select(F.col("id").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in ("n", *more)))
 
 
 def _thinned(pairs: DataFrame, features: DataFrame, threshold: int) -> DataFrame:
     """Pairs (a, b) that sizes and sketches allow, with the sizes."""
-    both = pairs.join(_side(features, "a"), "a").join(_side(features, "b"), "b")
-    return both.where(_near("a", "b", threshold)).select("a", "b", "n_a", "n_b")
+    both = pairs.join(_side(features, "a", *_SKETCH), "a").join(_side(features, "b", *_SKETCH), "b")
+    return both.where(_near(threshold)).select("a", "b", "n_a", "n_b")
+
+
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text) of the documents in a staged table of ids."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string"))
+    return texts.join(bounded(ids, BROADCAST_IDS), "id", "left_semi")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFrame:
     """Pairs (a, b, n_a, n_b) whose full shingle sets reach the threshold, as links (a, b)."""
     needed = stage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "minhash-needed")
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string"))
-    texts = texts.join(bounded(needed, BROADCAST_IDS), "id", "left_semi")
-    sets = stage(texts.mapInArrow(_set_batches(k), "id long, sh array<long>").dropDuplicates(["id"]), "minhash-sets")
+    sets = stage(_texts(docs, needed).mapInArrow(_set_batches(k), "id long, sh array<long>"), "minhash-sets")
     x, y = sets.select(F.col("id").alias("a"), F.col("sh").alias("sa")), sets.select(F.col("id").alias("b"), F.col("sh").alias("sb"))
     common = F.size(F.array_intersect("sa", "sb"))
     linked = 100 * common >= threshold * (F.col("n_a") + F.col("n_b") - common)
     return pairs.join(y, "b").join(x, "a").where(linked).select("a", "b")
 
 
+def _relabelled(rows: DataFrame, maps: list[DataFrame], col: str, out: str) -> DataFrame:
+    """``rows`` with ``out``, the label of ``col`` through the label tables one after another."""
+    rows = rows.withColumn(out, F.col(col))
+    for found in maps:
+        found = found.select(F.col("id").alias("_id"), F.col("label").alias("_label"))
+        rows = rows.join(found, F.col(out) == F.col("_id"), "left")
+        rows = rows.withColumn(out, F.coalesce("_label", out)).drop("_id", "_label")
+    return rows
+
+
 def classes(
     docs: DataFrame, shingle_words: int = SHINGLE_WORDS, threshold: int = THRESHOLD, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -178,52 +222,79 @@ def classes(
     """
     sig = stage(signatures(docs, shingle_words, bands, rows), "minhash-signatures")
     group = ["d1", "d2", "n"]
-    copies = stage(sig.where("n > 0").groupBy(*group).agg(F.min("doc_id").alias("id")), "minhash-classes")
-    reps = sig.where("n > 0").join(copies.withColumnRenamed("id", "doc_id"), [*group, "doc_id"]).dropDuplicates(["doc_id"])
-    reps = stage(reps.select(F.col("doc_id").alias("id"), "n", "s1", "s2", "bands"), "minhash-reps")
-    keys = reps.select("id", F.explode("bands").alias("key"))
+    # Copies have one signature, so any row of a class stands for it.
+    reps = sig.where("n > 0").groupBy(*group).agg(
+        F.min("doc_id").alias("id"), F.first("s1").alias("s1"), F.first("s2").alias("s2"), F.first("bands").alias("bands")
+    )
+    reps = stage(reps, "minhash-classes")
+    keys = reps.where("id is not null").select("id", F.explode("bands").alias("key"))
     heads = keys.groupBy("key").agg(F.min("id").alias("head"), F.count("*").alias("size")).where("size > 1")
-    members = stage(keys.join(heads, "key"), "minhash-members")
-
+    others = stage(keys.join(heads, "key").where("id != head"), "minhash-members")
     features = reps.select("id", "n", "s1", "s2")
-    others = members.where("id != head")
 
     def link(pairs: DataFrame) -> DataFrame:
-        return stage(verified(stage(pairs, "minhash-pairs"), docs, shingle_words, threshold), "minhash-links")
+        return verified(pairs, docs, shingle_words, threshold)
 
-    links = link(_thinned(others.groupBy(F.col("id").alias("b")).agg(F.min("head").alias("a")), features, threshold))
-    labels = components(links)
+    # First pass: every class has one link at most, to a smaller id.
+    pairs = stage(_thinned(others.groupBy(F.col("id").alias("b")).agg(F.min("head").alias("a")), features, threshold), "minhash-pairs")
+    maps = [forest_roots(link(pairs).distinct())]
 
-    first, second = labels.select("id", "label"), labels.select(F.col("id").alias("head"), F.col("label").alias("head_label"))
-    apart = others.join(first, "id", "left").join(second, "head", "left")
-    apart = apart.where(F.coalesce("label", "id") != F.coalesce("head_label", "head"))
+    # Second pass: a bucket's head and the members that are not in its component.
+    apart = _relabelled(_relabelled(others, maps, "id", "label"), maps, "head", "head_label").where("label != head_label")
     apart = apart.select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
-    links = links.unionByName(link(_thinned(apart, features, threshold)))
-    labels = components(links)
+    apart = stage(_thinned(apart, features, threshold), "minhash-pairs")
+    if not apart.isEmpty():
+        maps.append(_merged(link(apart), maps))
 
     # Third pass: pairs with a bucket's head have been tried, or are in one component.
-    left = others.where("size > 2").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    left = _relabelled(others.where("size > 2"), maps, "id", "label")
     mixed = left.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("key")
-    left = left.join(mixed, "key").join(features, "id")
-    # Sets that reach the threshold are in the same or in neighbouring size classes.
-    size_class = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / threshold))).cast("int")
-    left = stage(left.select("key", "id", "label", "n", "s1", "s2", size_class.alias("c")), "minhash-left")
-    x = _side(left, "a", "key", "c", "label")
-    y = _side(left, "b", "key", F.col("label").alias("label_b"), F.explode(F.array(F.col("c") - 1, "c", F.col("c") + 1)).alias("c"))
-    across = x.join(y, ["key", "c"]).where((F.col("a") < F.col("b")) & (F.col("label") != F.col("label_b")) & _near("a", "b", threshold))
+    left = stage(left.join(mixed, "key").select("key", "id", "label"), "minhash-left")
+    if left.isEmpty():
+        return _classified(sig, reps, maps)
+    needed = stage(left.select("id").distinct(), "minhash-needed")
+    fine = _texts(docs, needed).mapInArrow(_fine_batches(shingle_words), ", ".join(["id long", *(f"{f} long" for f in _FINE)]))
+    fine = stage(fine.join(reps.select("id", "n", "bands"), "id"), "minhash-fine")
+    more = ("key", "label", "bands", *_FINE)
+    x, y = (_side(left.join(fine, "id"), name, *more) for name in ("a", "b"))
+    least_common = F.array_min(F.array_intersect("bands_a", "bands_b")) == F.col("key_a")
+    pair = (F.col("key_a") == F.col("key_b")) & (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b"))
+    across = x.join(y, pair & _near(threshold, _FINE, FINE_MOST) & least_common)
     across = stage(across.select("a", "b", "n_a", "n_b").distinct(), "minhash-across")
     if not across.isEmpty():
-        labels = components(links.unionByName(link(across)))
+        maps.append(_merged(link(across), maps))
 
-    found = copies.join(labels, "id", "left").select(*group, F.coalesce("label", "id").alias("_component"))
+    return _classified(sig, reps, maps)
+
+
+def _classified(sig: DataFrame, reps: DataFrame, maps: list[DataFrame]) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row, by its class."""
+    group = ["d1", "d2", "n"]
+    found = _relabelled(reps.select(*group, "id"), maps, "id", "_component").drop("id")
     out = sig.drop("bands", "s1", "s2").join(found, group, "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("_component", "doc_id").alias("component_id"))
 
 
+def _merged(links: DataFrame, maps: list[DataFrame]) -> DataFrame:
+    """Label table that joins the components which ``links`` (a, b) connect."""
+    ends = _relabelled(_relabelled(links, maps, "a", "la"), maps, "b", "lb")
+    return components(ends.select(F.col("la").alias("a"), F.col("lb").alias("b")))
+
+
 def deduplicate(docs: DataFrame, **options) -> DataFrame:
-    """The documents of smallest doc_id of their classes, with all columns of ``docs``."""
-    found = classes(docs, **options)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")) & F.col("doc_id").isNotNull())
-    kept = kept.select(F.col("doc_id").alias("_kept")).distinct()
-    on = docs["doc_id"].cast("long") == kept["_kept"]
-    return docs.join(kept, on, "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
+    """The documents of smallest doc_id of their classes, once each, with all columns of ``docs``.
+
+    Decisions are made on ids; the texts are shuffled only if the ids to drop are too many to
+    broadcast.
+    """
+    found = stage(classes(docs, **options).select(F.col("doc_id").alias("_id"), "component_id"), "minhash-found")
+    gone = found.where("_id != component_id").select("_id").distinct()
+    repeated = found.where("_id = component_id").groupBy("_id").count().where("count > 1").select("_id")
+    repeated = stage(repeated, "minhash-repeated")
+    out = stage(gone.unionByName(repeated), "minhash-gone")
+    on = F.col("doc_id").cast("long") == F.col("_id")
+    kept = docs.join(bounded(out, BROADCAST_IDS), on, "left_anti")
+    if repeated.isEmpty():
+        return kept
+    once = docs.join(bounded(repeated, BROADCAST_IDS), on, "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(once)
