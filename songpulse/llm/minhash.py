@@ -195,7 +195,8 @@ def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataFrame:
     """Pairs (a, b, n_a, n_b) whose full shingle sets reach the threshold, as links (a, b)."""
-    needed = stage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "minhash-needed")
+    ends = [pairs.select(F.col(side).alias("id")).distinct() for side in ("a", "b")]
+    needed = stage(ends[0].union(ends[1]).distinct(), "minhash-needed")
     sets = stage(_texts(docs, needed).mapInArrow(_set_batches(k), "id long, sh array<long>"), "minhash-sets")
     x, y = sets.select(F.col("id").alias("a"), F.col("sh").alias("sa")), sets.select(F.col("id").alias("b"), F.col("sh").alias("sb"))
     common = F.size(F.array_intersect("sa", "sb"))
