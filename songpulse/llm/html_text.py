@@ -9,7 +9,7 @@ short paragraph is text, outside it none is.
 
 Defined cases: NULL or empty html gives the empty text, as does a page without lines; malformed
 or unclosed tags are read as far as they go (an unclosed excluded element ends with the
-article or body around it); pages of any length are read whole; repeated rows give equal
+element around it, and an article or main that opens in it counts); pages of any length are read whole; repeated rows give equal
 rows; further columns are ignored.
 """
 
@@ -45,6 +45,19 @@ EXCLUDED_NAMES = frozenset(
     " social related recommended recommendations sidebar widget menu nav navbar navigation breadcrumb breadcrumbs masthead footer"
     " comment comments reply replies respond disqus toolbar pagination pager search skip".split()
 )
+#: A class or id counts as a whole; these may stand beside the names above in one (site-footer, comment-list).
+PLACES = frozenset("site top bottom left right global list box bar buttons links posts".split())
+COMMENTS = frozenset("comment comments reply replies respond disqus".split())
+#: Names that themes also give to wrappers of the whole text.
+LAYOUT = frozenset("sidebar widget banner popup modal overlay share sharing social subscribe subscription toolbar masthead search".split())
+#: Text, links not counted, from which such an element can be a wrapper.
+WRAPPED = 240
+CELLS = frozenset("td th".split())
+TEXT_BLOCKS = HEADINGS | frozenset(
+    "p li ul ol dl dt dd pre blockquote address caption figcaption figure hgroup header hr summary table tbody tfoot thead tr".split()
+)
+#: Enclosing elements remembered for a line.
+MOST_DEPTH = 64
 
 _TAG = re.compile(
     r"<!--(?P<comment>.*?)(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
@@ -62,28 +75,48 @@ class Line:
     text: str
     weight: int
     root: int
+    part: int = 0  # the excluded element around it inside its root
+    inside: tuple[int, ...] = ()  # the elements around it that are more than one block of text
+    heading: bool = False
+
 
+@dataclass
+class Part:
+    """An excluded element, or an article or main inside one."""
+
+    kind: str
+    root: int
+    outer: int  # the excluded element around it inside its root
+    closed: bool = False
 
-def _excluded(name: str, attrs: str) -> bool:
-    """Whether an element never holds article text."""
+
+def _excluded(name: str, attrs: str) -> str:
+    """Kind of an element that holds no article text by itself: markup, layout, foreign or comment."""
+    if name == "form":
+        return "layout"
     if name in EXCLUDED:
-        return True
+        return "markup"
     if not attrs or name in ("html", "body"):
-        return False
+        return ""
     names: set[str] = set()
     for m in _ATTR.finditer(attrs):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
+            return "markup"
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
+            return "markup"
         if key == "role" and value in EXCLUDED_ROLES:
-            return True
+            return "markup"
         if key in ("class", "id"):
-            names.update(_NAME.findall(value))
+            for token in value.split():
+                parts = set(_NAME.findall(token))
+                if parts <= EXCLUDED_NAMES | PLACES:
+                    names |= parts & EXCLUDED_NAMES
     if name in ROOTS:  # an article may say that it has a sidebar; one that is a comment is none
-        return bool(names & {"comment", "comments", "reply", "replies", "ad", "advert", "sponsored", "related", "promo"})
-    return bool(names & EXCLUDED_NAMES)
+        names &= {"comment", "comments", "reply", "replies", "ad", "advert", "sponsored", "related", "promo"}
+    if not names:
+        return ""
+    return "comment" if names & COMMENTS else "layout" if names <= LAYOUT else "foreign"
 
 
 def lines(page: str) -> list[Line]:
@@ -92,26 +125,52 @@ def lines(page: str) -> list[Line]:
     words: list[str] = []  # of the current block
     linked = 0  # characters of it inside links
     links = 0
-    roots: list[int] = []
-    n_roots = 0
-    skip, depth = "", 0  # the excluded element that is open, and how deep in elements of its name
     header = 0  # open header elements; only headings of an article's header are kept
     heading = 0
+    parts = [Part("", 0, 0)]
+    roots = [Part("", 0, 0)]  # outer: the excluded element it is in, inside the root around it
+    root = part = n_elements = 0
+    inside: tuple[int, ...] = ()
+    # Open elements: name, and what held before them.
+    opened: list[tuple] = []
+    places: dict[str, list[int]] = {}
+    blocks: list[int] = []
+    tops: list[int] = []  # articles, mains and what stands for them
 
     def flush() -> None:
         nonlocal linked
         raw = html.unescape("".join(words))
         text = " ".join(raw.split())
-        if text and not (header and not (heading and roots)):
-            found.append(Line(text, max(0, len(text) - linked), roots[-1] if roots else 0))
+        if text and not (header and not (heading and root)):
+            found.append(Line(text, max(0, len(text) - linked), root, part, inside, bool(heading)))
         words.clear()
         linked = 0
 
+    def close(place: int, own: bool) -> None:
+        """Ends the open elements from ``place`` on; the first by its ``own`` end tag."""
+        nonlocal root, part, inside, links, header, heading
+        while len(opened) > place:
+            name, made, *before = opened.pop()
+            places[name].pop()
+            if blocks and blocks[-1] == len(opened):
+                blocks.pop()
+            if tops and tops[-1] == len(opened):
+                tops.pop()
+            if made:
+                flush()
+                if made > 0:
+                    parts[made].closed = own and len(opened) == place
+                root, part, links, heading = before[1:]
+                header = 0 if made < 0 else header
+            elif name == "header":
+                header = max(0, header - 1)
+            inside = before[0]
+
     at = 0
     while at < len(page):
         m = _TAG.search(page, at)
         start = m.start() if m else len(page)
-        if start > at and not skip:
+        if start > at:
             words.append(page[at:start])
             if links:
                 linked += start - at
@@ -122,44 +181,117 @@ def lines(page: str) -> list[Line]:
         if not name:
             continue  # a comment, a declaration or a stray end tag
         closing, attrs = bool(m["end"] or m["end2"]), m["attrs"] or m["attrs2"] or ""
-        if skip:
-            if name == skip:
-                depth += -1 if closing else 0 if attrs.endswith("/") else 1
-                if depth <= 0:
-                    skip = ""
-            elif closing and name in ("body", "html") or name == "body" or closing and name in ROOTS and roots:
-                skip = ""  # it was never closed
-            else:
-                continue
-            if name not in ROOTS:
-                continue
         if not closing and name in RAW:
             end = re.compile(rf"</{name}[\s/>]", re.I).search(page, at)
             at = page.find(">", end.start()) + 1 or len(page) if end else len(page)
             continue
+        block = name in BLOCKS or name in EXCLUDED
         if name in BLOCKS:
             flush()
         elif name in ("br", "td", "th"):
             words.append(" ")
         if name in HEADINGS:
             heading = 0 if closing else 1
-        if name == "header":
-            header = max(0, header - 1) if closing else header + 1
-        elif name == "a":
+        if name == "a":
             links = max(0, links - 1) if closing else links + 1
-        elif closing:
-            if name in ROOTS and roots:
-                roots.pop()
-                header = 0
-        elif name not in VOID and _excluded(name, attrs) and not attrs.endswith("/"):
+        if closing:
+            if name in ("body", "html"):
+                close(0, False)
+            elif places.get(name):
+                # What was left open inside ends too, but inline elements end no block and others no article.
+                place, limit = places[name][-1], (tops[-1] if tops else -1) if block or name in CELLS else blocks[-1] if blocks else -1
+                limit = -1 if name in ROOTS else limit
+                if place >= limit:
+                    close(place, True)
+            continue
+        if name in VOID or attrs.endswith("/"):
+            continue
+        if name in ("body", "html"):
+            close(0, False)
+            continue
+        if blocks and block and (opened[blocks[-1]][0] == "p" or opened[blocks[-1]][0] == name and name in ("li", "dt", "dd", "tr")):
+            close(blocks[-1], False)
+        kind, made = _excluded(name, attrs), 0
+        before = (inside, root, part, links, heading)
+        if kind:
             flush()
-            skip, depth = name, 1
+            made = len(parts)
+            parts.append(Part(kind, root, part))
+            part = made
         elif name in ROOTS:
-            n_roots += 1
-            roots.append(n_roots)
-            header = 0
+            made = -len(roots)
+            roots.append(Part("root", root, part))
+            root, part, header, heading = len(roots) - 1, 0, 0, 0
+        elif name == "header":
+            header += 1
+        if (block or name in CELLS) and name not in TEXT_BLOCKS:
+            n_elements += 1
+            inside = (*inside[-MOST_DEPTH:], n_elements)
+        places.setdefault(name, []).append(len(opened))
+        if block or name in CELLS:
+            blocks.append(len(opened))
+        if name in ROOTS:
+            tops.append(len(opened))
+        opened.append((name, made, *before))
     flush()
-    return found
+    close(0, False)
+    return _kept(found, parts, roots)
+
+
+def _kept(found: list[Line], parts: list[Part], roots: list[Part]) -> list[Line]:
+    """The lines outside excluded elements, and those inside that are the page's text after all.
+
+    An article or main inside an excluded element counts if the page has none of dense text outside;
+    in one that is closed and not of layout only if the page has no dense text and no article or
+    main with more than a heading, in closed comments never. A layout
+    element that holds nearly all text of its article or page is a wrapper, not an addition.
+    """
+    released, counted = [False] * len(parts), [not r.outer for r in roots]
+    released[0] = True
+
+    def chosen() -> list[Line]:
+        free, ok = [True], [True]
+        for i in range(1, len(parts)):
+            free.append(released[i] and free[parts[i].outer])
+        for i in range(1, len(roots)):
+            ok.append(ok[roots[i].root] and (free[roots[i].outer] or counted[i]))
+        return [x for x in found if free[x.part] and ok[x.root]]
+
+    def dense(some: list[Line]) -> bool:
+        weights = [x.weight for x in some]
+        return any(sum(weights[i : i + WINDOW]) >= DENSE for i in range(len(weights)))
+
+    rest = chosen()
+    if len(rest) == len(found):
+        return rest
+    rooted = [x for x in rest if x.root]
+    if not dense(rooted):
+        any_text = dense(rest) or any(x.weight and not x.heading for x in rooted)
+        apart, comment = [False], [False]  # of a part or one around it
+        for p in parts[1:]:
+            apart.append(p.closed and p.kind != "layout" or apart[p.outer])
+            comment.append(p.closed and p.kind == "comment" or comment[p.outer])
+        counted = [not r.outer or not comment[r.outer] and not (apart[r.outer] and any_text) for r in roots]
+        rest = chosen()
+
+    wraps = [p.kind == "layout" or not p.closed and p.kind == "foreign" for p in parts]
+    weights, others = [0] * len(parts), {}
+    for x in found:
+        weights[x.part] += x.weight
+    for x in rest:
+        others.setdefault(x.root, []).append(x)
+    others[0] = rest
+    small = {root: sum(x.weight for x in some) for root, some in others.items() if not dense(some)}
+    small |= {p.root: 0 for p in parts if p.root not in others}
+    for i in range(len(parts) - 1, 0, -1):
+        if wraps[i] and wraps[parts[i].outer]:
+            weights[parts[i].outer] += weights[i]
+    for i, p in enumerate(parts[1:], 1):
+        if wraps[p.outer]:
+            released[i] = wraps[i] and released[p.outer]
+        elif wraps[i] and not p.outer:
+            released[i] = p.root in small and weights[i] >= max(WRAPPED, 3 * small[p.root])
+    return chosen()
 
 
 def densest(found: list[Line]) -> tuple[int, int]:

@@ -209,6 +209,28 @@ def test_main_text(page, want):
     assert html_text.main_text(page) == want
 
 
+@pytest.mark.parametrize(
+    "before",
+    ["<div class='content-sidebar-wrap'>", "<div class='page with-sidebar'>", "<div class='no-sidebar has-banner share-enabled'>", "<div class=sidebar>",
+     "<form>", "<div class='ad'>", "<aside>side", "<nav><a>x", "<main><h1>x</h1><div class='ad'>"],
+)
+@pytest.mark.parametrize("after", ["</div></form>", ""])
+@pytest.mark.parametrize("name", ["article", "main"])
+def test_main_text_inside_a_wrapper(before, after, name):
+    assert html_text.main_text(f"{before}<{name}><h1>T</h1><p>{LONG}</p><div class=ad>buy</div></{name}>{after}") == f"T\n\n{LONG.strip()}"
+
+
+def test_names_of_sections_and_what_stays_out():
+    long = LONG.strip()
+    page = f"<article class='post tag-ad'><p>{LONG}</p><section id='related-work'><p>{LONG}</p></section><section id='search-syntax'><p>q</p></section></article>"
+    assert html_text.main_text(page) == f"{long}\n\n{long}\n\nq"
+    for junk in ("div class=related", "div class='sidebar'", "aside", "div class='comment-list'", "div id=cookie-box"):
+        other = f"<{junk}><article><p>{LONG}{LONG}{LONG}</p></article></{junk.split()[0]}>"
+        assert html_text.main_text(f"<article><p>{LONG}</p></article>{other}") == html_text.main_text(f"{other}<article><p>{LONG}</p></article>") == long
+    assert html_text.main_text(f"<article><p>Short.</p><div class=comments><p>{LONG}</p><article>{LONG}</article></div></article>") == "Short."
+    assert html_text.main_text(f"<div class=sidebar><div class=widget><p>{LONG}</p><p>{LONG}</p><div class=ad>{LONG}</div></div></div>") == f"{long}\n\n{long}"
+
+
 def test_pages_keep_rows(spark):
     rows = spark.createDataFrame([(1, "u", None, "t"), (1, "u", None, "t"), (None, None, "<p>x", "t")], "page_id long, url string, html string, text string")
     assert sorted((str(r["page_id"]), r["text"]) for r in html_text.extract(rows).collect()) == [("1", ""), ("1", ""), ("None", "x")]
