@@ -3,8 +3,9 @@
 Markup is stripped to lines, one per block element, without what is never part of an article
 (scripts, styles, navigation, headers, footers, asides, forms, adverts, notices, comments).
 Sums of text length, links not counted, over windows of ``WINDOW`` lines rise at a surge and fall
-at a dive; the stretch between them that holds most text is the main text. If most of that
-stretch is inside one article or main element, its ends are moved to the element's: inside it a
+at a dive; the stretch between them that holds most text is the main text. Stretches of one element,
+or with only short lines between them, are one, and headings and short blocks of the element
+next to its ends belong to it. If most of that stretch is inside one article or main element, its ends are moved to the element's: inside it a
 short paragraph is text, outside it none is.
 
 Defined cases: NULL or empty html gives the empty text, as does a page without lines; malformed
@@ -19,6 +20,7 @@ import html
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -294,11 +296,36 @@ def _kept(found: list[Line], parts: list[Part], roots: list[Part]) -> list[Line]
     return chosen()
 
 
+def _common(a: tuple[int, ...], b: tuple[int, ...]) -> tuple[int, ...]:
+    """The elements of ``a`` down to the innermost one that is also in ``b``."""
+    if a == b:
+        return a
+    other = set(b)
+    return a[: max((i + 1 for i, e in enumerate(a) if e in other), default=0)]
+
+
+def _around(some: list[Line]) -> tuple[int, ...]:
+    """The elements that enclose all lines of some length."""
+    full = [x.inside for x in some if x.weight >= DENSE // WINDOW] or [x.inside for x in some]
+    return reduce(_common, full)
+
+
+def _plain(x: Line) -> bool:
+    """Whether most of a line is not links."""
+    return 2 * x.weight >= len(x.text)
+
+
 def densest(found: list[Line]) -> tuple[int, int]:
-    """Lines [surge, dive) of the stretch with most text."""
+    """Lines [surge, dive) of the stretch with most text.
+
+    Neighbouring stretches are one if the same element encloses them, or if no line between them
+    is mostly links; none is joined over the ends of an article or main.
+    """
     n = len(found)
     sums = [sum(x.weight for x in found[i : i + WINDOW]) for i in range(n)]
-    best, best_text, i = (0, 0), 0, 0
+    joined: list[tuple[int, int]] = []
+    around: tuple[int, ...] = ()  # of the last stretch
+    i = 0
     while i < n:
         if sums[i] < DENSE:
             i += 1
@@ -311,14 +338,36 @@ def densest(found: list[Line]) -> tuple[int, int]:
             first += 1  # the window rose before its text did
         while last > first and found[last - 1].weight < DENSE // WINDOW:
             last -= 1
-        if (size := sum(x.weight for x in found[first:last])) > best_text:
-            best, best_text = (first, last), size
-    if not best_text:  # no dense window: the one of most text
+        if first == last:
+            continue
+        before, around = around, _around(found[first:last])
+        if joined:
+            begin, end = joined[-1]
+            same_root = all(x.root == found[first].root for x in found[end - 1 : first])
+            if first <= end or same_root and (around == before or all(map(_plain, found[end:first]))):
+                joined[-1] = begin, last
+                continue
+        joined.append((first, last))
+    best = max(joined, key=lambda s: sum(x.weight for x in found[s[0] : s[1]]), default=(0, 0))
+    if not joined:  # no dense window: the one of most text
         first = max(range(n), key=sums.__getitem__, default=0)
         best = (first, min(n, first + WINDOW))
     return best
 
 
+def extended(found: list[Line], first: int, last: int) -> tuple[int, int]:
+    """The stretch with the headings and short blocks next to it in its element, and a heading before that."""
+    around = _around(found[first:last])
+    within = lambda x: around[-1] in x.inside if around else not x.inside
+    while first and within(x := found[first - 1]) and (x.heading or _plain(x)):
+        first -= 1
+    while last < len(found) and within(x := found[last]) and (x.heading or _plain(x)):
+        last += 1
+    while first and (x := found[first - 1]).heading and (not x.inside or x.inside[-1] in around):
+        first -= 1
+    return first, last
+
+
 def main_text(page: str | None) -> str:
     """The blocks of the main text, joined by an empty line."""
     found = lines(page or "")
@@ -331,6 +380,7 @@ def main_text(page: str | None) -> str:
         inside = [i for i, x in enumerate(found) if x.root == root]
         first, last = inside[0], inside[-1] + 1
         return "\n\n".join(x.text for x in found[first:last] if x.root >= root)
+    first, last = extended(found, first, last) if found else (0, 0)
     return "\n\n".join(x.text for x in found[first:last])
 
 

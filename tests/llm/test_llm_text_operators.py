@@ -231,6 +231,30 @@ def test_names_of_sections_and_what_stays_out():
     assert html_text.main_text(f"<div class=sidebar><div class=widget><p>{LONG}</p><p>{LONG}</p><div class=ad>{LONG}</div></div></div>") == f"{long}\n\n{long}"
 
 
+@pytest.mark.parametrize("wrap", ["%s", "<body>%s</body>", "<div>%s</div>", "<body><ul><li><a>a</a><li><a>b</a><li><a>c</a><li><a>d</a></ul><div id=page><div>%s</div></div></body>"])
+@pytest.mark.parametrize(
+    ("inner", "shorts"),
+    [
+        ("<ul><li>one<li>two<li>three<li>four</ul>", ["one", "two", "three", "four"]),
+        ("<table><tr><td>a<td>b</tr><tr><td>c<td>d</tr><tr><td>e<td>f</tr></table>", ["a b", "c d", "e f"]),
+        ("<p>verse</p><p>verse</p><p>verse</p><p>verse</p>", ["verse"] * 4),
+        ("<p><a href=x>one link</a></p><p><a href=y>two links</a></p><p><a>three links</a></p>", ["one link", "two links", "three links"]),
+    ],
+)
+def test_main_text_over_short_blocks_and_to_its_ends(wrap, inner, shorts):
+    page = wrap % f"<h1>Title</h1><p>By me</p><p>{LONG}</p>{inner}<h2>More</h2><p>{LONG}{LONG}</p><p>The end.</p>"
+    more = f"{LONG}{LONG}".strip()
+    assert html_text.main_text(page) == "\n\n".join(["Title", "By me", LONG.strip(), *shorts, "More", more, "The end."])
+
+
+def test_main_text_takes_no_other_element():
+    links = "".join(f"<p><a href=x>some link {i}</a></p>" for i in range(5))
+    page = f"<div>{LONG}{links}</div><h1>Title</h1><div><p>{LONG}{LONG}</p><p>end</p></div><div>other</div>{links}"
+    assert html_text.main_text(page) == f"Title\n\n{LONG}{LONG}".strip() + "\n\nend"
+    sections = f"<div><section><p>{LONG}</p></section><ul><li>a<li>b<li>c<li>d</ul><section><p>{LONG}</p><p>end</p></section></div>"
+    assert html_text.main_text(sections) == "\n\n".join([LONG.strip(), "a", "b", "c", "d", LONG.strip(), "end"])
+
+
 def test_pages_keep_rows(spark):
     rows = spark.createDataFrame([(1, "u", None, "t"), (1, "u", None, "t"), (None, None, "<p>x", "t")], "page_id long, url string, html string, text string")
     assert sorted((str(r["page_id"]), r["text"]) for r in html_text.extract(rows).collect()) == [("1", ""), ("1", ""), ("None", "x")]
