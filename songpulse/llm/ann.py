@@ -11,7 +11,9 @@ or nearer is beyond that point with probability 1 - CONFIDENCE at most.
 On Spark the top of the tree is fitted on a bounded sample and deals every row to a cell; in
 a cell the tree goes on to leaves. Queries search their own cell first, then, with the distance
 found there, all cells that their test does not exclude. Work comes in blocks of at most about
-``CELL_ROWS`` rows and ``QUERY_ROWS`` queries: larger cells are split by a hash of the id.
+``CELL_ROWS`` rows and ``QUERY_ROWS`` queries: larger cells are split by a hash of the id. Queries
+are routed by id, at most ``ROUTE_PAIRS`` pairs of query and cell at a time; their vectors are
+joined after that.
 
 Defined cases: vectors that are NULL, empty, zero or hold NULL or non-finite components take no
 part, nor do NULL ids or vectors whose length is not the commonest one (the longer if tied);
@@ -39,6 +41,8 @@ CONFIDENCE = 0.96
 SAMPLE_ROWS = 16_384
 MOST_CELLS = 1 << 16
 CELL_ROWS, QUERY_ROWS, LEAF_ROWS = 16_384, 4_096, 256
+#: Pairs of a query and a cell that are compared, and sent on, at a time.
+ROUTE_PAIRS = 1 << 20
 SEED = 20
 
 
@@ -255,33 +259,32 @@ def _dealt(rows: DataFrame, index) -> DataFrame:
     return rows.mapInArrow(run, "id long, v array<double>, cell long")
 
 
-def _routed(queries: DataFrame, index, first: bool) -> DataFrame:
-    """(id, v, kth) queries by cell: ``first`` the nearest one, else all others that the test leaves."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not len(batch):
-                continue
+def _routes(batches: Iterator[pa.RecordBatch], index: Index, first: bool) -> Iterator[pa.RecordBatch]:
+    """(id, kth, cell) of (id, v, kth) queries, in batches of at most ``ROUTE_PAIRS`` rows (or one query)."""
+    step = max(1, ROUTE_PAIRS // len(index.low))
+    for whole in batches:
+        for batch in (whole.slice(at, step) for at in range(0, len(whole), step)):
             vectors = matrix_of(batch.column(1))
             known = batch.column(2).to_numpy(zero_copy_only=False)
             kth = np.where(np.isnan(known.astype(float)), -np.inf, known)
-            away = box_distances(index.value.project_queries(vectors), index.value.low, index.value.high)
+            away = box_distances(index.project_queries(vectors), index.low, index.high)
             home = away.argmin(1)
             if first:
                 q, cell = np.arange(len(batch)), home
             else:
-                open_ = away <= index.value.radius(kth, vectors)[:, None]
+                open_ = away <= index.radius(kth, vectors)[:, None]
                 open_[np.arange(len(batch)), home] = False
                 q, cell = np.nonzero(open_)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(q)), batch.column(1).take(pa.array(q)), pa.array(kth[q]), pa.array(cell.astype(np.int64))],
-                ["id", "v", "kth", "cell"],
-            )
+            columns = [batch.column(0).take(pa.array(q)), pa.array(kth[q]), pa.array(cell.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "kth", "cell"])
+
 
-    return queries.mapInArrow(run, "id long, v array<double>, kth double, cell long")
+def _routed(queries: DataFrame, index, first: bool) -> DataFrame:
+    """(id, kth, cell) of queries: ``first`` the nearest cell, else all others that the test leaves."""
+    return queries.mapInArrow(lambda batches: _routes(batches, index.value, first), "id long, kth double, cell long")
 
 
-def _searched(cells: DataFrame, sizes: DataFrame, routed: DataFrame, index, k: int) -> DataFrame:
+def _searched(cells: DataFrame, sizes: DataFrame, queries: DataFrame, routed: DataFrame, index, k: int) -> DataFrame:
     """(query_id, vec_id, score): the k best of each routed query in each block of its cells."""
     parts = routed.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(QUERY_ROWS)).alias("n_q"))
     # One row per cell, MOST_CELLS at most.
@@ -289,7 +292,7 @@ def _searched(cells: DataFrame, sizes: DataFrame, routed: DataFrame, index, k: i
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     dealt = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
     data = cells.join(plan, "cell").select("id", "v", "cell", dealt("n_sub").alias("sub"), every("n_q").alias("part"))
-    asked = routed.join(plan, "cell").select("id", "v", "kth", "cell", dealt("n_q").alias("part"), every("n_sub").alias("sub"))
+    asked = routed.join(plan, "cell").join(queries.select("id", "v"), "id").select("id", "v", "kth", "cell", dealt("n_q").alias("part"), every("n_sub").alias("sub"))
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
     def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
@@ -325,9 +328,9 @@ def nearest(
     asked = usable(queries, id_col, vec_col).where(F.size("v") == index.matrix.shape[1] - 1).dropDuplicates(["id"])
     asked = stage(asked, "ann-queries")
     near = _routed(asked.withColumn("kth", F.lit(None).cast("double")), shared, first=True)
-    found = stage(_best(_searched(cells, sizes, near, shared, k), k), "ann-near")
+    found = stage(_best(_searched(cells, sizes, asked, near, shared, k), k), "ann-near")
     kth = found.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("kth"))
     others = stage(_routed(asked.join(kth, "id", "left"), shared, first=False), "ann-routed")
-    more = _searched(cells, sizes, others, shared, k)
+    more = _searched(cells, sizes, asked, others, shared, k)
     every = found.select("query_id", "vec_id", "score").unionByName(more)
     return _best(every, k).select("query_id", "rank", "vec_id", "score")

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from songpulse.llm import ann
@@ -41,6 +42,26 @@ def test_recall_and_exact_order(spark, cell_rows):
     assert hits >= 0.9 * 20 * len(queries)
 
 
+def test_routing_in_bounded_batches():
+    rng = np.random.default_rng(5)
+    n_cells, n = 1 << 15, 150
+    low = rng.standard_normal((n_cells, ann.DIMS))
+    index = ann.Index(rng.standard_normal((ann.DIMS, 9)), 4.0, 0, low, low + 0.5, 21.0)
+    vectors, kth = rng.standard_normal((n, 8)), np.where(np.arange(n) % 3 == 0, np.nan, 0.5)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(list(vectors)), pa.array(kth, from_pandas=True)], ["id", "v", "kth"])
+    away = ann.box_distances(index.project_queries(vectors), index.low, index.high)
+    home = away.argmin(1)
+    want = away <= index.radius(np.where(np.isnan(kth), -np.inf, kth), vectors)[:, None]
+    want[np.arange(n), home] = False
+    for first in (True, False):
+        got = list(ann._routes([batch, batch.slice(0, 0)], index, first))
+        assert max(map(len, got)) <= ann.ROUTE_PAIRS and all(b.schema.names == ["id", "kth", "cell"] for b in got)
+        pairs = [np.concatenate([b.column(i).to_numpy() for b in got]) for i in (0, 2)]
+        expected = (np.arange(n), home) if first else np.nonzero(want)
+        assert all((a == b).all() for a, b in zip(pairs, expected, strict=True))
+    assert want.sum() > ann.ROUTE_PAIRS
+
+
 def test_copies_ties_and_unusable_vectors(spark):
     one, other = [1.0, 0.0, 0.5], [0.0, 2.0, 0.0]
     rows = [(i, one, 0) for i in range(1, 400)] + [(i, other, 0) for i in range(400, 420)]
