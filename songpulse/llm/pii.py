@@ -1,11 +1,14 @@
 """Personal data by anchor expansion.
 
 One Aho-Corasick pass over a text finds the anchors: at-signs, plus signs, ``://``, a digit before
-a dot, two digits of one chain, and words that announce a secret. At each anchor a local
+a dot, two digits of one chain, and words that announce a secret or an account. At each anchor a local
 parser for its kind grows the span to both sides and validates it. The base kinds (email, ip,
 card, phone) give exactly the leftmost non-overlapping matches of their patterns that pass
-validation, a failed match is not tried again. Two more kinds are added: the user part of an
-address with a scheme (``login``) and the value after a secret's cue (``secret``).
+validation, a failed match is not tried again. Three more kinds are added: the user part of an
+address with a scheme (``login``; the address itself is no personal data), the value after a
+secret's cue (``secret``: after a password's any quoted or blank-delimited one, after the others
+one of 16 characters at least) and the number after an account's cue (``account``). Cues count
+in any case of their letters.
 
 Defined cases: a NULL or empty text has no spans (``redact`` keeps NULL); texts of any length are
 scanned whole; offsets are code points, end exclusive; repeated rows give equal rows; further
@@ -23,9 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "login", "secret")
-#: Words that announce a secret, also in capitals or with a capital letter.
-CUES = ("token", "secret", "password", "passwd", "api_key", "apikey", "access_key")
+KINDS = (*BASE_KINDS, "login", "secret", "account")
+#: Words that announce a secret or an account's number; lower case.
+PASSWORD_CUES = ("password", "passwd", "passphrase", "pwd")
+CUES = (*PASSWORD_CUES, "token", "secret", *(f"{a}{gap}key" for a in ("api", "access") for gap in ("", "_", "-", " ")))
+ACCOUNT_CUES = ("iban", "kontonummer", "kundennummer") + tuple(
+    f"{a}{gap}{n}" for a in ("account", "acct", "customer") for gap in ("", "_", "-", " ") for n in ("number", "no", "num", "nr", "id", "#")
+)
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _QUAD = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
@@ -33,6 +40,10 @@ _CHAIN = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _CALL = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOGIN = re.compile(r"[^\s/@:?#]+:[^\s/@?#]+(?=@)")
 _VALUE = re.compile(r"[\"']?\s{0,3}[:=]\s{0,3}[\"']?([A-Za-z0-9_+/=.-]{16,})")
+_PASSWORD = re.compile(r"[\"']?[ \t]{0,3}[:=]{1,2}>?[ \t]{0,3}(?:\"((?:[^\"\\\n]|\\.)+)\"|'((?:[^'\\\n]|\\.)+)'|[\"']?([^\s\"']\S*))")
+_IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])|[A-Za-z]{2}[0-9]{2}[A-Za-z0-9]{11,30}(?![A-Za-z0-9])")
+_NUMBER = re.compile(r"[A-Za-z]{0,4}[-./ ]?[0-9](?:[-./ ]?[0-9]|[-./]?[A-Za-z](?![a-z])){3,33}")
+_ANNOUNCES = re.compile(r"(?:[ _-]?(?:number|no|nr))?[\"'.]{0,2}\s{0,3}(?:[:=#]|is\b)?\s{0,3}[\"']?", re.I)
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DIGITS = frozenset("0123456789")
 
@@ -48,8 +59,9 @@ def _automaton() -> ahocorasick.Automaton:
             for gap in ("", " ", "-"):
                 anchors.add_word(d + gap + e, ("card", 2 + len(gap)))
     for cue in CUES:
-        for form in {cue, cue.upper(), cue.capitalize()}:
-            anchors.add_word(form, ("secret", len(form)))
+        anchors.add_word(cue, ("secret", len(cue)))
+    for cue in ACCOUNT_CUES:
+        anchors.add_word(cue, ("account", len(cue)))
     anchors.make_automaton()
     return anchors
 
@@ -99,18 +111,47 @@ def _login(text: str, at: int, end: int, after: int) -> tuple[int, int, bool] |
 
 
 def _secret(text: str, at: int, end: int, after: int) -> tuple[int, int, bool] | None:
-    m = _VALUE.match(text, end) if at >= after else None
-    return (m.start(1), m.end(1), True) if m else None
+    if at < after:
+        return None
+    m = (_PASSWORD if text[at:end].lower() in PASSWORD_CUES else _VALUE).match(text, end)
+    return (*m.span(m.lastindex), True) if m else None
+
+
+def _account(text: str, at: int, end: int, after: int) -> tuple[int, int, bool] | None:
+    if at < after or at and text[at - 1].isalnum():
+        return None
+    start = _ANNOUNCES.match(text, end).end()
+    if text[end : end + 1].isalnum() and start == end:
+        return None  # the cue is the beginning of a longer word
+    if m := _IBAN.match(text, start):
+        return start, start + _iban_length(m.group()), True
+    m = _NUMBER.match(text, start)
+    return (start, m.end(), True) if m else None
+
+
+def _iban_length(found: str) -> int:
+    """Characters of the shortest beginning whose check digits are right, else all."""
+    for last in range(15, len(found) + 1):
+        plain = found[:last].replace(" ", "").upper()
+        if len(plain) >= 15 and found[last : last + 1] in ("", " ") and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1:
+            return last
+    return len(found)
+
+
+_PARSERS = {"email": _email, "ip": _ip, "card": _card, "phone": _phone, "login": _login, "secret": _secret, "account": _account}
 
 
-_PARSERS = {"email": _email, "ip": _ip, "card": _card, "phone": _phone, "login": _login, "secret": _secret}
+def _lowered(text: str) -> str:
+    """The text in lower case, character by character."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c if len(x := c.lower()) > 1 else x for c in text)
 
 
 def spans(text: str | None) -> list[tuple[str, int, int]]:
     """(kind, start, end) in the order of KINDS, then by start."""
     found: dict[str, list[tuple[str, int, int]]] = {kind: [] for kind in KINDS}
     after = dict.fromkeys(KINDS, 0)
-    for last, (kind, size) in _ANCHORS.iter(text or ""):
+    for last, (kind, size) in _ANCHORS.iter(_lowered(text or "")):
         end = last + 1
         if end <= after[kind]:
             continue  # inside the last match of its kind

@@ -125,6 +125,23 @@ def test_pii_find_and_redact(spark):
     assert pii.redact(docs.limit(0)).columns == docs.columns and pii.find(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("password = Tr0ub4dor&3 next", [("secret", "Tr0ub4dor&3")]), ('{"PassWord": "two words, x"}', [("secret", "two words, x")]),
+        ("passwd:'a\\'b' x", [("secret", "a\\'b")]), ("pwd='open x", [("secret", "open")]), ("password:\nNext line", []), ("a password is short", []),
+        ("Api_Key=abcdefghij0123456789", [("secret", "abcdefghij0123456789")]), ("apiKey: abcdefghij0123456789", [("secret", "abcdefghij0123456789")]),
+        ("ACCESS-KEY = abcdefghij0123456789", [("secret", "abcdefghij0123456789")]), ("İ tOKEN=abcdefghij0123456789", [("secret", "abcdefghij0123456789")]),
+        ("token = short", []), ("IBAN: DE89 3704 0044 0532 0130 00 BANK", [("account", "DE89 3704 0044 0532 0130 00")]),
+        ("iban=es9121000418450200051332,", [("account", "es9121000418450200051332")]), ("Account number: 12-345678 by", [("account", "12-345678")]),
+        ("customer_id=\"C-99812\"", [("account", "C-99812")]), ("Customer No. 48213", [("account", "48213")]), ("account notes 12345", []),
+        ("the account number is not known", []), ("an account no one had in 1999", []), ("accountid 123", []),
+    ],
+)
+def test_pii_cues(text, want):
+    assert [(k, text[s:e]) for k, s, e in pii.spans(text) if k not in pii.BASE_KINDS] == want
+
+
 def test_language_codes_and_edges(spark):
     for n in (2, 4, 7, 12, 40):
         code = lang_id.codewords(n)
