@@ -43,13 +43,20 @@ RULES = (
 BIT = {rule.name: 1 << i for i, rule in enumerate(RULES)}
 BASE = BIT["few_words"] | BIT["repeated_windows"]
 #: Policies by version: the mask of rules that reject a document.
-POLICIES = {"base": BASE, "v1": BASE | BIT["symbols"], "v2": (1 << len(RULES)) - 1}
-PRODUCTION = "v2"
+POLICIES = {"base": BASE, "v1": BASE | BIT["symbols"], "v2": (1 << len(RULES)) - 1, "v3": (1 << len(RULES)) - 1}
+PRODUCTION = "v3"
+#: Policies that set no upper bound on the word length of ``unspaced`` texts.
+SCRIPT_AWARE = frozenset({"v3"})
+#: Scripts that are written without spaces between words, as regex classes.
+UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_exclaims")
 
 
 def with_measures(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep`` columns and the measurements; one row per input row.
+    """``keep`` columns, the measurements and ``unspaced``; one row per input row.
+
+    ``unspaced``: whether words are longer than 20 characters on average and most letters are of a
+    script without spaces. Only for such long words are the letters counted.
 
     Repeated windows are found on 64-bit hashes of eight words, inside the row: a long text
     costs a sort of its own windows and no shuffle.
@@ -63,7 +70,10 @@ def with_measures(docs: DataFrame, keep: list[str]) -> DataFrame:
         n_of(F.col("_t"), SYMBOLS).alias("n_symbols"),
         n_chars(F.regexp_replace("_t", "[^A-Z]+", "")).alias("n_upper"),
         n_of(F.col("_t"), "!").alias("n_exclaims"),
+        "_t",
     )
+    letters = lambda chars: n_chars(F.regexp_replace("_t", f"[^{chars}]+", ""))
+    unspaced = 2 * letters(UNSPACED) > letters(r"\p{L}\p{M}")
     size = lambda c: F.size(c).cast("long")
     plain = ["word_chars", "n_symbols", "n_upper", "n_exclaims"]
     rows = rows.select(
@@ -76,8 +86,9 @@ def with_measures(docs: DataFrame, keep: list[str]) -> DataFrame:
             F.slice("_h", F.lit(1), F.size("_h") - (WINDOW - 1)),
             lambda _, i: F.xxhash64(F.slice("_h", i + 1, WINDOW)),
         )).alias("_w"),
+        F.when(F.col("word_chars") > 20 * size("_h"), unspaced).otherwise(F.lit(False)).alias("unspaced"),
     )
-    plain += ["n_words", "n_lines", "n_dup_lines"]
+    plain += ["n_words", "n_lines", "n_dup_lines", "unspaced"]
     none = F.array().cast("array<struct<h:bigint,i:int>>")
     pairs = F.transform("_w", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
     rows = rows.select(
@@ -116,19 +127,28 @@ def fail_bits(rules: tuple[Rule, ...] = RULES) -> Column:
     return bits
 
 
+def policy_bits(version: str) -> Column:
+    """The failed rules of a ledger row that count under a policy."""
+    bits = F.col("fail_bits")
+    if version in SCRIPT_AWARE:
+        waived = F.col("unspaced") & (F.col("word_chars") >= 2 * F.col("n_words"))
+        bits = F.when(waived, bits.bitwiseAND(F.lit(~BIT["word_length"]).cast("long"))).otherwise(bits)
+    return bits.bitwiseAND(F.lit(POLICIES[version]).cast("long"))
+
+
 def passes(mask: int) -> Column:
     """Whether a ledger row fails no rule of ``mask``."""
     return F.col("fail_bits").bitwiseAND(F.lit(mask).cast("long")) == 0
 
 
 def ledger(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """``keep`` (default doc_id), the measurements and ``fail_bits``; one row per document."""
+    """``keep`` (default doc_id), the measurements, ``unspaced`` and ``fail_bits``; one row per document."""
     return with_measures(docs, keep or ["doc_id"]).withColumn("fail_bits", fail_bits())
 
 
 def apply_policy(rows: DataFrame, version: str = PRODUCTION) -> DataFrame:
     """Ledger rows with ``policy`` and ``kept`` under one policy version."""
-    return rows.withColumns({"policy": F.lit(version), "kept": passes(POLICIES[version])})
+    return rows.withColumns({"policy": F.lit(version), "kept": policy_bits(version) == 0})
 
 
 def select_passing(docs: DataFrame, version: str = PRODUCTION) -> DataFrame:
@@ -139,7 +159,7 @@ def select_passing(docs: DataFrame, version: str = PRODUCTION) -> DataFrame:
     """
     row = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col("text"))
     rows = with_measures(row, ["_row"]).withColumn("fail_bits", fail_bits())
-    return rows.select(F.inline(F.when(passes(POLICIES[version]), F.array("_row"))))
+    return rows.select(F.inline(F.when(policy_bits(version) == 0, F.array("_row"))))
 
 
 def ablation(rows: DataFrame, version: str = PRODUCTION) -> DataFrame:
@@ -149,14 +169,14 @@ def ablation(rows: DataFrame, version: str = PRODUCTION) -> DataFrame:
     2^rules rows), then each rule is switched off in the mask.
     """
     mask = POLICIES[version]
-    patterns = rows.groupBy("fail_bits").agg(F.count("*").alias("n"))
+    patterns = rows.groupBy(policy_bits(version).alias("failed")).agg(F.count("*").alias("n"))
     rules = [(r.name, BIT[r.name]) for r in RULES if BIT[r.name] & mask]
     rule_rows = F.explode(F.array(*(F.struct(F.lit(n).alias("rule"), F.lit(b).cast("long").alias("bit")) for n, b in rules)))
-    failed = F.col("fail_bits").bitwiseAND(F.lit(mask).cast("long"))
+    failed = F.col("failed")
     hit = failed.bitwiseAND(F.col("bit")) != 0
     return (
-        patterns.select("fail_bits", "n", rule_rows.alias("r"))
-        .select("fail_bits", "n", "r.*")
+        patterns.select("failed", "n", rule_rows.alias("r"))
+        .select("failed", "n", "r.*")
         .groupBy("rule", "bit")
         .agg(
             F.sum(F.when(hit, F.col("n")).otherwise(0)).alias("n_failed"),

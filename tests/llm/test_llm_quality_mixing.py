@@ -50,6 +50,20 @@ def test_bits_policies_and_ablation(spark):
     assert quality.select_passing(rows).collect() == [(1, clean)]
 
 
+def test_scripts_without_spaces(spark):
+    han = " ".join(f"{chr(0x4E00 + i)}" + "漢字かな交じり文は空白なしで書かれる長い文章である" for i in range(25))
+    thai = " ".join(f"ภาษาไทยเขียนติดกันโดยไม่เว้นวรรคระหว่างคำ{i}" for i in range(25))
+    latin = " ".join(f"averyveryverylongwordwithoutend{i}" for i in range(25))
+    mostly_latin = " ".join(f"averyveryverylongwordwithoutend漢字{i}" for i in range(25))
+    rows = spark.createDataFrame(list(enumerate([han, thai, latin, mostly_latin, "漢" * 500, han + "#" * 25])), "doc_id long, text string")
+    assert {r["doc_id"] for r in quality.select_passing(rows).collect()} == {0, 1}
+    led = quality.ledger(rows)
+    kept = lambda version: {r["doc_id"] for r in quality.apply_policy(led, version).where("kept").collect()}
+    assert kept("v3") == {0, 1} and kept("v2") == set() and kept("base") == {0, 1, 2, 3, 5}
+    off = {r["rule"]: r["n_failed"] for r in quality.ablation(led).collect()}
+    assert off["word_length"] == 2 and off["few_words"] == 1
+
+
 def test_empty_and_clashing_columns(spark):
     empty = spark.createDataFrame([], DOCS)
     assert quality.ledger(empty).count() == 0 and mixing.mix(empty).count() == 0
