@@ -89,4 +89,63 @@ select d.doc_id, coalesce(n.n, 0) as n_shingles, least(d.doc_id, coalesce(least,
 from d left join n using (doc_id) left join least on a = d.doc_id
 """
 
-ORACLE: dict[str, str] = {"op3_format_chats": OP3, "op5_minhash_dedup": OP5, "op9_mix_sources": OP9, "op10_quality_ledger": OP10}
+_VECTORS = """select vec_id, label, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"""
+
+OP11 = rf"""
+with v as ({_VECTORS}),
+s as (select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score
+  from v q join v c on q.vec_id % 50 = 0 and q.vec_id != c.vec_id and len(q.v) = len(c.v)),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 5
+"""
+
+OP12 = rf"""
+with u as ({_VECTORS} and label is not null),
+v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, v from u),
+s as (select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same, cast(list_inner_product(a.v, c.v) as bigint) as score
+  from v a join v c on a.vec_id % 100 = 0 and a.vec_id != c.vec_id and len(a.v) = len(c.v)),
+p as (select anchor_id, vec_id as positive_id, score as positive_score,
+  row_number() over (partition by anchor_id order by score desc, vec_id) as n from s where same),
+w as (select p.anchor_id, positive_id, positive_score, vec_id as negative_id, score as negative_score,
+  row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id) as rank
+  from p join s on p.anchor_id = s.anchor_id and p.n <= 5 and not s.same
+    and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score)
+select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score from w where rank <= 5
+"""
+
+OP13 = r"""
+with d as (select row_number() over () as id, coalesce(lang, '') as lang, coalesce(source, '') as source, coalesce(text, '') as text from documents),
+t as (select id, lang, source, unnest(regexp_extract_all(
+  translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from d),
+kept as (select lang, term, count(*) as n from t group by all having count(distinct id) >= 10),
+v as (select lang, count(*) as v, sum(n) as n from kept group by lang),
+grp as (select distinct lang, source from d),
+c as (select lang, source, term, count(*) as n from t join kept using (lang, term) group by all),
+tot as (select lang, source, sum(n) as n from c group by all),
+cell as (select g.lang, g.source, k.term, coalesce(c.n, 0) as n,
+    1 + (1000000000::hugeint * (coalesce(c.n, 0) + 2)) // (coalesce(tot.n, 0) + 2 * v.v) as p,
+    1 + (1000000000::hugeint * (k.n + 2)) // (v.n + 2 * v.v) as q
+  from grp g join kept k using (lang) join v using (lang) left join c on c.lang = g.lang and c.source = g.source and c.term = k.term
+    left join tot on tot.lang = g.lang and tot.source = g.source),
+pv as (select a.lang, a.source, b.source as item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) as value
+  from cell a join cell b on a.lang = b.lang and a.term = b.term and a.source != b.source group by all),
+part as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(pv.value, 0) as value
+  from grp a join grp b on a.lang = b.lang and a.source != b.source
+    left join pv on pv.lang = a.lang and pv.source = a.source and pv.item = b.source
+  union all
+  select lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) from cell where n > 0 and p > q),
+r as (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from part)
+select lang, source, part, item, cast(value as bigint) as value, cast(rank as integer) as rank from r where part = 'pair' or rank <= 10
+"""
+
+ORACLE: dict[str, str] = {
+    "op3_format_chats": OP3,
+    "op5_minhash_dedup": OP5,
+    "op9_mix_sources": OP9,
+    "op10_quality_ledger": OP10,
+    "op11_top_products": OP11,
+    "op12_hard_negatives": OP12,
+    "op13_source_divergence": OP13,
+}

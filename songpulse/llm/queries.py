@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from songpulse.llm import ann, bpe, chat, html_text, lang_id, minhash, mixing, pii, quality, token_spans
+from songpulse.llm import ann, bpe, chat, divergence, hard_negatives, html_text, lang_id, minhash, mixing, norm_search, pii, quality, token_spans
 from songpulse.llm.common import table
 
 
@@ -108,6 +108,24 @@ def op10_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest integer inner products for every vec_id divisible by 50, among all others."""
+    rows = table(spark, sf_dir, "embeddings")
+    return norm_search.top_products(rows, rows.where(F.col("vec_id") % 50 == 0), k=5)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every vec_id divisible by 100; vec_ids divisible by 7 change label first."""
+    rows = table(spark, sf_dir, "embeddings")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(rows, rows.where(F.col("vec_id") % 100 == 0))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every pair of a lang's sources, and each source's over-represented terms."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nearest": op1_nearest,
     "op2_language_id": op2_language_id,
@@ -119,4 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_find_pii": op8_find_pii,
     "op9_mix_sources": op9_mix_sources,
     "op10_quality_ledger": op10_quality_ledger,
+    "op11_top_products": op11_top_products,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_source_divergence": op13_source_divergence,
 }
