@@ -67,28 +67,34 @@ def tokens(c: Column | str) -> Column:
     return strip(x)
 
 
-def match_index(c: Column | str) -> Column:
-    """1-based index of the first pattern of the cascade that matches, 0 for none."""
-    text = _col(c)
-    expr = None
-    for i, pattern in enumerate(EXTRACTION_PATTERNS, start=1):
-        cond = text.rlike(pattern)
-        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
-    return expr.otherwise(F.lit(0))
+def _one_evaluation() -> str:
+    """The whole cascade as one pattern over the whole text, with two groups per alternative.
 
+    From the text's start each alternative skips as little as it can, so it finds the leftmost match of
+    its pattern, as a search would, and a later alternative is tried only if no place fits an earlier
+    one. The empty alternative makes it match every text.
+    """
+    tried = "|".join(rf"[\s\S]*?(?:{pattern})" for pattern in EXTRACTION_PATTERNS)
+    return rf"\A(?:{tried}|)[\s\S]*\z"
+
+
+#: No group of the cascade can hold it: "." excludes it.
+_BETWEEN = "\n"
 
-def groups_of(c: Column | str, index: Column) -> Column:
-    """Struct ``(song, artist)`` of the raw groups of pattern ``index`` (``''`` for 0)."""
-    text = _col(c)
 
-    def group(g: int) -> Column:
-        expr = None
-        for i, pattern in enumerate(EXTRACTION_PATTERNS, start=1):
-            val = F.regexp_extract(text, pattern, g)
-            expr = F.when(index == i, val) if expr is None else expr.when(index == i, val)
-        return expr.otherwise(F.lit(""))
+def raw_groups(c: Column | str) -> Column:
+    """``song`` + newline + ``artist``: the raw groups of the first pattern that matches (one regex
+    evaluation); both empty if none does, or for NULL."""
+    groups = range(1, 2 * len(EXTRACTION_PATTERNS) + 1)
+    songs, artists = ("".join(f"${g}" for g in groups if g % 2 == odd) for odd in (1, 0))
+    # A group of an alternative that was not taken is empty.
+    return F.regexp_replace(F.coalesce(_col(c), F.lit("")), _one_evaluation(), songs + _BETWEEN + artists)
 
-    return F.struct(group(1).alias("song"), group(2).alias("artist"))
+
+def cleaned_groups(raw: Column) -> Column:
+    """Struct ``(song, artist)`` of ``raw_groups``, each cleaned by ``tokens``."""
+    song, artist = F.substring_index(raw, _BETWEEN, 1), F.substring_index(raw, _BETWEEN, -1)
+    return F.struct(tokens(song).alias("song"), tokens(artist).alias("artist"))
 
 
 def extract_song_artist(c: Column | str) -> Column:
@@ -96,15 +102,10 @@ def extract_song_artist(c: Column | str) -> Column:
 
     No match (or NULL text) gives ``('', '')`` (``tokens('')`` is ``''``). The branch is chosen
     on *pattern matched*, not on a non-empty group, so an empty artist from the first pattern
-    stays empty. The index is bound once, as the variable of a one-element transform; over whole
+    stays empty. The groups are bound once, as the variable of a one-element transform; over whole
     tables ``operators.clean.with_song_artist`` does the same in stages.
     """
-
-    def cleaned(index: Column) -> Column:
-        raw = groups_of(c, index)
-        return F.struct(tokens(raw["song"]).alias("song"), tokens(raw["artist"]).alias("artist"))
-
-    return F.get(F.transform(F.array(match_index(c)), cleaned), F.lit(0))
+    return F.get(F.transform(F.array(raw_groups(c)), cleaned_groups), F.lit(0))
 
 
 def lookup_key(artist: Column | str, song: Column | str) -> Column:

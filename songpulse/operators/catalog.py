@@ -15,7 +15,9 @@ catalogue (partial aggregation, no window sort), keyed by the normalised text.
 Join strategy: the catalogue's measured bytes bound the lookup tables. Within the broadcast limit,
 taken over all of them together, they are broadcast and the requests are never shuffled. Beyond it the distinct requests are
 resolved first (a hot request collapses in the map-side aggregate) and joined back once; AQE
-splits a skewed join partition.
+splits a skewed join partition. Plans without AQE (streams with state) join directly; there the requests that
+hold a large share of the rows, found by an approximate count, are salted: their rows go to as many partitions
+as there are salts, and only their few lookup rows are copied.
 """
 
 from __future__ import annotations
@@ -30,6 +32,9 @@ from songpulse.plans.sizing import byte_bound, fits_broadcast
 from songpulse.session import checkpoint_root
 
 RESULT = ("artist", "song", "genre", "track_id")
+#: Share of all rows from which a request is hot, and entries of the sketch that counts them.
+HOT_SHARE, SKETCH_ITEMS = 1 / 64, 10_000
+SALT_SEED = 17
 
 
 def _best(keyed: DataFrame, key: str) -> DataFrame:
@@ -116,8 +121,43 @@ def catalog_index(cat: DataFrame, materialize: bool = False, song_only: bool = T
     return CatalogIndex(tables[0], tables[1], tables[2] if song_only else None, n_bytes)
 
 
-def _attach(req: DataFrame, idx: CatalogIndex, broadcast: bool, with_song_only: bool) -> DataFrame:
+@dataclass(frozen=True)
+class HotRequests:
+    """Keys of the requests (artist and song) and artists that hold a large share of the rows."""
+
+    pairs: tuple[str, ...] = ()
+    artists: tuple[str, ...] = ()
+
+
+def hot_requests(requests: DataFrame, artist: str = "artist", song: str = "song", share: float = HOT_SHARE) -> HotRequests:
+    """The requests that make up at least ``share`` of the rows, by one approximate count (a frequent-items
+    sketch of fixed size per task). At most 1 / share keys come back. A missed or a wrong key costs time, no row."""
+    a, s = F.coalesce(strip(artist), F.lit("")), F.coalesce(strip(song), F.lit(""))
+    both = requests.select(F.lower(F.concat(a, F.lit(" "), s)).alias("pair"), F.lower(a).alias("artist")).where((a != "") & (s != ""))
+    most = int(1 / share)
+    top = [F.expr(f"approx_top_k({c}, {most}, {SKETCH_ITEMS})").alias(c) for c in ("pair", "artist")]
+    found = both.agg(F.count(F.lit(1)).alias("n"), *top).first()
+    keys = lambda items: tuple(i["item"] for i in items or () if i["item"] and i["count"] >= share * found["n"])
+    return HotRequests(keys(found["pair"]), keys(found["artist"]))
+
+
+def _join_lookup(x: DataFrame, table: DataFrame, key: str, table_key: str, hot: tuple[str, ...], salts: int) -> DataFrame:
+    """Left join of requests with a lookup table; hot keys, and rows without a key, are spread over ``salts``."""
+    if not hot:
+        return x.join(table, x[key] == F.col(table_key), "left")
+    spread = F.col(key).isin(*hot) | F.col(key).isNull()
+    x = x.withColumn("_salt", F.when(spread, F.floor(F.rand(SALT_SEED) * salts)).otherwise(F.lit(0)).cast("int"))
+    copies = F.when(F.col(table_key).isin(*hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    table = table.withColumn("_table_salt", F.explode(copies))
+    both = (x[key] == F.col(table_key)) & (F.col("_salt") == F.col("_table_salt"))
+    return x.join(table, both, "left").drop("_salt", "_table_salt")
+
+
+def _attach(
+    req: DataFrame, idx: CatalogIndex, broadcast: bool, with_song_only: bool, hot: HotRequests = HotRequests()
+) -> DataFrame:
     """Add ``_res`` (struct of RESULT or NULL) to a frame with stripped ``_a``, ``_s``."""
+    salts = int(req.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     a, s = F.col("_a"), F.col("_s")
     both = (a != "") & (s != "")
     keys = [
@@ -128,12 +168,12 @@ def _attach(req: DataFrame, idx: CatalogIndex, broadcast: bool, with_song_only:
         keys.append(F.when((a == "") & (s != ""), F.lower(s)).alias("_sk"))
     x = req.select("*", *keys)
     hint = F.broadcast if broadcast else (lambda d: d)
-    x = x.join(hint(idx.hits), x["_pk"] == F.col("key"), "left")
+    x = _join_lookup(x, hint(idx.hits), "_pk", "key", () if broadcast else hot.pairs, salts)
     picks = [F.col("_hit")]
     if with_song_only:
         x = x.join(hint(idx.song_hits), x["_sk"] == F.col("song_key"), "left")
         picks.append(F.col("_song_hit"))
-    x = x.join(hint(idx.tops), x["_ak"] == F.col("artist_key"), "left")
+    x = _join_lookup(x, hint(idx.tops), "_ak", "artist_key", () if broadcast else hot.artists, salts)
     top, genre = F.col("_top"), F.when(s != "", F.col("_top.genre")).otherwise(F.col("own_genre"))
     picks.append(F.when(top.isNotNull(), F.struct(top["artist"], top["song"], genre.alias("genre"), top["track_id"])))
     return x.select("*", F.coalesce(*picks).alias("_res"))
@@ -147,6 +187,7 @@ def _resolve(
     with_song_only: bool,
     strategy: str,
     how: str = "left",
+    hot: HotRequests = HotRequests(),
 ) -> DataFrame:
     idx = cat if isinstance(cat, CatalogIndex) else catalog_index(cat, song_only=with_song_only)
     if not with_song_only and how == "inner":
@@ -163,7 +204,7 @@ def _resolve(
     if strategy == "auto":
         strategy = "broadcast" if fits_broadcast(req.sparkSession, idx.n_bytes) else "distinct"
     if strategy in ("broadcast", "direct"):
-        out = _attach(req, idx, strategy == "broadcast", with_song_only)
+        out = _attach(req, idx, strategy == "broadcast", with_song_only, hot)
         return out.select(*requests.columns, "_res")
     if strategy != "distinct":
         raise ValueError(f"unknown strategy {strategy!r}")
@@ -198,12 +239,14 @@ def enrich(
     cat: DataFrame | CatalogIndex,
     keep: tuple[str, ...] = (),
     strategy: str = "auto",
+    hot: HotRequests = HotRequests(),
 ) -> DataFrame:
     """Enriched table (raw_tweet, processed_tweet, artist, song, genre, tweet_time[, keep])
     from cleaned rows. Rows without both song and artist, and rows the catalogue cannot
-    resolve to a genre, are dropped (so a prior ``complete_tweets`` filter is optional)."""
+    resolve to a genre, are dropped (so a prior ``complete_tweets`` filter is optional). ``hot``
+    spreads those requests over salts on the ``direct`` strategy."""
     base = cleaned.select("raw_tweet", "processed_tweet", "artist", "song", "tweet_time", *keep)
-    out = _resolve(base, cat, "artist", "song", False, strategy, "inner").where(F.col("_res.genre").isNotNull())
+    out = _resolve(base, cat, "artist", "song", False, strategy, "inner", hot).where(F.col("_res.genre").isNotNull())
     return out.select(
         "raw_tweet",
         "processed_tweet",

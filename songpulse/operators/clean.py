@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from songpulse.functions import tokens
-from songpulse.functions.text import groups_of, match_index
+from songpulse.functions.text import cleaned_groups, raw_groups
 
 
 def clean_tweets(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -25,16 +25,14 @@ def clean_tweets(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 def with_song_artist(df: DataFrame, text: str) -> DataFrame:
     """``df`` and the cleaned (song, artist) of the text column, in stages.
 
-    First which pattern matches (each is tried once at most), then that pattern's two groups,
-    then cleaning. The result comes out of a one-row ``inline``: a filter on generated columns
+    First the raw groups of the cascade, in one regex evaluation per row, then their cleaning. The
+    result comes out of a one-row ``inline``: a filter on generated columns
     cannot be pushed below the generator, so the optimizer does not copy the regex chain
     into the predicate, which would run it twice and outgrow the code generator.
     """
     cols = [F.col(f"`{c}`") for c in df.columns]
-    matched = df.select(*cols, match_index(text).alias("_m"))
-    groups = matched.select(*cols, groups_of(text, F.col("_m")).alias("_g"))
-    cleaned = F.struct(tokens(F.col("_g.song")).alias("song"), tokens(F.col("_g.artist")).alias("artist"))
-    return groups.select(*cols, F.inline(F.array(cleaned)))
+    groups = df.select(*cols, raw_groups(text).alias("_g"))
+    return groups.select(*cols, F.inline(F.array(cleaned_groups(F.col("_g")))))
 
 
 def complete_tweets(df: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from songpulse import schemas
 from songpulse.operators.catalog import enrich
+from songpulse.sources import commits
 
 
 def high_water_mark(processed: DataFrame) -> int | None:
@@ -36,9 +37,11 @@ def incremental_after(cleaned: DataFrame, processed: DataFrame | None) -> DataFr
     groups wholly at or below the mark (earlier appends) are skipped from their statistics.
     A day-partitioned input is also pruned to the partitions from the mark's day on.
     """
-    if processed is None:
-        return cleaned
-    mark = high_water_mark(processed)
+    return cleaned if processed is None else newer_than(cleaned, high_water_mark(processed))
+
+
+def newer_than(cleaned: DataFrame, mark: int | None) -> DataFrame:
+    """Rows strictly newer than the mark; all of them if there is none."""
     if mark is None:
         return cleaned
     cond = F.col("tweet_time") > F.lit(mark)
@@ -89,3 +92,43 @@ def append_enriched(
         out.write.mode("append").partitionBy(schemas.DAY).parquet(sink_path)
     else:
         new.write.mode("append").parquet(sink_path)
+
+
+def mark_of(table: commits.Table) -> int | None:
+    """The high-water mark that the table's last manifest holds; None before the first rows."""
+    return table.details.get("mark")
+
+
+def append_committed(
+    spark: SparkSession,
+    cleaned_path: str,
+    sink_path: str,
+    cat: DataFrame,
+    partition_by_day: bool = False,
+) -> commits.Table:
+    """One incremental run whose rows appear all at once, whatever dies on the way.
+
+    The rows are staged in a folder of the run and published by one manifest (see
+    ``sources.commits``), which also holds the new mark: the next run reads the mark there, not in
+    the data. A run that dies before its manifest leaves no row and no higher mark, so the next
+    one takes the same rows again. Of two runs at a time one raises ``CommitConflict``.
+    """
+    table = commits.state(spark, sink_path)
+    cleaned = spark.read.schema(schemas.CLEANED).parquet(cleaned_path)
+    new = schemas.conform(enrich(newer_than(cleaned, mark_of(table)), cat), schemas.ENRICHED)
+    if partition_by_day:
+        folder = commits.stage_rows(schemas.with_day(new).hint("rebalance", schemas.DAY), sink_path, (schemas.DAY,))
+    else:
+        folder = commits.stage_rows(new, sink_path)
+    rows = commits.read_parts(spark, sink_path, {folder: folder}, schemas.ENRICHED)
+    n, mark = rows.agg(F.count(F.lit(1)), F.max("tweet_time")).first()
+    if not n:
+        return table
+    return commits.publish(spark, sink_path, table, {folder: folder}, {"mark": mark, "rows": n})
+
+
+def read_enriched_sink(spark: SparkSession, path: str) -> DataFrame:
+    """An enriched sink of either kind: by its manifests if it has any, else all files."""
+    if commits.is_committed_table(spark, path):
+        return commits.read_committed(spark, path, schemas.ENRICHED)
+    return spark.read.schema(schemas.ENRICHED).parquet(path)

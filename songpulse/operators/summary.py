@@ -38,7 +38,9 @@ def summary_lines(summary: DataFrame) -> DataFrame:
 def kpi_counts(raw: DataFrame, enriched: DataFrame) -> DataFrame:
     """One row: raw_tweet, processed_tweet, song (a row count, as in the original), artist,
     genre (distinct counts) and song_distinct. One scan of each input; posts are first counted
-    per (genre, artist, song), so only the distinct triples are expanded for the three counts."""
+    per (genre, artist, song), so only the distinct triples are expanded for the three counts.
+    ``raw`` is any table with a row per post; cleaning keeps rows one to one, so the posts
+    before it are as good, and counting them runs no extraction."""
     raw_n = raw.select(F.count(F.lit(1))).scalar()
     triples = enriched.groupBy("genre", "artist", "song").agg(F.count(F.lit(1)).alias("_n"))
     total = lambda n: F.coalesce(F.sum(n), F.lit(0).cast("bigint"))
@@ -98,3 +100,17 @@ def genre_timeseries(hourly: DataFrame, genres: list[str] | None = None) -> Data
         hour_label("hour_start").alias("tweet_time"),
         *[F.col(f"`{c}`").cast("bigint").alias(c) for c in genre_cols],
     )
+
+
+def genre_counts_per_hour(hourly: DataFrame) -> DataFrame:
+    """One row per hour (hour_start, tweet_time label, n_genres, genre_counts): a map of the genres that
+    have posts in the hour, ordered by name. No job runs while planning and genres have no limit, unlike
+    columns; a reader takes an absent genre as 0."""
+    entries = F.sort_array(F.collect_list(F.struct("genre", "count")))
+    rows = hourly.groupBy("hour_start").agg(entries.alias("_e"))
+    return rows.select(
+        "hour_start",
+        hour_label("hour_start").alias("tweet_time"),
+        F.size("_e").alias("n_genres"),
+        F.map_from_entries("_e").alias("genre_counts"),
+    )

@@ -6,6 +6,8 @@ functions for the arg-max steps) so that the two engines are independent impleme
 
 from __future__ import annotations
 
+import re
+
 from songpulse.functions.text import NON_BLANK_RUN, PY2_WHITESPACE
 from songpulse.sources.fixtures import PROCESSED_BEFORE
 
@@ -183,6 +185,15 @@ HOURLY = f"""hourly AS (
 BASE = [CATALOG, TWEETS, EXTRACTED, CLEANED, HITS, ENRICHED]
 
 
+def _of_half_catalogue(sql: str) -> str:
+    """The catalogue's and the enrichment's tables under other names, for every second track."""
+    names = ["catalog", "hits", "song_hits", "artist_tracks", "artist_genres", "tops", "complete_ids", "resolved", "enriched_users", "enriched"]
+    return re.sub(rf"\b({'|'.join(names)})\b", r"half_\1", sql)
+
+
+HALF = [_of_half_catalogue(CATALOG).replace("FROM part)", "FROM part WHERE p_partkey % 2 = 0)"), _of_half_catalogue(HITS), _of_half_catalogue(ENRICHED)]
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -328,8 +339,26 @@ ORACLE: dict[str, str] = {
     f"(SELECT max(tweet_time) FROM enriched WHERE tweet_time < {PROCESSED_BEFORE})",
     "incremental_first_run": _base() + f"SELECT {_ENRICHED_COLS} FROM enriched",
     "enrich_incremental": _base() + f"SELECT {_ENRICHED_COLS} FROM enriched",
+    "genre_hour_incremental": _base(HOURLY)
+    + f"SELECT genre, {hour_label('hour_start')} AS tweet_time, count FROM hourly",
+    "genre_counts_per_hour": _base(HOURLY)
+    + f"SELECT hour_start, {hour_label('hour_start')} AS tweet_time, CAST(count(*) AS INTEGER) AS n_genres, "
+    "'{' || string_agg('\"' || genre || '\":' || CAST(count AS VARCHAR), ',' ORDER BY genre) || '}' AS genre_counts "
+    "FROM hourly GROUP BY hour_start",
     # streaming (compared through the sink)
+    "stream_line_status": "WITH l AS (SELECT CASE WHEN event_id % 50 = 0 THEN 'no_text' WHEN event_id % 77 = 0 THEN 'blank' "
+    "WHEN event_id % 91 = 0 THEN 'not_json' WHEN event_id % 83 = 0 THEN 'bad_time' ELSE 'ok' END AS status FROM events) "
+    "SELECT s.status, count(l.status) AS count FROM (SELECT unnest(['ok', 'blank', 'not_json', 'no_text', 'bad_time']) AS status) s "
+    "LEFT JOIN l ON l.status = s.status GROUP BY 1",
+    "stream_enrich_refresh": _base(*HALF)
+    + f"SELECT {_ENRICHED_COLS} FROM half_enriched_users WHERE {_LINES_OK} AND tweet_time < {PROCESSED_BEFORE} "
+    f"UNION ALL SELECT {_ENRICHED_COLS} FROM enriched_users WHERE {_LINES_OK} AND tweet_time >= {PROCESSED_BEFORE}",
+    "stream_genre_hour_closed": _base()
+    + f"SELECT genre, {hour_label('h')} AS tweet_time, count FROM (SELECT genre, {hour_start('tweet_time')} AS h, count(*) AS count "
+    f"FROM enriched_users WHERE {_LINES_OK} GROUP BY 1, 2) "
+    f"WHERE h + 3600 <= (SELECT max(tweet_time) FROM enriched_users WHERE {_LINES_OK}) - 10 * 86400",
     "stream_ingest": with_(CATALOG, TWEETS) + f"SELECT raw_tweet, tweet_time FROM tweets WHERE {_LINES_OK}",
+    "stream_ingest_records": with_(CATALOG, TWEETS) + f"SELECT raw_tweet, tweet_time FROM tweets WHERE {_LINES_OK}",
     "stream_clean": _base()
     + f"SELECT raw_tweet, processed_tweet, song, artist, tweet_time FROM cleaned_ids WHERE {_LINES_OK}",
     "stream_enrich": _base()

@@ -26,7 +26,8 @@ from songpulse.operators import catalog as catalog_ops
 from songpulse.operators import genres as genre_ops
 from songpulse.operators import ranking, summary
 from songpulse.operators.clean import with_song_artist
-from songpulse.operators.incremental import append_enriched, enrich_new
+from songpulse.operators import hourly_table
+from songpulse.operators.incremental import append_committed, append_enriched, enrich_new, read_enriched_sink
 from songpulse.plans.derived import Derived
 from songpulse.session import scratch_path
 from songpulse.sources import feed, fixtures, sinks
@@ -246,14 +247,14 @@ def q_genre_hour(spark, sf):
 @query("kpi_counts")
 def q_kpis(spark, sf):
     p = Derived(spark, sf)
-    return summary.kpi_counts(p.cleaned, p.enriched)
+    return summary.kpi_counts(p.tweets, p.enriched)
 
 
 @query("kpi_long")
 def q_kpi_long(spark, sf):
     p = Derived(spark, sf)
     path = scratch_path(spark, "kpis")
-    sinks.write_kpis(summary.kpi_long(summary.kpi_counts(p.cleaned, p.enriched)), path)
+    sinks.write_kpis(summary.kpi_long(summary.kpi_counts(p.tweets, p.enriched)), path)
     return sinks.read_kpis(spark, path)
 
 
@@ -281,6 +282,12 @@ def q_timeseries(spark, sf):
     return summary.genre_timeseries(hourly, summary.genre_values(p.catalog))
 
 
+@query("genre_counts_per_hour")
+def q_counts_per_hour(spark, sf):
+    hourly = summary.hourly_genre_counts(Derived(spark, sf).enriched)
+    return summary.genre_counts_per_hour(hourly).withColumn("genre_counts", F.to_json("genre_counts"))
+
+
 @query("top_genre_per_hour")
 def q_top_genre_hour(spark, sf):
     best = ranking.top_genre_per_hour(summary.hourly_genre_counts(Derived(spark, sf).enriched))
@@ -359,9 +366,27 @@ def q_enrich_incremental(spark, sf):
     # The early part is cut from the written table, not cleaned a second time.
     read_cleaned(spark, full).where(F.col("tweet_time") < fixtures.PROCESSED_BEFORE).write.parquet(early)
     sink = scratch_path(spark, "enriched")
-    append_enriched(spark, early, sink, p.catalog)
-    append_enriched(spark, full, sink, p.catalog)
-    return read_enriched(spark, sink)
+    append_committed(spark, early, sink, p.catalog)
+    append_committed(spark, full, sink, p.catalog)
+    return read_enriched_sink(spark, sink)
+
+
+@query("genre_hour_incremental")
+def q_hourly_table(spark, sf):
+    """Three appends, each followed by an update of the hourly table that counts only what is new."""
+    p = Derived(spark, sf)
+    full = scratch_path(spark, "cleaned-full")
+    schemas.conform(p.cleaned, schemas.CLEANED).write.parquet(full)
+    sink, table = scratch_path(spark, "enriched"), scratch_path(spark, "hourly")
+    day = 24 * 3600
+    for before in (fixtures.PROCESSED_BEFORE - 5 * day, fixtures.PROCESSED_BEFORE, None):
+        cleaned = full
+        if before:
+            cleaned = scratch_path(spark, "cleaned-early")
+            read_cleaned(spark, full).where(F.col("tweet_time") < before).write.parquet(cleaned)
+        append_committed(spark, cleaned, sink, p.catalog, partition_by_day=True)
+        hourly_table.update_hourly(spark, sink, table)
+    return hourly_table.read_hourly_labels(spark, table)
 
 
 # ---- streaming -------------------------------------------------------------------------------
@@ -388,6 +413,21 @@ def q_stream_ingest(spark, sf):
     return _stream(spark, sf, streaming.stream_ingest)
 
 
+@query("stream_ingest_records")
+def q_stream_ingest_records(spark, sf):
+    """Ingest in batches of a fixed number of lines: an eighth of the posts, however files are cut."""
+    p = Derived(spark, sf)
+    landing = _landed(spark, p)
+    sink, ckpt = scratch_path(spark, "sink"), scratch_path(spark, "stream-ckpt")
+    per_batch = p.t.events.count() // 8 + 1
+    q = streaming.stream_ingest_records(spark, landing, sink, ckpt, per_batch, processing_time="0 seconds")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return spark.read.parquet(sink)
+
+
 @query("stream_clean")
 def q_stream_clean(spark, sf):
     return _stream(spark, sf, streaming.stream_clean)
@@ -401,3 +441,53 @@ def q_stream_enrich(spark, sf):
 @query("stream_genre_hour")
 def q_stream_genre_hour(spark, sf):
     return _stream(spark, sf, streaming.stream_genre_hour, with_catalog=True, reader=streaming.read_genre_hour)
+
+
+@query("stream_line_status")
+def q_stream_line_status(spark, sf):
+    """Lines of a stream by what became of them, from the manifests of its batches."""
+
+    def read(spark, sink):
+        return streaming.read_line_status(spark, sink).groupBy("status").agg(F.sum("count").alias("count"))
+
+    return _stream(spark, sf, streaming.stream_ingest_counted, reader=read)
+
+
+@query("stream_enrich_refresh")
+def q_stream_enrich_refresh(spark, sf):
+    """One running stream: the posts before the split day meet a catalogue of half the tracks, then the
+    whole one is published and the other posts land."""
+    p = Derived(spark, sf)
+    lines = fixtures.tweet_lines(p.tweets, keep=("tweet_time",))
+    landing, cat, sink = (scratch_path(spark, x) for x in ("landing", "catalog", "sink"))
+    early = F.col("tweet_time") < fixtures.PROCESSED_BEFORE
+    streaming.publish_catalog(spark, p.catalog.where(F.col("track_id") % 2 == 0), cat)
+    streaming.land_lines(lines.where(early), f"{landing}/early")
+    q = streaming.stream_enrich_current(
+        spark, f"{landing}/*", sink, scratch_path(spark, "stream-ckpt"), cat, max_files=1000, available_now=False,
+        processing_time="0 seconds",
+    )
+    try:
+        q.processAllAvailable()
+        streaming.publish_catalog(spark, p.catalog, cat)
+        streaming.land_lines(lines.where(~early), f"{landing}/late")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return streaming.read_batches(spark, sink, schemas.ENRICHED)
+
+
+@query("stream_genre_hour_closed")
+def q_stream_genre_hour_closed(spark, sf):
+    """Hours that a watermark of ten days has closed, from files that hold posts of five days and late ones of
+    the five days before; state of closed hours is dropped as the stream goes on."""
+    p = Derived(spark, sf)
+    span = F.floor(F.col("tweet_time") / (5 * 24 * 3600))
+    lines = fixtures.tweet_lines(p.tweets, keep=("tweet_time",))
+    lines = lines.withColumn("file", (span + F.col("event_id") % 2).cast("long"))
+    landing, sink = scratch_path(spark, "landing"), scratch_path(spark, "sink")
+    streaming.land_in_order(lines, landing, "file")
+    streaming.stream_genre_hour(
+        spark, f"{landing}/*", sink, scratch_path(spark, "stream-ckpt"), p.catalog, max_files=1, output_mode="append", watermark="10 days"
+    )
+    return spark.read.parquet(sink)

@@ -90,8 +90,8 @@ def tweets(events: DataFrame, part: DataFrame) -> DataFrame:
     )
 
 
-def tweet_lines(tw: DataFrame) -> DataFrame:
-    """JSON lines (event_id, value) as a post stream delivers them, with noise: every 50th
+def tweet_lines(tw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """JSON lines (event_id, value[, keep...]) as a post stream delivers them, with noise: every 50th
     event is a ``{"limit":1}`` notice, every 77th an empty line, every 91st not JSON, every 83rd
     has a time beyond the range of an int."""
     line = F.to_json(
@@ -108,7 +108,7 @@ def tweet_lines(tw: DataFrame) -> DataFrame:
         .when(eid % 83 == 0, F.lit('{"timestamp_ms":9999999999999,"text":"#nowplaying a by b"}'))
         .otherwise(line)
     )
-    return tw.select("event_id", value.alias("value"))
+    return tw.select("event_id", value.alias("value"), *keep)
 
 
 def lookup_requests(cat: DataFrame) -> DataFrame:

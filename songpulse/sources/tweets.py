@@ -30,6 +30,25 @@ def parse_tweets(df: DataFrame, value_col: str = "value", keep: tuple[str, ...]
     return parsed.where(F.col("raw_tweet").isNotNull() & F.col("tweet_time").isNotNull())
 
 
+#: What becomes of a line: taken, or why it is dropped.
+LINE_STATUSES = ("ok", "blank", "not_json", "no_text", "bad_time")
+
+
+def classify_lines(df: DataFrame, value_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(status, raw_tweet, tweet_time[, keep...]) of every line; the object is parsed once for all three."""
+    v, p = F.col(value_col), F.col("_p")
+    parsed = df.select(F.from_json(v, schemas.TWEET_LINE_DDL, JSON_OPTIONS).alias("_p"), v, *keep)
+    time = epoch_seconds(p["timestamp_ms"])
+    status = (
+        F.when(p["text"].isNotNull() & time.isNotNull(), "ok")
+        .when(v.isNull() | (F.trim(v) == ""), "blank")
+        .when(F.json_object_keys(v).isNull(), "not_json")
+        .when(p["text"].isNull(), "no_text")
+        .otherwise("bad_time")
+    )
+    return parsed.select(status.alias("status"), p["text"].alias("raw_tweet"), time.alias("tweet_time"), *keep)
+
+
 def line_status(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Adds ``status`` saying what ``parse_tweets`` does with each line: ``ok``, ``blank``,
     ``not_json``, ``no_text`` (e.g. a limit notice) or ``bad_time``. Dropped lines stay

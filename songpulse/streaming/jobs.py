@@ -9,21 +9,27 @@ processing-time trigger (120 s in the original).
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from songpulse import schemas
 from songpulse.functions import hour_label
-from songpulse.operators.catalog import catalog_index, enrich
+from songpulse.operators.catalog import catalog_index, enrich, hot_requests
 from songpulse.operators.clean import clean_tweets
 from songpulse.plans.sizing import fits_broadcast
 from songpulse.session import child_folders, delete_folder
+from songpulse.sources.landed import RECORDS_PER_BATCH, stream_records
 from songpulse.sources.tweets import parse_tweets, stream_tweet_lines
 
 DEFAULT_TRIGGER = "120 seconds"
-#: Files that a micro-batch adds per day to a day-partitioned sink, at most.
-FILES_PER_DAY = 8
+#: Bytes of landed lines per file that a micro-batch adds to a day, where its bytes are capped.
+FILE_BYTES = 64 << 20
+#: Share of the landed lines that hot requests are counted in when a stream starts (it only decides what
+#: is spread over salts, never a result).
+BACKLOG_SHARE, BACKLOG_SEED = 0.02, 7
 
 
 def land_lines(lines: DataFrame, path: str, files: int | None = None) -> None:
@@ -33,6 +39,18 @@ def land_lines(lines: DataFrame, path: str, files: int | None = None) -> None:
     dealt.select("value").write.mode("errorifexists").text(path)
 
 
+def land_in_order(lines: DataFrame, path: str, by: str) -> None:
+    """Write (value, ``by``) lines as one text file per value of ``by``, landed in its order: a file
+    source reads files by time of modification, in seconds on some stores."""
+    spark = lines.sparkSession
+    staged = f"{path}-staged"
+    lines.select("value", by).repartition(by).write.partitionBy(by).text(staged)
+    names = sorted(child_folders(spark, staged), key=lambda n: int(n.split("=")[1]) if "=" in n else -1)
+    for at, name in enumerate(n for n in names if "=" in n):
+        spark.read.text(f"{staged}/{name}").coalesce(1).write.text(f"{path}/{at:06d}")
+        time.sleep(1.1)
+
+
 def run_to_sink(
     stream: DataFrame,
     sink: str,
@@ -87,15 +105,28 @@ def stream_ingest(spark, landing, sink, checkpoint, max_files=1, max_bytes=None,
     return run_to_sink(schemas.conform(parsed, schemas.RAW_TWEET), sink, checkpoint, **kw)
 
 
+def stream_ingest_records(spark, landing, sink, checkpoint, records_per_batch=RECORDS_PER_BATCH, **kw) -> StreamingQuery:
+    """Landed lines -> (raw_tweet, tweet_time) parquet, in batches of exactly so many lines (the last one may have fewer).
+
+    Runs on a processing-time trigger (``available_now`` would make one batch of a source of this kind)."""
+    parsed = parse_tweets(stream_records(spark, landing, checkpoint, records_per_batch))
+    return run_to_sink(schemas.conform(parsed, schemas.RAW_TWEET), sink, checkpoint, available_now=False, **kw)
+
+
 def stream_clean(
     spark, landing, sink, checkpoint, max_files=1, partition_by_day=False, max_bytes=None, **kw
 ) -> StreamingQuery:
     """Landed lines -> cleaned table parquet (optionally in ``day=`` partitions, which lets the
-    incremental enrichment prune by date)."""
+    incremental enrichment prune by date).
+
+    By day, a batch of at most ``max_bytes`` adds a file per ``FILE_BYTES`` of them to each day, and as
+    many tasks write a day that holds all of the batch; without that cap a day is dealt to all
+    shuffle partitions."""
     cleaned = schemas.conform(clean_tweets(_parsed(spark, landing, max_files, max_bytes)), schemas.CLEANED)
     if partition_by_day:
-        # A batch adds at most FILES_PER_DAY files per day, and a hot day is still split over tasks.
-        part = F.pmod(F.xxhash64("raw_tweet", "tweet_time"), F.lit(FILES_PER_DAY))
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        files = min(partitions, -(-max_bytes // FILE_BYTES)) if max_bytes else partitions
+        part = F.pmod(F.xxhash64("raw_tweet", "tweet_time"), F.lit(files))
         dealt = schemas.with_day(cleaned).repartition(F.col(schemas.DAY), part)
         return run_to_sink(dealt, sink, checkpoint, partition_by=[schemas.DAY], **kw)
     return run_to_sink(cleaned, sink, checkpoint, **kw)
@@ -106,8 +137,12 @@ def _enriched_stream(spark, landing, cat, max_files, max_bytes) -> DataFrame:
     # starts and checkpointed (not re-aggregated every micro-batch); they are broadcast when
     # the catalogue's bytes allow, otherwise each micro-batch is shuffled against them.
     idx = catalog_index(cat, materialize=True, song_only=False)
-    strategy = "broadcast" if fits_broadcast(spark, idx.n_bytes) else "direct"
-    return enrich(clean_tweets(_parsed(spark, landing, max_files, max_bytes)), idx, strategy=strategy)
+    cleaned = clean_tweets(_parsed(spark, landing, max_files, max_bytes))
+    if fits_broadcast(spark, idx.n_bytes):
+        return enrich(cleaned, idx, strategy="broadcast")
+    # A stream with state is planned without AQE: what is hot among the lines landed so far is salted.
+    seen = parse_tweets(spark.read.text(landing).sample(BACKLOG_SHARE, BACKLOG_SEED))
+    return enrich(cleaned, idx, strategy="direct", hot=hot_requests(clean_tweets(seen)))
 
 
 def stream_enrich(spark, landing, sink, checkpoint, cat, max_files=1, max_bytes=None, **kw) -> StreamingQuery:

@@ -36,3 +36,49 @@ def test_clean_enrich_summarize(spark, by_day):
     kpis = {r["metric"]: r["value"] for r in sinks.read_kpis(spark, f"{out}/kpis").collect()}
     assert kpis["raw_tweet"] == c.count() and kpis["processed_tweet"] == kpis["song"] == e.count()
     assert kpis["genre"] == e.select("genre").distinct().count()
+
+
+def test_manifest_jobs(spark):
+    """enrich --manifest, hours, publish-catalog and stream-enrich --catalog-table over landed lines."""
+    from songpulse.operators.hourly_table import read_hourly_labels
+    from songpulse.operators.incremental import read_enriched_sink
+    from songpulse.sources import commits
+
+    p = Derived(spark, "/root/testdata/sf0.001")
+    landing, cleaned, sink, hours, streamed = (scratch_path(spark, x) for x in ("landing", "cleaned", "sink", "hours", "streamed"))
+    streaming.land_lines(fixtures.tweet_lines(p.tweets), landing, 2)
+    jobs.clean_job(spark, landing, cleaned, scratch_path(spark, "ckpt"), available_now=True, partition_by_day=True, max_bytes=1 << 20)
+    catalog, table = scratch_path(spark, "catalog"), scratch_path(spark, "catalog-table")
+    p.catalog.write.parquet(catalog)
+    for _ in range(2):
+        jobs.enrich_job(spark, cleaned, sink, catalog, manifest=True)
+        jobs.update_hourly(spark, sink, hours)
+    rows = read_enriched_sink(spark, sink)
+    assert sorted(map(tuple, read_hourly_labels(spark, hours).collect())) == sorted(map(tuple, genre_hour_count(rows).collect()))
+    jobs.publish_catalog(spark, jobs.read_catalog(spark, catalog), table)
+    ckpt = scratch_path(spark, "ckpt")
+    jobs.stream_job(spark, "stream-enrich", landing, streamed, ckpt, table, available_now=True, catalog_table=True)
+    assert sorted(map(tuple, commits.read_committed(spark, streamed, schemas.ENRICHED).collect())) == sorted(map(tuple, rows.collect()))
+    out = scratch_path(spark, "out")
+    jobs.summarize_job(spark, cleaned, sink, out)
+    assert sinks.read_summary_lines(spark, f"{out}/summary").count() == genre_hour_count(rows).count()
+
+
+def test_a_day_gets_files_by_the_bytes_of_a_batch(spark):
+    """Under a byte cap of one file's bytes a batch adds one file to a day; without a cap a day is dealt to all
+    partitions (small ones are merged at run time, which is off here)."""
+    from songpulse.session import child_folders
+
+    p = Derived(spark, "/root/testdata/sf0.001")
+    landing = scratch_path(spark, "landing")
+    streaming.land_lines(fixtures.tweet_lines(p.tweets), landing, 2)
+    counts = []
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merge, "false")
+    for max_bytes in (streaming.jobs.FILE_BYTES, None):
+        cleaned = scratch_path(spark, "cleaned")
+        jobs.clean_job(spark, landing, cleaned, scratch_path(spark, "ckpt"), 100, available_now=True, partition_by_day=True, max_bytes=max_bytes)
+        days = [n for n in child_folders(spark, cleaned) if n.startswith("day=")]
+        counts.append(max(sum(f.startswith("part-") for f in child_folders(spark, f"{cleaned}/{d}")) for d in days))
+    spark.conf.set(merge, "true")
+    assert counts[0] == 1 and counts[1] > 1
