@@ -74,8 +74,8 @@ def _one_evaluation() -> str:
     its pattern, as a search would, and a later alternative is tried only if no place fits an earlier
     one. The empty alternative makes it match every text.
     """
-    tried = "|".join(rf"[\s\S]*?(?:{pattern})" for pattern in EXTRACTION_PATTERNS)
-    return rf"\A(?:{tried}|)[\s\S]*\z"
+    tried = "|".join(f"(?s:.*?)(?:{pattern})" for pattern in EXTRACTION_PATTERNS)
+    return rf"\A(?:{tried}|)(?s:.*)"
 
 
 #: No group of the cascade can hold it: "." excludes it.
