@@ -2,15 +2,19 @@
 
 Markup is stripped to lines, one per block element, without what is never part of an article
 (scripts, styles, navigation, headers, footers, asides, forms, adverts, notices, comments).
+An excluded element is one by its tag, role or class and id names (``_excluded_names``).
 Sums of text length, links not counted, over windows of ``WINDOW`` lines rise at a surge and fall
 at a dive; the stretch between them that holds most text is the main text. Stretches of one element,
 or with only short lines between them, are one, and headings and short blocks of the element
-next to its ends belong to it. If most of that stretch is inside one article or main element, its ends are moved to the element's: inside it a
-short paragraph is text, outside it none is.
+next to its ends belong to it; without a dense window the longest line takes its place. If most of that stretch is
+inside one article or main element, its ends are moved to the element's: inside it a short paragraph is text, outside
+it none is. An article with a line of text that is no link stands before denser text outside of it, and dense
+articles next to each other in one main are one text.
 
 Defined cases: NULL or empty html gives the empty text, as does a page without lines; malformed
 or unclosed tags are read as far as they go (an unclosed excluded element ends with the
-element around it, and an article or main that opens in it counts); pages of any length are read whole; repeated rows give equal
+element around it, and an article or main that opens in it counts); pages of any length are read whole, in a time
+that grows with their length; repeated rows give equal
 rows; further columns are ignored.
 """
 
@@ -47,8 +51,16 @@ EXCLUDED_NAMES = frozenset(
     " social related recommended recommendations sidebar widget menu nav navbar navigation breadcrumb breadcrumbs masthead footer"
     " comment comments reply replies respond disqus toolbar pagination pager search skip".split()
 )
-#: A class or id counts as a whole; these may stand beside the names above in one (site-footer, comment-list).
+#: A class or id counts as a whole: see ``_excluded_names``. These may stand beside the names above in one (site-footer, comment-list).
 PLACES = frozenset("site top bottom left right global list box bar buttons links posts".split())
+#: What a box of such a kind is called (ad-container, comments-area, related-articles, newsletter-form).
+BOXES = frozenset(
+    "area articles block body box card cell column container content counter cta entry form frame group header holder icon icons inner"
+    " item items label layer link list message module outer overlay panel placeholder popup posts region row section slot space spot"
+    " stories strip thread title unit widget wrap wrapper zone".split()
+)
+#: Names that say what a page or its text has, is about or lacks; they name no box.
+QUALIFIERS = frozenset("no not has have with without is tag tagged category cat type format topic hide hidden show".split())
 COMMENTS = frozenset("comment comments reply replies respond disqus".split())
 #: Names that themes also give to wrappers of the whole text.
 LAYOUT = frozenset("sidebar widget banner popup modal overlay share sharing social subscribe subscription toolbar masthead search".split())
@@ -61,15 +73,70 @@ TEXT_BLOCKS = HEADINGS | frozenset(
 #: Enclosing elements remembered for a line.
 MOST_DEPTH = 64
 
-_TAG = re.compile(
-    r"<!--(?P<comment>.*?)(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>|<[!?/][^>]*>",
-    re.S,
-)
+_TAG_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_IN_TAG = re.compile(r"[>\"']")
 _ATTR = re.compile(r"(class|id|role|style|hidden|aria-hidden|aria-label)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?(?=[\s/>]|$)", re.I)
 _NAME = re.compile(r"[a-z0-9]+")
 
 
+@dataclass(frozen=True)
+class Tag:
+    """Markup at [start, end) of a page; a comment or a declaration has no name."""
+
+    start: int
+    end: int
+    name: str = ""
+    closing: bool = False
+    attrs: str = ""
+
+
+class Tags:
+    """Scanner for the tags of a page.
+
+    No part of a page is read more than a few times, however it is malformed: what does not come any
+    more after a place (``>``, a quote) is known from one look at the page's end.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = {c: page.rfind(c) for c in ">\"'"}
+
+    def next(self, at: int) -> Tag | None:
+        """The first tag from ``at`` on; a ``<`` that opens none is text."""
+        page = self.page
+        while (start := page.find("<", at)) >= 0:
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                return Tag(start, len(page) if end < 0 else end + 3)
+            if start > self.last[">"]:
+                at = page.find("<!--", start)  # only an unclosed comment can come
+                if at < 0:
+                    return None
+                continue
+            closing = page.startswith("/", start + 1)
+            name = _TAG_NAME.match(page, start + 1 + closing)
+            if name:
+                end = self._end(name.end())
+                return Tag(start, end, name[0].lower(), closing, page[name.end() : end - 1])
+            if page[start + 1 : start + 2] in ("!", "?", "/"):
+                return Tag(start, page.find(">", start) + 1)
+            at = start + 1
+        return None
+
+    def _end(self, at: int) -> int:
+        """The end of a tag whose attributes begin at ``at``: behind the first ``>`` outside quotes, or, if a
+        quote is not closed or none comes, behind the first at all."""
+        first = self.page.find(">", at)
+        place = at
+        while m := _IN_TAG.search(self.page, place):
+            if m[0] == ">":
+                return m.end()
+            if m.start() >= self.last[m[0]]:
+                break  # not closed
+            place = self.page.find(m[0], m.end()) + 1
+        return first + 1
+
+
 @dataclass
 class Line:
     """Text of one block, its length without links, and the innermost article or main around it."""
@@ -80,6 +147,7 @@ class Line:
     part: int = 0  # the excluded element around it inside its root
     inside: tuple[int, ...] = ()  # the elements around it that are more than one block of text
     heading: bool = False
+    around: int = 0  # the article or main around its own one
 
 
 @dataclass
@@ -92,6 +160,25 @@ class Part:
     closed: bool = False
 
 
+def _excluded_names(token: str) -> set[str]:
+    """The excluded names that a class or id stands for.
+
+    All of its parts are such names or places (site-footer); or the last part is one (primary-sidebar,
+    post-comments); or the first is one and the last names a box or a size (comment-body, ad-300x250). None
+    if a part only qualifies (has-sidebar, tag-ad) or the name goes on otherwise (related-work).
+    """
+    parts = _NAME.findall(token)
+    if not parts or not QUALIFIERS.isdisjoint(parts):
+        return set()
+    if EXCLUDED_NAMES.issuperset(set(parts) - PLACES):
+        return EXCLUDED_NAMES.intersection(parts)
+    if parts[-1] in EXCLUDED_NAMES:
+        return {parts[-1]}
+    if parts[0] in EXCLUDED_NAMES and (parts[-1] in BOXES or parts[-1][0].isdigit()):
+        return {parts[0]}
+    return set()
+
+
 def _excluded(name: str, attrs: str) -> str:
     """Kind of an element that holds no article text by itself: markup, layout, foreign or comment."""
     if name == "form":
@@ -111,9 +198,7 @@ def _excluded(name: str, attrs: str) -> str:
             return "markup"
         if key in ("class", "id"):
             for token in value.split():
-                parts = set(_NAME.findall(token))
-                if parts <= EXCLUDED_NAMES | PLACES:
-                    names |= parts & EXCLUDED_NAMES
+                names |= _excluded_names(token)
     if name in ROOTS:  # an article may say that it has a sidebar; one that is a comment is none
         names &= {"comment", "comments", "reply", "replies", "ad", "advert", "sponsored", "related", "promo"}
     if not names:
@@ -144,7 +229,7 @@ def lines(page: str) -> list[Line]:
         raw = html.unescape("".join(words))
         text = " ".join(raw.split())
         if text and not (header and not (heading and root)):
-            found.append(Line(text, max(0, len(text) - linked), root, part, inside, bool(heading)))
+            found.append(Line(text, max(0, len(text) - linked), root, part, inside, bool(heading), roots[root].root))
         words.clear()
         linked = 0
 
@@ -168,21 +253,20 @@ def lines(page: str) -> list[Line]:
                 header = max(0, header - 1)
             inside = before[0]
 
-    at = 0
+    at, tags = 0, Tags(page)
     while at < len(page):
-        m = _TAG.search(page, at)
-        start = m.start() if m else len(page)
+        tag = tags.next(at)
+        start = tag.start if tag else len(page)
         if start > at:
             words.append(page[at:start])
             if links:
                 linked += start - at
-        if not m:
+        if not tag:
             break
-        at = m.end()
-        name = (m["name"] or m["name2"] or "").lower()
+        at = tag.end
+        name, closing, attrs = tag.name, tag.closing, tag.attrs
         if not name:
             continue  # a comment, a declaration or a stray end tag
-        closing, attrs = bool(m["end"] or m["end2"]), m["attrs"] or m["attrs2"] or ""
         if not closing and name in RAW:
             end = re.compile(rf"</{name}[\s/>]", re.I).search(page, at)
             at = page.find(">", end.start()) + 1 or len(page) if end else len(page)
@@ -349,9 +433,9 @@ def densest(found: list[Line]) -> tuple[int, int]:
                 continue
         joined.append((first, last))
     best = max(joined, key=lambda s: sum(x.weight for x in found[s[0] : s[1]]), default=(0, 0))
-    if not joined:  # no dense window: the one of most text
-        first = max(range(n), key=sums.__getitem__, default=0)
-        best = (first, min(n, first + WINDOW))
+    if not joined and n:  # no dense window: the longest line, to be extended in its element
+        first = max(range(n), key=lambda i: (found[i].weight, not found[i].heading))
+        best = (first, first + 1)
     return best
 
 
@@ -368,20 +452,51 @@ def extended(found: list[Line], first: int, last: int) -> tuple[int, int]:
     return first, last
 
 
-def main_text(page: str | None) -> str:
-    """The blocks of the main text, joined by an empty line."""
-    found = lines(page or "")
-    first, last = densest(found)
+def _article(found: list[Line], first: int, last: int) -> list[int]:
+    """The articles or mains that hold the main text; none if it is outside of them.
+
+    That of most of the dense stretch or, if the stretch is outside, that of most text: an article of some
+    text that is not links stands before what is around it. Articles of dense text next to it in the same main belong
+    to it.
+    """
     weights: dict[int, int] = {}
     for x in found[first:last]:
         weights[x.root] = weights.get(x.root, 0) + x.weight + 1
     root = max(weights, key=weights.get, default=0)
-    if root and 2 * weights[root] > sum(weights.values()):
-        inside = [i for i, x in enumerate(found) if x.root == root]
-        first, last = inside[0], inside[-1] + 1
-        return "\n\n".join(x.text for x in found[first:last] if x.root >= root)
-    first, last = extended(found, first, last) if found else (0, 0)
-    return "\n\n".join(x.text for x in found[first:last])
+    if not root or 2 * weights[root] <= sum(weights.values()):
+        texts: dict[int, int] = {}
+        for x in found:
+            if x.root and x.weight and not x.heading and _plain(x):
+                texts[x.root] = texts.get(x.root, 0) + x.weight
+        root = max(texts, key=texts.get, default=0)
+    if not root:
+        return []
+    around = next(x.around for x in found if x.root == root)
+    if not around:
+        return [root]
+    beside: dict[int, int] = {}
+    for x in found:
+        if x.root and x.around == around:
+            beside[x.root] = beside.get(x.root, 0) + x.weight
+    return [r for r, weight in beside.items() if r == root or weight >= DENSE]
+
+
+def main_text(page: str | None) -> str:
+    """The blocks of the main text, joined by an empty line."""
+    found = lines(page or "")
+    if not found:
+        return ""
+    first, last = densest(found)
+    kept: list[Line] = []
+    if roots := _article(found, first, last):
+        for root in sorted(roots):
+            inside = [i for i, x in enumerate(found) if x.root == root]
+            # What lies between its first and last line and opened inside it.
+            kept += [x for x in found[inside[0] : inside[-1] + 1] if x.root >= root and not (x.root != root and x.root in roots)]
+    else:
+        first, last = extended(found, first, last)
+        kept = found[first:last]
+    return "\n\n".join(x.text for x in kept)
 
 
 def extract(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
