@@ -17,8 +17,9 @@ joined after that.
 
 Defined cases: vectors that are NULL, empty, zero or hold NULL or non-finite components take no
 part, nor do NULL ids or vectors whose length is not the commonest one (the longer if tied);
-equal scores are ordered by id; rows that share an id count once and are never their own
-neighbours; fewer candidates than k are all returned; an empty table gives an empty result;
+equal scores are ordered by id; of rows that share an id the one of least vector counts, for queries too,
+and no id is its own neighbour; finite components of any size are compared: where squares could leave the range of
+doubles, vectors are multiplied by powers of two first and the scores back (they may become infinite or 0, and tie); fewer candidates than k are all returned; an empty table gives an empty result;
 further columns are ignored.
 """
 
@@ -30,10 +31,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from songpulse.llm.common import stage
+from songpulse.llm.common import one_per_id, stage
 
 DIMS = 12  # even: the chi-square distribution then has a closed form
 CONFIDENCE = 0.96
@@ -44,6 +45,8 @@ CELL_ROWS, QUERY_ROWS, LEAF_ROWS = 16_384, 4_096, 256
 #: Pairs of a query and a cell that are compared, and sent on, at a time.
 ROUTE_PAIRS = 1 << 20
 SEED = 20
+#: Powers of two up to which components, and from whose reciprocal on, are used as they are.
+SAFE_BITS = 200
 
 
 def chi_square_cdf(x: float, dims: int) -> float:
@@ -130,7 +133,23 @@ def usable(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = rows.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).where(F.col("id").isNotNull() & fine)
     lengths = rows.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("c")).orderBy(F.desc("c"), F.desc("n")).first()
-    return rows.where(F.size("v") == (lengths["n"] if lengths else 0))
+    return one_per_id(rows.where(F.size("v") == (lengths["n"] if lengths else 0)), "id", "ann-vectors")
+
+
+def largest(v: str = "v") -> Column:
+    """The largest magnitude of a vector's components."""
+    return F.array_max(F.transform(v, lambda x: F.abs(x)))
+
+
+def exponent(size: float) -> int:
+    """Power of two to divide by: 0 if squares of the size are well inside the range of doubles."""
+    return 0 if not size or 2.0**-SAFE_BITS <= size <= 2.0**SAFE_BITS else math.frexp(size)[1]
+
+
+def times_power(x: Column, power: Column) -> Column:
+    """x * 2^power, in two steps so that neither factor leaves the range of doubles."""
+    half = F.floor(power / 2)
+    return x * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), power - half)
 
 
 def _top(points: np.ndarray, depth: int) -> tuple:
@@ -319,18 +338,27 @@ def nearest(
     """query_id, rank (from 1), vec_id and score of the k nearest rows found for each query."""
     spark = rows.sparkSession
     rows = usable(rows, id_col, vec_col)
+    power = exponent(rows.agg(F.max(largest())).first()[0] or 0.0)
+    if power:
+        rows = rows.select("id", F.transform("v", lambda x: times_power(x, F.lit(-power))).alias("v"))
     index = fit(rows, cell_rows=cell_rows)
-    if index is None:
+    if index is None or not index.norm:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     shared = spark.sparkContext.broadcast(index)
     cells = stage(_dealt(rows, shared), "ann-cells")
     sizes = stage(cells.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(2 * cell_rows)).alias("n_sub")), "ann-sizes")
-    asked = usable(queries, id_col, vec_col).where(F.size("v") == index.matrix.shape[1] - 1).dropDuplicates(["id"])
-    asked = stage(asked, "ann-queries")
-    near = _routed(asked.withColumn("kth", F.lit(None).cast("double")), shared, first=True)
+    asked = usable(queries, id_col, vec_col).where(F.size("v") == index.matrix.shape[1] - 1)
+    safe = largest().between(2.0**-SAFE_BITS, 2.0**SAFE_BITS)
+    own = F.when(safe, F.lit(0)).otherwise(F.floor(F.log2(largest())))
+    asked = asked.withColumn("power", own.cast("long"))
+    asked = stage(asked.withColumn("v", F.transform("v", lambda x: F.when(F.col("power") == 0, x).otherwise(times_power(x, -F.col("power"))))), "ann-queries")
+    near = _routed(asked.select("id", "v", F.lit(None).cast("double").alias("kth")), shared, first=True)
     found = stage(_best(_searched(cells, sizes, asked, near, shared, k), k), "ann-near")
     kth = found.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("kth"))
-    others = stage(_routed(asked.join(kth, "id", "left"), shared, first=False), "ann-routed")
+    others = stage(_routed(asked.select("id", "v").join(kth, "id", "left"), shared, first=False), "ann-routed")
     more = _searched(cells, sizes, asked, others, shared, k)
     every = found.select("query_id", "vec_id", "score").unionByName(more)
+    if power or not asked.where("power != 0").isEmpty():
+        every = every.join(asked.select(F.col("id").alias("query_id"), "power"), "query_id")
+        every = every.select("query_id", "vec_id", times_power(F.col("score"), F.col("power") + power).alias("score"))
     return _best(every, k).select("query_id", "rank", "vec_id", "score")

@@ -70,3 +70,18 @@ def bounded(df: DataFrame, max_rows: int) -> DataFrame:
     bound is a byte bound; beyond it Spark shuffles and AQE splits skewed join partitions.
     """
     return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def one_per_id(rows: DataFrame, id_col: str, name: str) -> DataFrame:
+    """Rows (staged as ``name``), one for each id: of several the least by the other columns in order.
+
+    Only ids are counted; rows are compared only where an id is repeated.
+    """
+    rows = stage(rows, name)
+    repeated = stage(rows.groupBy(id_col).count().where("count > 1").select(id_col), f"{name}-repeated")
+    if repeated.isEmpty():
+        return rows
+    others = [c for c in rows.columns if c != id_col]
+    least = rows.join(repeated, id_col, "left_semi").groupBy(id_col).agg(F.min(F.struct(*others)).alias("_r"))
+    least = least.select(id_col, "_r.*").select(rows.columns)
+    return stage(rows.join(repeated, id_col, "left_anti").unionByName(least), name)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from songpulse.llm.common import stage
+from songpulse.llm.common import one_per_id, stage
 
 SCALE = 256
 #: Components of a block of rows and of a part of queries.
@@ -42,12 +42,7 @@ def integer_vectors(rows: DataFrame, id_col: str, vec_col: str, *keep: str) -> D
     kept = [F.col(f"`{c}`").alias(c) for c in keep]
     fine = rows.where(F.col(f"`{id_col}`").isNotNull() & x.isNotNull() & finite)
     out = fine.select(F.col(f"`{id_col}`").cast("long").alias("id"), scaled.alias("v"), *kept)
-    out = stage(out.withColumn("dims", F.size("v")), "vectors")
-    repeated = stage(out.groupBy("id").count().where("count > 1").select("id"), "vectors-repeated")
-    if repeated.isEmpty():
-        return out
-    once = out.join(repeated, "id", "left_semi").groupBy("id").agg(F.min(F.struct("v", *keep, "dims")).alias("r"))
-    return stage(out.join(repeated, "id", "left_anti").unionByName(once.select("id", "r.*").select(out.columns)), "vectors")
+    return one_per_id(out.withColumn("dims", F.size("v")), "id", "vectors")
 
 
 def matrix(column: pa.ChunkedArray, dims: int) -> np.ndarray:
