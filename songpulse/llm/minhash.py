@@ -23,7 +23,9 @@ coordinate) whose bound a pair at the threshold misses with probability below 1e
 Defined cases: NULL text, empty text and text without words have an empty set and link with
 nothing; fewer words than a shingle are one shingle; A-Z compare in lower case; rows that share
 a doc_id are one document (if their texts differ, each is compared with other documents);
-rows with a NULL doc_id link only with equal sets, and ``deduplicate`` keeps them all; an empty
+rows with a NULL doc_id are documents of their own, linked like others (inside they have numbers above all
+doc_ids): their component_id is the smallest doc_id reached, or NULL if none is, and ``deduplicate`` keeps one row of
+a class without doc_ids; an empty
 table gives an empty result; further columns are ignored (``deduplicate`` keeps them).
 """
 
@@ -200,7 +202,7 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, threshold: int) -> DataF
     sets = stage(_texts(docs, needed).mapInArrow(_set_batches(k), "id long, sh array<long>"), "minhash-sets")
     x, y = sets.select(F.col("id").alias("a"), F.col("sh").alias("sa")), sets.select(F.col("id").alias("b"), F.col("sh").alias("sb"))
     common = F.size(F.array_intersect("sa", "sb"))
-    linked = 100 * common >= threshold * (F.col("n_a") + F.col("n_b") - common)
+    linked = 100 * common >= threshold * (F.size("sa") + F.size("sb") - common)  # of the texts that stand here
     return pairs.join(y, "b").join(x, "a").where(linked).select("a", "b")
 
 
@@ -214,6 +216,21 @@ def _relabelled(rows: DataFrame, maps: list[DataFrame], col: str, out: str) -> D
     return rows
 
 
+def identified(docs: DataFrame, keep: list[str]) -> tuple[DataFrame, int | None]:
+    """``keep`` columns and ``_iid``, a number for every document: its doc_id or, for rows without one, a number from the
+    returned one on (None: there are no such rows). Those rows are staged, which fixes their numbers."""
+    iid = F.col("doc_id").cast("long").alias("_iid")
+    missing = docs.where(iid.isNull())
+    if missing.isEmpty():
+        return docs.select(*keep, iid), None
+    first = (docs.agg(F.max(iid)).first()[0] or 0) + 1
+    if first > 1 << 62:
+        raise ValueError("doc_ids beyond 2^62 leave no numbers for documents without one")
+    first = max(first, 0)
+    numbered = missing.select(*keep, (F.lit(first) + F.monotonically_increasing_id()).alias("_iid"))
+    return docs.where(iid.isNotNull()).select(*keep, iid).unionByName(stage(numbered, "minhash-unnamed")), first
+
+
 def classes(
     docs: DataFrame, shingle_words: int = SHINGLE_WORDS, threshold: int = THRESHOLD, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -221,6 +238,16 @@ def classes(
 
     component_id is the smallest doc_id that links of at least ``threshold`` per cent reach.
     """
+    docs, unnamed = identified(docs.select("doc_id", "text"), ["text"])
+    found = _classes(docs.withColumnRenamed("_iid", "doc_id"), shingle_words, threshold, bands, rows)
+    if unnamed is None:
+        return found
+    named = lambda c: F.when(F.col(c) < unnamed, F.col(c)).alias(c)
+    return found.select(named("doc_id"), "n_shingles", named("component_id"))
+
+
+def _classes(docs: DataFrame, shingle_words: int, threshold: int, bands: int, rows: int) -> DataFrame:
+    """``classes`` of documents that all have a doc_id."""
     sig = stage(signatures(docs, shingle_words, bands, rows), "minhash-signatures")
     group = ["d1", "d2", "n"]
     # Copies have one signature, so any row of a class stands for it.
@@ -228,7 +255,7 @@ def classes(
         F.min("doc_id").alias("id"), F.first("s1").alias("s1"), F.first("s2").alias("s2"), F.first("bands").alias("bands")
     )
     reps = stage(reps, "minhash-classes")
-    keys = reps.where("id is not null").select("id", F.explode("bands").alias("key"))
+    keys = reps.select("id", F.explode("bands").alias("key"))
     heads = keys.groupBy("key").agg(F.min("id").alias("head"), F.count("*").alias("size")).where("size > 1")
     others = stage(keys.join(heads, "key").where("id != head"), "minhash-members")
     features = reps.select("id", "n", "s1", "s2")
@@ -288,14 +315,19 @@ def deduplicate(docs: DataFrame, **options) -> DataFrame:
     Decisions are made on ids; the texts are shuffled only if the ids to drop are too many to
     broadcast.
     """
-    found = stage(classes(docs, **options).select(F.col("doc_id").alias("_id"), "component_id"), "minhash-found")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")  # so that no column name can clash
+    rows, _ = identified(docs.select(row, "doc_id", "text"), ["_row", "text"])
+    options = {"shingle_words": SHINGLE_WORDS, "threshold": THRESHOLD, "bands": BANDS, "rows": ROWS} | options
+    found = _classes(rows.select(F.col("_iid").alias("doc_id"), "text"), **options)
+    found = stage(found.select(F.col("doc_id").alias("_id"), "component_id"), "minhash-found")
     gone = found.where("_id != component_id").select("_id").distinct()
     repeated = found.where("_id = component_id").groupBy("_id").count().where("count > 1").select("_id")
     repeated = stage(repeated, "minhash-repeated")
     out = stage(gone.unionByName(repeated), "minhash-gone")
-    on = F.col("doc_id").cast("long") == F.col("_id")
-    kept = docs.join(bounded(out, BROADCAST_IDS), on, "left_anti")
+    on = F.col("_iid") == F.col("_id")
+    rows = rows.select("_row", "_iid")
+    kept = rows.join(bounded(out, BROADCAST_IDS), on, "left_anti").select("_row.*")
     if repeated.isEmpty():
         return kept
-    once = docs.join(bounded(repeated, BROADCAST_IDS), on, "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(once)
+    once = rows.join(bounded(repeated, BROADCAST_IDS), on, "left_semi").dropDuplicates(["_iid"])
+    return kept.unionByName(once.select("_row.*"))

@@ -7,8 +7,9 @@ from collections.abc import Iterator
 import numpy as np
 import xxhash
 
-#: Words whose hash a Python worker remembers; beyond it the memory is emptied, not the result.
-REMEMBERED_WORDS = 500_000
+#: Words whose hash a Python worker remembers, and bytes of the longest of them (so some 60 MB at most); beyond
+#: it the memory is emptied, not the result.
+REMEMBERED_WORDS, REMEMBERED_BYTES = 500_000, 48
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -24,9 +25,11 @@ class WordHashes(dict):
     """word -> 64-bit hash, computed on the first look-up."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
+        h = xxhash.xxh64_intdigest(word)
+        if len(word) <= REMEMBERED_BYTES:
+            if len(self) >= REMEMBERED_WORDS:
+                self.clear()
+            self[word] = h
         return h
 
 
