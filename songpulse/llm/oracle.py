@@ -47,7 +47,9 @@ m as (select doc_id, cast(len(ws) as bigint) as n_words,
     cast(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) as bigint) as n_symbols,
     cast(len(l) - len(list_distinct(l)) as bigint) as n_dup_lines, coalesce(n, 0) as n_repeat_words,
     len(l) as n_lines, length(regexp_replace(text, '[^A-Z]+', '', 'g')) as n_upper,
-    length(regexp_replace(text, '[^!]+', '', 'g')) as n_exclaims
+    length(regexp_replace(text, '[^!]+', '', 'g')) as n_exclaims,
+    2 * length(regexp_replace(text, '[^\p{{Han}}\p{{Hiragana}}\p{{Katakana}}\p{{Thai}}\p{{Lao}}\p{{Khmer}}\p{{Myanmar}}]+', '', 'g'))
+      > length(regexp_replace(text, '[^\p{{L}}\p{{M}}]+', '', 'g')) as unspaced
   from d join ls using (rid) left join cov using (rid)),
 b as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
     case when n_words < 20 then 1 else 0 end + case when 100 * n_repeat_words > 30 * n_words then 2 else 0 end
@@ -55,9 +57,10 @@ b as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_fail
     + case when 100 * n_dup_lines > 50 * n_lines then 8 else 0 end
     + case when word_chars < 2 * n_words or word_chars > 20 * n_words then 16 else 0 end
     + case when 100 * n_upper > 50 * word_chars then 32 else 0 end
-    + case when 100 * n_exclaims > 50 * n_words then 64 else 0 end as bits from m)
+    + case when 100 * n_exclaims > 50 * n_words then 64 else 0 end
+    + case when word_chars < 2 * n_words or word_chars > 20 * n_words and not unspaced then 128 else 0 end as bits from m)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, cast(n_repeat_words as bigint) as n_repeat_words,
-  cast(bits as bigint) as fail_bits, base_failed, bits = 0 as kept from b
+  cast(bits as bigint) as fail_bits, base_failed, bits & ~16 = 0 as kept from b
 """
 
 OP3 = r"""

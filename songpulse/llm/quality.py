@@ -39,14 +39,15 @@ RULES = (
     Rule("word_length", "word_chars < 2 * n_words or word_chars > 20 * n_words"),
     Rule("upper_case", "100 * n_upper > 50 * word_chars"),
     Rule("exclamations", "100 * n_exclaims > 50 * n_words"),
+    # Without the upper bound for texts in scripts that are written without spaces.
+    Rule("word_length_spaced", "word_chars < 2 * n_words or word_chars > 20 * n_words and not unspaced"),
 )
 BIT = {rule.name: 1 << i for i, rule in enumerate(RULES)}
 BASE = BIT["few_words"] | BIT["repeated_windows"]
 #: Policies by version: the mask of rules that reject a document.
-POLICIES = {"base": BASE, "v1": BASE | BIT["symbols"], "v2": (1 << len(RULES)) - 1, "v3": (1 << len(RULES)) - 1}
+_V2 = (1 << 7) - 1
+POLICIES = {"base": BASE, "v1": BASE | BIT["symbols"], "v2": _V2, "v3": _V2 ^ BIT["word_length"] | BIT["word_length_spaced"]}
 PRODUCTION = "v3"
-#: Policies that set no upper bound on the word length of ``unspaced`` texts.
-SCRIPT_AWARE = frozenset({"v3"})
 #: Scripts that are written without spaces between words, as regex classes.
 UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_exclaims")
@@ -129,11 +130,7 @@ def fail_bits(rules: tuple[Rule, ...] = RULES) -> Column:
 
 def policy_bits(version: str) -> Column:
     """The failed rules of a ledger row that count under a policy."""
-    bits = F.col("fail_bits")
-    if version in SCRIPT_AWARE:
-        waived = F.col("unspaced") & (F.col("word_chars") >= 2 * F.col("n_words"))
-        bits = F.when(waived, bits.bitwiseAND(F.lit(~BIT["word_length"]).cast("long"))).otherwise(bits)
-    return bits.bitwiseAND(F.lit(POLICIES[version]).cast("long"))
+    return F.col("fail_bits").bitwiseAND(F.lit(POLICIES[version]).cast("long"))
 
 
 def passes(mask: int) -> Column:

@@ -100,8 +100,8 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rule ledger of every document, with the verdict of policy v2 (that of its SQL)."""
-    rows = quality.apply_policy(quality.ledger(table(spark, sf_dir, "documents")), "v2")
+    """Rule ledger of every document, with the verdict of the production policy."""
+    rows = quality.apply_policy(quality.ledger(table(spark, sf_dir, "documents")))
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "fail_bits",
         (~quality.passes(quality.BASE)).alias("base_failed"), "kept",
