@@ -6,8 +6,9 @@ parser for its kind grows the span to both sides and validates it. The base kind
 card, phone) give exactly the leftmost non-overlapping matches of their patterns that pass
 validation, a failed match is not tried again. Three more kinds are added: the user part of an
 address with a scheme (``login``; the address itself is no personal data), the value after a
-secret's cue (``secret``: after a password's any quoted or blank-delimited one, after the others
-one of 16 characters at least) and the number after an account's cue (``account``). Cues count
+secret's cue (``secret``: after a password's any quoted one, one right behind a ``=``, or one that holds a
+digit or a symbol of passwords and is no path, so that prose keeps its words; after the others one of 16 characters at
+least) and the number after an account's cue (``account``). Cues count
 in any case of their letters.
 
 Defined cases: a NULL or empty text has no spans (``redact`` keeps NULL); texts of any length are
@@ -40,7 +41,11 @@ _CHAIN = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _CALL = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOGIN = re.compile(r"[^\s/@:?#]+:[^\s/@?#]+(?=@)")
 _VALUE = re.compile(r"[\"']?\s{0,3}[:=]\s{0,3}[\"']?([A-Za-z0-9_+/=.-]{16,})")
-_PASSWORD = re.compile(r"[\"']?[ \t]{0,3}[:=]{1,2}>?[ \t]{0,3}(?:\"((?:[^\"\\\n]|\\.)+)\"|'((?:[^'\\\n]|\\.)+)'|[\"']?([^\s\"']\S*))")
+_PASSWORD = re.compile(
+    r"[\"']?(?:[ \t]{0,3}[:=]{1,2}>?[ \t]{0,3}(?:\"((?:[^\"\\\n]|\\.)+)\"|'((?:[^'\\\n]|\\.)+)')|={1,2}>?[\"']?([^\s\"']\S*)"
+    r"|[ \t]{0,3}[:=]{1,2}>?[ \t]{0,3}[\"']?(?![/~.]|[A-Za-z]+://)(?=\S*[0-9!@#$%^&*+=?|<>]\S)([^\s\"']\S*)"
+    r"|[ \t]{0,3}[:=]{1,2}>?[ \t]{0,3}[\"']?(?![/~.]|[A-Za-z]+://)(?=\S*[0-9@#$%^&*+=|<>](?:\s|\Z))([^\s\"']\S*))"
+)
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])|[A-Za-z]{2}[0-9]{2}[A-Za-z0-9]{11,30}(?![A-Za-z0-9])")
 _NUMBER = re.compile(r"[A-Za-z]{0,4}[-./ ]?[0-9](?:[-./ ]?[0-9]|[-./]?[A-Za-z](?![a-z])){3,33}")
 _ANNOUNCES = re.compile(r"(?:[ _-]?(?:number|no|nr))?[\"'.]{0,2}\s{0,3}(?:[:=#]|is\b)?\s{0,3}[\"']?", re.I)
