@@ -10,7 +10,7 @@ The prefix sum never sorts a whole source in one task: ``v`` is cut into buckets
 pre-aggregated per (source, bucket), and only the one bucket per source in which the budget
 ends is sorted by document.
 
-Defined cases: a NULL text has size 0 (and is taken 0 words); NULL is a source of its own, the
+Defined cases: a NULL text has size 0 (and is taken 0 words, in ``MAX_EPOCHS`` copies at most); NULL is a source of its own, the
 last; NULL doc_ids draw one fixed ``u``; equal ``v`` are ordered by doc_id, then size; repeated rows
 count as documents of their own; an empty table gives an empty mix; further columns ride along
 in ``mix`` and are ignored by ``plan``, whatever their names.
@@ -134,7 +134,7 @@ def mix(docs: DataFrame, keep: list[str] | None = None, seed: str = SEED, bucket
     ahead = F.coalesce(F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     cut = rows.where(in_cut).withColumn("_at", F.col("_before") + ahead)
     cut = cut.select(*cols, (2 * F.col("_at") + F.col("_size") <= 2 * F.col("budget")).alias("_in"))
-    out = whole.unionByName(cut).withColumn("copies", F.col("epochs") + F.col("_in").cast("long"))
+    out = whole.unionByName(cut).withColumn("copies", F.least(F.col("epochs") + F.col("_in").cast("long"), F.lit(MAX_EPOCHS)))
     return out.select(
         *keep,
         F.col("_size").alias("size"),
