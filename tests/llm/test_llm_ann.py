@@ -99,3 +99,44 @@ def test_unequal_norms_by_inner_product():
     hits = sum(len(set(found[q == i].tolist()) & set(ids[brute(ids, vectors, vectors[i], ids[i], 10)[0]].tolist())) for i in range(50))
     assert hits >= 450 and verified < 50 * 3000
     assert all((np.diff(scores[q == i]) <= 0).all() for i in range(50))
+
+
+def ranks(found):
+    got = {}
+    for r in sorted(found.collect(), key=lambda r: (r["query_id"], r["rank"])):
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    return got
+
+
+def test_one_huge_vector_costs_no_results(spark):
+    rng = np.random.default_rng(2)
+    v = rng.standard_normal((60, 4))
+    rows = [(i, [float(x) for x in row]) for i, row in enumerate(v)] + [(100, [1e200, 1.0, 0.0, 0.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ranks(ann.nearest(table, table.where("vec_id % 20 = 0"), k=60, cell_rows=16))
+    assert set(got) == {0, 20, 40, 100} and all(len(g) == 60 for g in got.values())
+    positive = [q for q in (0, 20, 40) if v[q][0] > 0]
+    assert all(got[q][0][0] == 100 and math.isclose(got[q][0][1], 1e200 * v[q][0], rel_tol=1e-12) for q in positive)
+
+
+@pytest.mark.parametrize("size", [1e-200, 1e-140, 1e140, 1e153])
+def test_tiny_and_large_vectors_rank_as_ordinary_ones(spark, size):
+    rng = np.random.default_rng(4)
+    v = rng.standard_normal((80, 6))
+    own = lambda f: ranks(ann.nearest(t := spark.createDataFrame([(i, [float(x) * f for x in row]) for i, row in enumerate(v)], "vec_id long, embedding array<double>"), t.where("vec_id % 20 = 0"), k=80, cell_rows=32))
+    plain, got = own(1.0), own(size)
+    assert {q: len(g) for q, g in got.items()} == {0: 79, 20: 79, 40: 79, 60: 79}
+    for q, found in got.items():
+        if size * size == 0.0:  # every product is 0 in doubles: the smaller id comes first
+            assert [i for i, _ in found] == sorted(i for i, _ in found) and {s for _, s in found} == {0.0}
+        else:
+            assert [i for i, _ in found] == [i for i, _ in plain[q]]
+            assert all(math.isclose(s, (v[i] * size * (v[q] * size)).sum(), rel_tol=1e-9) for i, s in found)
+
+
+def test_one_id_with_several_vectors_counts_once(spark):
+    rows = [(i, [1.0 + i, 2.0]) for i in range(300)] + [(5, [0.5, 9.0]), (5, [-7.0, 1.0]), (40, [-1.0, -1.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ranks(ann.nearest(table, table.where("vec_id in (5, 40, 60)"), k=300, cell_rows=40))
+    assert all(len(g) == len({i for i, _ in g}) == 299 for g in got.values())
+    assert (5, -7.0 * 61 + 1.0 * 2) in got[60] and got == ranks(ann.nearest(table, table.where("vec_id in (5, 40, 60)"), k=300))

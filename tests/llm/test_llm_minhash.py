@@ -64,7 +64,7 @@ def test_repeated_null_and_empty_rows(spark):
     got = sorted((str(r["doc_id"]), str(r["component_id"])) for r in minhash.classes(docs).collect())
     assert got == [("1", "1"), ("1", "1"), ("2", "2"), ("3", "3"), ("None", "1"), ("None", "None")]
     kept = minhash.deduplicate(docs)
-    assert kept.columns == docs.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "2", "3", "None", "None"]
+    assert kept.columns == docs.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "2", "3", "None"]
     assert minhash.classes(docs.limit(0)).count() == 0 and minhash.deduplicate(docs.limit(0)).count() == 0
 
 
@@ -98,3 +98,42 @@ def test_forest_roots(spark):
     links = spark.createDataFrame([*chain, (7, 100), (100, 200)], "a long, b long")
     assert {r["id"]: r["label"] for r in forest_roots(links).collect()} == dict.fromkeys([*range(1, 51), 100, 200], 0)
     assert forest_roots(links.limit(0)).count() == 0
+
+
+def test_documents_without_ids_are_linked(spark):
+    """Near copies without a doc_id are one class; two named documents joined only through one are in one class."""
+    words = [f"w{i}" for i in range(60)]
+    text = lambda *changed: " ".join(f"x{i}" if i in changed else w for i, w in enumerate(words))
+    # 2 and 3 are too far apart, the row without a name is near to both.
+    rows = [(3, text(0)), (None, text()), (2, text(59)), (None, "q r s t u v"), (None, "Q r s t u v"), (9, "a b c d e f g")]
+    rows += [(None, "n " + text(30) + " only these"), (None, "n " + text(30) + " only those")]
+    docs = spark.createDataFrame([(i, t, "c") for i, t in rows], "doc_id long, text string, _row string")
+    got = minhash.classes(docs, threshold=88).collect()
+    assert sorted((str(r["doc_id"]), str(r["component_id"])) for r in got) == sorted(
+        [("3", "2"), ("None", "2"), ("2", "2"), ("None", "None"), ("None", "None"), ("9", "9"), ("None", "None"), ("None", "None")]
+    )
+    kept = minhash.deduplicate(docs, threshold=88)
+    assert kept.columns == docs.columns
+    left = sorted(str(r["doc_id"]) for r in kept.collect())
+    assert left == ["2", "9", "None", "None"]
+
+
+def test_one_id_with_two_texts_is_one_document(spark):
+    """Each text is compared; the document keeps one row."""
+    words = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, words), (2, "z " * 3 + "other text here and there"), (2, words + " end"), (3, "z " * 3 + "other text here and there")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["component_id"]) for r in minhash.classes(docs, threshold=80).collect()}
+    assert {c for i, c in got if i in (1, 3)} <= {1, 2, 3} and (1, 1) in got
+    assert sorted(r["doc_id"] for r in minhash.deduplicate(docs).collect()).count(2) <= 1
+
+
+def test_long_words_are_not_remembered():
+    from songpulse.llm import shingles
+
+    shingles._HASHES.clear()
+    many = " ".join(f"{i}{'x' * 10_000}" for i in range(500))
+    once = shingles.word_hashes(many)
+    assert (once == shingles.word_hashes(many)).all() and len(set(once.tolist())) == 500 and len(shingles._HASHES) == 0
+    shingles.word_hashes("short words stay")
+    assert len(shingles._HASHES) == 3

@@ -61,7 +61,7 @@ def test_scripts_without_spaces(spark):
     kept = lambda version: {r["doc_id"] for r in quality.apply_policy(led, version).where("kept").collect()}
     assert kept("v3") == {0, 1} and kept("v2") == set() and kept("base") == {0, 1, 2, 3, 5}
     off = {r["rule"]: r["n_failed"] for r in quality.ablation(led).collect()}
-    assert off["word_length"] == 2 and off["few_words"] == 1
+    assert off["word_length_spaced"] == 2 and off["few_words"] == 1
 
 
 def test_empty_and_clashing_columns(spark):
@@ -124,3 +124,22 @@ def test_heavier_documents_come_first_more_often(spark):
     rows = mixing.mix(docs, ["doc_id"]).where("doc_id < 9000 and copies > 0").groupBy("doc_id").max("copies").collect()
     full = Counter(r["doc_id"] % 2 for r in rows if r["max(copies)"] == max(x["max(copies)"] for x in rows))
     assert full[1] > full[0]
+
+
+def test_a_document_without_words_is_taken_twice_at_most(spark):
+    rows = [(1, "a b c", "en", "s", 5), (2, "", "en", "s", 0), (3, None, "en", "s", 0), (4, "w " * 500, "en", "t", 9), (5, "w " * 500, "en", "u", 9)]
+    docs = spark.createDataFrame(rows, DOCS)
+    mixed = {r["doc_id"]: r for r in mixing.mix(docs, ["doc_id"]).collect()}
+    assert all(r["copies"] <= mixing.MAX_EPOCHS for r in mixed.values()) and mixed[1]["copies"] == 2
+    taken = [r["doc_id"] for r in mixing.take(docs).collect()]
+    assert max(taken.count(i) for i in (1, 2, 3)) == 2
+
+
+def test_every_policy_is_a_mask(spark):
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate([*TEXTS, "漢字仮名" * 30 + " " + "文章" * 40])], DOCS)
+    led = quality.ledger(docs)
+    for version, mask in quality.POLICIES.items():
+        got = {(r["doc_id"], r["kept"]) for r in quality.apply_policy(led, version).collect()}
+        assert got == {(r["doc_id"], r["fail_bits"] & mask == 0) for r in led.collect()}
+    kept = {r["doc_id"] for r in quality.apply_policy(led).collect() if r["kept"]}
+    assert kept == {r["doc_id"] for r in quality.select_passing(docs).collect()}

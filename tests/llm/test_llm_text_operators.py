@@ -305,3 +305,80 @@ def test_digests_are_of_whole_texts(spark):
     held = [r for r in QUERIES["op2_language_id"](spark, "/root/testdata/sf0.01").where("held_out").collect()]
     lang = {r["doc_id"]: r["lang"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
     assert sum(lang[r["doc_id"]] == r["lang_pred"] for r in held) >= 0.97 * len(held)
+
+
+@pytest.mark.parametrize("text", [
+    "Forgot your password: click here", "user password = yes and no", "pwd: /home/x", "pwd: ~/x2", "Password: see below.", "password: https://x.org/a1",
+    "The password: case-sensitive, long.", "password :", "passwd: what?", "your password: really!",
+])
+def test_prose_about_passwords_keeps_its_words(text):
+    assert pii.spans(text) == [] and pii.replaced(text, dict.fromkeys(pii.KINDS, "#")) == text
+
+
+@pytest.mark.parametrize("text,value", [
+    ("password: hunter2 next", "hunter2"), ("password=abc next", "abc"), ('password: "two words"', "two words"), ("pwd = a$b", "a$b"),
+    ("password: abc1", "abc1"), ("passwd := x#", "x#"), ("PASSWORD=/etc", "/etc"),
+])
+def test_passwords_are_found(text, value):
+    assert [text[a:b] for kind, a, b in pii.spans(text) if kind == "secret"] == [value]
+
+
+@pytest.mark.parametrize("page", [
+    '<p class="' * 100_000, "a<b " * 250_000, "<p x='" * 150_000, "<b x=\">" * 100_000 + "'", "<!--" * 200_000, "<" * 1_000_000,
+    '<p class="a" ' * 80_000 + ">", "<script>" * 100_000,
+])
+def test_malformed_pages_take_linear_time(page):
+    import time
+
+    begin = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - begin < 2
+
+
+COMPOUNDS = (
+    "ad-container ad-wrapper ad-slot ad-300x250 google-ad sponsored-content comments-area comment-body comments-section post-comments"
+    " wp-comments main-nav main-menu menu-item widget-area primary-sidebar related-articles newsletter-form cookie-message social-icons"
+    " article-footer page-footer site-footer comment-list advert-box ad_unit top-ad sidebar-left cookie-banner consent-popup share-buttons"
+    " related-posts newsletter-signup promo-box breadcrumb-list site-nav footer-links reply-form comment-thread social-links adslot-2 entry-share"
+).split()
+WRAPPERS = (
+    "content-sidebar-wrap with-sidebar no-sidebar has-banner share-enabled related-work search-syntax comments-open page-with-sidebar tag-ad"
+    " advertising-history menu-options social-science notice-period article-body entry-content post-content"
+).split()
+
+
+@pytest.mark.parametrize("name", COMPOUNDS)
+@pytest.mark.parametrize("wrap", ["article", "div"])
+def test_compound_names_of_additions(name, wrap):
+    page = f"<{wrap}><h1>T</h1><p>{LONG}</p><div class='{name}'><p>junk text</p></div></{wrap}>"
+    assert html_text.main_text(page) == f"T\n\n{LONG.strip()}"
+
+
+@pytest.mark.parametrize("name", WRAPPERS)
+def test_compound_names_of_text(name):
+    assert html_text.main_text(f"<article><h1>T</h1><section id='{name}'><p>{LONG}</p></section></article>") == f"T\n\n{LONG.strip()}"
+
+
+def test_pages_off_the_beaten_track():
+    long = LONG.strip()
+    page = f"<h1>Title</h1><p>{LONG}</p><div class=comments-area><p>{LONG}</p></div><div class=page-footer><p>foot</p></div>"
+    assert html_text.main_text(page) == f"Title\n\n{long}"
+    assert html_text.main_text(f"<div><p>{LONG}</p></div><article><h1>Tiny</h1><p>Hi.</p></article>") == "Tiny\n\nHi."
+    short = "<h1>Title</h1><p>short one</p><p>and two words</p><p>three</p><p>four</p><ul><li><a href=x>link a</a></li><li><a href=y>b</a></li></ul>"
+    assert html_text.main_text(short) == "Title\n\nshort one\n\nand two words\n\nthree\n\nfour"
+    two = f"<main><article><h2>A</h2><p>{LONG}</p></article><article><h2>B</h2><p>{LONG}{LONG}</p></article></main>"
+    assert html_text.main_text(two) == f"A\n\n{long}\n\nB\n\n{' '.join((LONG + LONG).split())}"
+    assert html_text.main_text("<h1>Only a title</h1>") == "Only a title"
+
+
+def test_given_pages_without_article_tags_give_the_same_text(spark):
+    for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect():
+        assert html_text.main_text(re.sub(r"</?article[^>]*>", "", r["html"])) == html_text.main_text(r["html"])
+
+
+def test_long_pieces_are_kept_for_their_run_only():
+    codec = bpe.Codec(bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    texts = [f"{'ab' * 400}{i} small {'#' * 60}" for i in "abcdefgh"]
+    first = codec.encode(texts)
+    assert first == codec.encode(texts) == [codec.encode([t])[0] for t in texts]
+    assert max(map(len, codec.remembered)) <= bpe.REMEMBERED_CHARS and b"".join(map(codec.decode, first)) == "".join(texts).encode()
