@@ -9,6 +9,8 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from songpulse.llm import bpe, chat, html_text, lang_id, pii, token_spans
@@ -40,13 +42,45 @@ def test_bpe_matches_the_library_and_decodes(spark, odd):
     assert bpe.encode(odd.limit(0), MULTI, PATTERN).count() == 0
 
 
-def test_bpe_random_pieces_in_matrix_and_on_heap():
+def test_bpe_random_pieces_of_all_lengths():
     codec, want, rnd = bpe.Codec(bpe.load_ranks(MULTI), PATTERN), tokenizer(MULTI), random.Random(3)
     pieces = ["".join(rnd.choice("abcdetheinrsé") for _ in range(rnd.randrange(1, 400))) for _ in range(600)]
     for piece, ids in zip(pieces, codec.encode_pieces(p.encode() for p in pieces), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == want.encode_ordinary(piece)
 
 
+def test_bpe_long_pieces_in_matrices():
+    codec, want, rnd = bpe.Codec(bpe.load_ranks(MULTI), PATTERN), tokenizer(MULTI), random.Random(5)
+    pieces = ["a" * 100_000, "ab" * 50_001, "".join(rnd.choice("eainrstolä") for _ in range(100_000)), "é" * 777, "x" * 255 + "y" * 256]
+    pieces += ["".join(rnd.choice("的一是不了人我在") for _ in range(rnd.randrange(1, 3000))) for _ in range(20)]
+    for piece, ids in zip(pieces, codec.encode_pieces(p.encode() for p in pieces), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == want.encode_ordinary(piece)
+
+
+@settings(max_examples=60, deadline=None)
+@given(
+    st.lists(st.text("abc", min_size=2, max_size=4), min_size=4, max_size=40, unique=True),
+    st.lists(st.text("abc", max_size=60), min_size=1, max_size=12),
+)
+def test_bpe_ranks_in_any_order(tokens, pieces):
+    """Vocabularies in which a merge may make a pair of smaller rank."""
+    ranks = {bytes([b]): 200 + b for b in range(256)}
+    ranks |= {t.encode(): i for i, t in enumerate(tokens)}
+
+    def plain(piece):
+        parts = [bytes([b]) for b in piece.encode()]
+        while True:
+            found = [(ranks[x + y], i) for i, (x, y) in enumerate(zip(parts, parts[1:], strict=False)) if x + y in ranks]
+            if not found:
+                return [ranks[p] for p in parts]
+            i = min(found)[1]
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+
+    codec = bpe.Codec(ranks, PATTERN)
+    for piece, ids in zip(pieces, codec.encode_pieces(p.encode() for p in pieces), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == plain(piece)
+
+
 def test_bpe_long_text_in_runs(monkeypatch):
     codec, want = bpe.Codec(bpe.load_ranks(MULTI), PATTERN), tokenizer(MULTI)
     monkeypatch.setattr(bpe, "RUN_CHARS", 50)
