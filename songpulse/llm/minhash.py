@@ -15,7 +15,8 @@ listed:
 2. a class and the head of any of its buckets are a pair if their components still differ;
 3. buckets that still hold different components list the pairs across components whose sizes and
    longer sketches (1,024 bits, made for these documents only) leave room for a link; a pair is
-   listed in one of its common buckets, the one of least key, and verified too.
+   listed in one of its common buckets, the one of least key, and verified too. A bucket is dealt
+   to parts, and every two parts of it meet in a task of their own.
 
 Pairs are thinned before the sets are fetched by set sizes and by a 128-bit sketch (one bit per
 coordinate) whose bound a pair at the threshold misses with probability below 1e-7.
@@ -53,6 +54,8 @@ SKETCH_MOST = 32
 FINE_BITS, FINE_MOST, FINE_FROM = 1024, 150, 1000
 #: Ids up to which the table of needed documents (8 bytes a row) is broadcast; else it is shuffled.
 BROADCAST_IDS = 1_000_000
+#: Members of a bucket in one part; a task of the third pass compares two parts.
+PART_ROWS = 512
 
 _PLACE = np.uint64(0xA24BAED4963EE407)
 _STEP = 0x9E3779B1  # odd, so the shifts run once around the circle
@@ -277,24 +280,39 @@ def _classes(docs: DataFrame, shingle_words: int, threshold: int, bands: int, ro
     # Third pass: pairs with a bucket's head have been tried, or are in one component.
     left = _relabelled(others.where("size > 2"), maps, "id", "label")
     mixed = left.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("key")
-    left = stage(left.join(mixed, "key").select("key", "id", "label"), "minhash-left")
+    left = stage(left.join(mixed, "key").select("key", "id", "label", "size"), "minhash-left")
     if left.isEmpty():
         return _classified(sig, reps, maps)
     needed = stage(left.select("id").distinct(), "minhash-needed")
     fine = _texts(docs, needed).mapInArrow(_fine_batches(shingle_words), ", ".join(["id long", *(f"{f} long" for f in _FINE)]))
     fine = stage(fine.join(reps.select("id", "n", "bands"), "id"), "minhash-fine")
-    more = ("key", "label", "bands", *_FINE)
-    x, y = (_side(left.join(fine, "id"), name, *more) for name in ("a", "b"))
-    least_common = F.array_min(F.array_intersect("bands_a", "bands_b")) == F.col("key_a")
-    pair = (F.col("key_a") == F.col("key_b")) & (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b"))
-    across = x.join(y, pair & _near(threshold, _FINE, FINE_MOST) & least_common)
-    across = stage(across.select("a", "b", "n_a", "n_b").distinct(), "minhash-across")
+    across = _thinned_across(left, fine, threshold)
+    across = stage(across.select("a", "b").distinct(), "minhash-across")
     if not across.isEmpty():
         maps.append(_merged(link(across), maps))
 
     return _classified(sig, reps, maps)
 
 
+def _thinned_across(left: DataFrame, fine: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) of a bucket's members with different labels that sizes and longer sketches allow.
+
+    A bucket's members are dealt by id to parts of about ``PART_ROWS``; every two parts meet in a cell of their own, so a
+    hot bucket is compared in many tasks, and a member is copied once a part and once more."""
+    parts = F.ceil(F.col("size") / PART_ROWS).cast("int")
+    dealt = left.join(fine, "id").withColumn("part", F.pmod(F.xxhash64("id", "key"), parts).cast("int"))
+    last = parts - 1
+    x = dealt.withColumn("low", F.col("part")).withColumn("high", F.explode(F.sequence("part", last)))
+    y = dealt.withColumn("high", F.col("part")).withColumn("low", F.explode(F.sequence(F.lit(0), "part")))
+    cell = ["key", "low", "high"]
+    x, y = (_side(rows, name, *cell, "label", "bands", *_FINE) for name, rows in (("a", x), ("b", y)))
+    same_cell = (F.col("key_a") == F.col("key_b")) & (F.col("low_a") == F.col("low_b")) & (F.col("high_a") == F.col("high_b"))
+    once = (F.col("low_a") < F.col("high_a")) | (F.col("a") < F.col("b"))
+    least_common = F.array_min(F.array_intersect("bands_a", "bands_b")) == F.col("key_a")
+    pair = same_cell & once & (F.col("label_a") != F.col("label_b"))
+    return x.join(y, pair & _near(threshold, _FINE, FINE_MOST) & least_common).select("a", "b")
+
+
 def _classified(sig: DataFrame, reps: DataFrame, maps: list[DataFrame]) -> DataFrame:
     """doc_id, n_shingles and component_id of every row, by its class."""
     group = ["d1", "d2", "n"]

@@ -58,6 +58,25 @@ def test_classes_match_brute_force(spark, k):
     assert got == brute(rows, k)
 
 
+def test_hot_buckets_in_parts(spark, monkeypatch):
+    """Classes of a hot group that mostly share bands but stay apart; every part meets every other one."""
+    monkeypatch.setattr(minhash, "PART_ROWS", 4)
+    rnd = random.Random(9)
+    passage = [f"p{i}" for i in range(60)]
+    rows = []
+    for i in range(120):
+        changed = [f"x{rnd.randrange(9)}" if rnd.random() < 0.04 else w for w in passage]
+        rows.append((i, " ".join(changed)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = docs.selectExpr("1L key", "doc_id id", "doc_id label", "120L size")
+    fine = docs.selectExpr("doc_id id", "50L n", "array(1L) bands", *(f"0L {f}" for f in minhash._FINE))
+    pairs = [tuple(sorted(r)) for r in minhash._thinned_across(left, fine, 80).collect()]
+    assert sorted(pairs) == [(a, b) for a in range(120) for b in range(a + 1, 120)]
+    for k in (2, 4):
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.classes(docs, shingle_words=k).collect()}
+        assert got == brute(rows, k)
+
+
 def test_repeated_null_and_empty_rows(spark):
     schema = "doc_id long, text string, component_id string"
     docs = spark.createDataFrame([(1, "a b c d e f", "x"), (1, "a b c d e f", "x"), (None, "a b c d e f", "x"), (2, None, "x"), (3, "", "x"), (None, None, "x")], schema)
