@@ -9,8 +9,8 @@ the k-th best distance d_k: projected^2 > quantile(DIMS, CONFIDENCE) * d_k^2. A
 or nearer is beyond that point with probability 1 - CONFIDENCE at most.
 
 On Spark the top of the tree is fitted on a bounded sample and deals every row to a cell; in
-a cell the tree goes on to leaves. Queries search their own cell first, then, with the distance
-found there, all cells that their test does not exclude. Work comes in blocks of at most about
+a cell the tree goes on to leaves. Queries search their nearest cell first, then the next 8, the
+next 64 and the rest, in each round only cells that the test does not exclude by the distance found so far. Work comes in blocks of at most about
 ``CELL_ROWS`` rows and ``QUERY_ROWS`` queries: larger cells are split by a hash of the id. Queries
 are routed by id, at most ``ROUTE_PAIRS`` pairs of query and cell at a time; their vectors are
 joined after that.
@@ -28,6 +28,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,8 @@ MOST_CELLS = 1 << 16
 CELL_ROWS, QUERY_ROWS, LEAF_ROWS = 16_384, 4_096, 256
 #: Pairs of a query and a cell that are compared, and sent on, at a time.
 ROUTE_PAIRS = 1 << 20
+#: Cells of a query, in order of distance, in the rounds before the last one, which takes the rest.
+ROUND_CELLS = (1, 8, 64)
 SEED = 20
 #: Powers of two up to which components, and from whose reciprocal on, are used as they are.
 SAFE_BITS = 200
@@ -278,8 +281,12 @@ def _dealt(rows: DataFrame, index) -> DataFrame:
     return rows.mapInArrow(run, "id long, v array<double>, cell long")
 
 
-def _routes(batches: Iterator[pa.RecordBatch], index: Index, first: bool) -> Iterator[pa.RecordBatch]:
-    """(id, kth, cell) of (id, v, kth) queries, in batches of at most ``ROUTE_PAIRS`` rows (or one query)."""
+def _routes(
+    batches: Iterator[pa.RecordBatch], index: Index, first: bool, places: tuple[int, int | None] = (1, None)
+) -> Iterator[pa.RecordBatch]:
+    """(id, kth, cell) of (id, v, kth) queries, in batches of at most ``ROUTE_PAIRS`` rows (or one query).
+
+    ``places``: the first and the one after the last of a query's cells by distance, if not only the ``first``."""
     step = max(1, ROUTE_PAIRS // len(index.low))
     for whole in batches:
         for batch in (whole.slice(at, step) for at in range(0, len(whole), step)):
@@ -287,20 +294,25 @@ def _routes(batches: Iterator[pa.RecordBatch], index: Index, first: bool) -> Ite
             known = batch.column(2).to_numpy(zero_copy_only=False)
             kth = np.where(np.isnan(known.astype(float)), -np.inf, known)
             away = box_distances(index.project_queries(vectors), index.low, index.high)
-            home = away.argmin(1)
             if first:
-                q, cell = np.arange(len(batch)), home
+                q, cell = np.arange(len(batch)), away.argmin(1)
             else:
-                open_ = away <= index.radius(kth, vectors)[:, None]
-                open_[np.arange(len(batch)), home] = False
-                q, cell = np.nonzero(open_)
+                due = np.zeros(away.shape, bool)
+                np.put_along_axis(due, away.argsort(1, kind="stable")[:, slice(*places)], True, axis=1)
+                q, cell = np.nonzero(due & (away <= index.radius(kth, vectors)[:, None]))
             columns = [batch.column(0).take(pa.array(q)), pa.array(kth[q]), pa.array(cell.astype(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, ["id", "kth", "cell"])
 
 
-def _routed(queries: DataFrame, index, first: bool) -> DataFrame:
-    """(id, kth, cell) of queries: ``first`` the nearest cell, else all others that the test leaves."""
-    return queries.mapInArrow(lambda batches: _routes(batches, index.value, first), "id long, kth double, cell long")
+def _routed(queries: DataFrame, index, places: tuple[int, int]) -> DataFrame:
+    """(id, kth, cell) of queries: the nearest cell, or those at later places that the test leaves."""
+    return queries.mapInArrow(lambda batches: _routes(batches, index.value, not places[0], places), "id long, kth double, cell long")
+
+
+def _rounds(n_cells: int) -> list[tuple[int, int]]:
+    """The first and the one after the last place, by distance, of the cells of each round."""
+    ends = [end for end in accumulate(ROUND_CELLS) if end < n_cells] + [n_cells]
+    return list(zip([0, *ends[:-1]], ends, strict=True))
 
 
 def _searched(cells: DataFrame, sizes: DataFrame, queries: DataFrame, routed: DataFrame, index, k: int) -> DataFrame:
@@ -352,12 +364,18 @@ def nearest(
     own = F.when(safe, F.lit(0)).otherwise(F.floor(F.log2(largest())))
     asked = asked.withColumn("power", own.cast("long"))
     asked = stage(asked.withColumn("v", F.transform("v", lambda x: F.when(F.col("power") == 0, x).otherwise(times_power(x, -F.col("power"))))), "ann-queries")
-    near = _routed(asked.select("id", "v", F.lit(None).cast("double").alias("kth")), shared, first=True)
-    found = stage(_best(_searched(cells, sizes, asked, near, shared, k), k), "ann-near")
-    kth = found.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("kth"))
-    others = stage(_routed(asked.select("id", "v").join(kth, "id", "left"), shared, first=False), "ann-routed")
-    more = _searched(cells, sizes, asked, others, shared, k)
-    every = found.select("query_id", "vec_id", "score").unionByName(more)
+    found = None
+    for places in _rounds(len(index.low)):
+        wanted = asked.select("id", "v", F.lit(None).cast("double").alias("kth"))
+        if found is not None:
+            kth = found.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("kth"))
+            wanted = wanted.drop("kth").join(kth, "id", "left")
+        routed = stage(_routed(wanted, shared, places), "ann-routed")
+        if found is not None and routed.isEmpty():  # then all cells farther off are excluded, too
+            break
+        more = _searched(cells, sizes, asked, routed, shared, k)
+        found = stage(_best(more if found is None else found.drop("rank").unionByName(more), k), "ann-found")
+    every = found.drop("rank")
     if power or not asked.where("power != 0").isEmpty():
         every = every.join(asked.select(F.col("id").alias("query_id"), "power"), "query_id")
         every = every.select("query_id", "vec_id", times_power(F.col("score"), F.col("power") + power).alias("score"))

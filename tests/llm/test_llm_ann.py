@@ -62,6 +62,44 @@ def test_routing_in_bounded_batches():
     assert want.sum() > ann.ROUTE_PAIRS
 
 
+def test_rounds_cover_every_cell_once():
+    assert ann._rounds(1) == [(0, 1)] and ann._rounds(5) == [(0, 1), (1, 5)]
+    assert ann._rounds(9) == [(0, 1), (1, 9)] and ann._rounds(200) == [(0, 1), (1, 9), (9, 73), (73, 200)]
+    rng = np.random.default_rng(6)
+    low = rng.standard_normal((200, ann.DIMS))
+    index = ann.Index(rng.standard_normal((ann.DIMS, 9)), 4.0, 0, low, low + 0.5, 21.0)
+    vectors, kth = rng.standard_normal((40, 8)), np.where(np.arange(40) % 3 == 0, np.nan, 3.5)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array(list(vectors)), pa.array(kth, from_pandas=True)], ["id", "v", "kth"])
+    pairs = lambda *how: [p for b in ann._routes([batch], index, *how) for p in zip(b["id"].to_pylist(), b["cell"].to_pylist(), strict=True)]
+    by_round = [pairs(not begin, (begin, end)) for begin, end in ann._rounds(200)]
+    away = ann.box_distances(index.project_queries(vectors), index.low, index.high)
+    for (_, end), (after, _), near, far in zip(ann._rounds(200), ann._rounds(200)[1:], by_round, by_round[1:], strict=False):
+        assert end == after and all(
+            max((away[q, c] for p, c in near if p == q), default=0) <= min((away[q, c] for p, c in far if p == q), default=np.inf)
+            for q in range(40)
+        )
+    assert sorted(p for found in by_round for p in found) == sorted(pairs(True) + pairs(False))
+
+
+def test_wide_searches_use_later_rounds(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    centres = rng.standard_normal((40, 16))
+    vectors = centres[np.arange(3200) % 40] + 0.1 * rng.standard_normal((3200, 16))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    queries, routed = table.where("vec_id % 50 = 0"), []
+    plain = ann._routed
+    monkeypatch.setattr(ann, "_routed", lambda *how: routed.append((plain(*how).count(), how[2])) or plain(*how))
+    found = ann.nearest(table, queries, k=10, cell_rows=32).collect()
+    hits = 0
+    for q in range(0, 3200, 50):
+        best, _ = brute(np.arange(3200), vectors, vectors[q], q, 10)
+        hits += len({r["vec_id"] for r in found if r["query_id"] == q} & set(best.tolist()))
+        assert [r["rank"] for r in sorted((r for r in found if r["query_id"] == q), key=lambda r: r["rank"])] == list(range(1, 11))
+    assert hits >= 0.9 * 10 * 64
+    assert [places for _, places in routed] == ann._rounds(128)[: len(routed)] and len(routed) > 2
+    assert routed[-1][0] < 64 * (128 - 73)  # the radius found so far closes cells before the wide round
+
+
 def test_copies_ties_and_unusable_vectors(spark):
     one, other = [1.0, 0.0, 0.5], [0.0, 2.0, 0.0]
     rows = [(i, one, 0) for i in range(1, 400)] + [(i, other, 0) for i in range(400, 420)]
