@@ -91,6 +91,14 @@ def artist_top(cat: DataFrame) -> DataFrame:
     )
 
 
+#: Strings of a lookup table's row beside its key.
+NAMES = {
+    "_hit": ("_hit.song", "_hit.artist", "_hit.genre"),
+    "_top": ("_top.song", "_top.artist", "_top.genre", "own_genre"),
+    "_song_hit": ("_song_hit.song", "_song_hit.artist", "_song_hit.genre"),
+}
+
+
 def _as_result(df: DataFrame, key: str, name: str, *more: str) -> DataFrame:
     return df.select(F.col(key), F.struct(*[F.col(c) for c in RESULT]).alias(name), *more)
 
@@ -116,8 +124,11 @@ def catalog_index(cat: DataFrame, materialize: bool = False, song_only: bool = T
     if materialize:
         checkpoint_root(cat.sparkSession)
         tables = [t.checkpoint(eager=True) for t in tables]
-    # Each table has at most a row per track: its names, and a key made of them.
-    n_bytes = len(tables) * byte_bound(cat, ("song", "artist", "song", "artist", "genre", "genre"))
+        # The tables are there to be measured: far fewer rows than the catalogue's where names repeat.
+        n_bytes = sum(byte_bound(t, (t.columns[0], *NAMES[t.columns[1]])) for t in tables)
+    else:
+        # Each table has at most a row per track: its names, and a key made of them.
+        n_bytes = len(tables) * byte_bound(cat, ("song", "artist", "song", "artist", "genre", "genre"))
     return CatalogIndex(tables[0], tables[1], tables[2] if song_only else None, n_bytes)
 
 

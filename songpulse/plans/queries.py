@@ -486,8 +486,12 @@ def q_stream_genre_hour_closed(spark, sf):
     lines = fixtures.tweet_lines(p.tweets, keep=("tweet_time",))
     lines = lines.withColumn("file", (span + F.col("event_id") % 2).cast("long"))
     landing, sink = scratch_path(spark, "landing"), scratch_path(spark, "sink")
-    streaming.land_in_order(lines, landing, "file")
+    # A batch may end within the files of five days, or hold more: of what follows, nothing is ten days behind it.
+    per_batch = streaming.files_per_batch(streaming.land_in_order(lines, landing, "file"))
+    # The state has a row per open hour and genre, however many posts: a store per core.
+    stores = min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     streaming.stream_genre_hour(
-        spark, f"{landing}/*", sink, scratch_path(spark, "stream-ckpt"), p.catalog, max_files=1, output_mode="append", watermark="10 days"
-    )
+        spark, f"{landing}/*", sink, scratch_path(spark, "stream-ckpt"), p.catalog, max_files=per_batch, output_mode="append",
+        watermark="10 days", state_partitions=stores,
+    )
     return spark.read.parquet(sink)

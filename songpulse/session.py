@@ -7,6 +7,7 @@ import re
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -89,6 +90,29 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def move_folder(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder to a path that does not exist yet; the folder above it is made."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    source, target = jvm.Path(path), jvm.Path(to)
+    fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(target.getParent())
+    if fs.exists(target) or not fs.rename(source, target):
+        raise FileExistsError(f"{path} cannot be moved to {to}")
+
+
+def set_file_times(spark: SparkSession, path: str, second: int) -> bool:
+    """Give the files directly in ``path`` this time of modification; false if their store does not keep it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = [f.getPath() for f in fs.listStatus(p) if f.isFile()]
+    try:
+        for f in files:
+            fs.setTimes(f, second * 1000, -1)
+    except Py4JJavaError:  # a store that refuses
+        return False
+    return all(fs.getFileStatus(f).getModificationTime() // 1000 == second for f in files)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme (for tests that look at files directly)."""
     return path[5:] if path.startswith("file:") else path

@@ -8,6 +8,7 @@ from songpulse.streaming.committed import (
     stream_ingest_counted,
 )
 from songpulse.streaming.jobs import (
+    files_per_batch,
     land_in_order,
     land_lines,
     read_genre_hour,
@@ -20,6 +21,7 @@ from songpulse.streaming.jobs import (
 )
 
 __all__ = [
+    "files_per_batch",
     "land_in_order",
     "land_lines",
     "publish_catalog",

@@ -20,13 +20,15 @@ from songpulse.functions import hour_label
 from songpulse.operators.catalog import catalog_index, enrich, hot_requests
 from songpulse.operators.clean import clean_tweets
 from songpulse.plans.sizing import fits_broadcast
-from songpulse.session import child_folders, delete_folder
+from songpulse.session import child_folders, delete_folder, move_folder, set_file_times
 from songpulse.sources.landed import RECORDS_PER_BATCH, stream_records
 from songpulse.sources.tweets import parse_tweets, stream_tweet_lines
 
 DEFAULT_TRIGGER = "120 seconds"
 #: Bytes of landed lines per file that a micro-batch adds to a day, where its bytes are capped.
 FILE_BYTES = 64 << 20
+#: Name of the folder of NULL in a partitioned table, and batches over landed folders, each with its fixed costs.
+NULL_FOLDER, MOST_BATCHES = "__HIVE_DEFAULT_PARTITION__", 32
 #: Share of the landed lines that hot requests are counted in when a stream starts (it only decides what
 #: is spread over salts, never a result).
 BACKLOG_SHARE, BACKLOG_SEED = 0.02, 7
@@ -39,16 +41,34 @@ def land_lines(lines: DataFrame, path: str, files: int | None = None) -> None:
     dealt.select("value").write.mode("errorifexists").text(path)
 
 
-def land_in_order(lines: DataFrame, path: str, by: str) -> None:
-    """Write (value, ``by``) lines as one text file per value of ``by``, landed in its order: a file
-    source reads files by time of modification, in seconds on some stores."""
+def land_in_order(lines: DataFrame, path: str, by: str) -> list[int]:
+    """Write (value, ``by``) lines as a folder of text files per value of ``by`` (an integer; NULL is the first),
+    landed in its order: a file source reads files by time of modification, in seconds on some stores. Returns
+    the number of files in each folder.
+
+    A value with few lines has one file, one with many is written by several tasks (AQE's advisory
+    size). The files are written once and get the times that their order asks for; on a store
+    that keeps its own times they are copied, one folder after the other."""
     spark = lines.sparkSession
     staged = f"{path}-staged"
-    lines.select("value", by).repartition(by).write.partitionBy(by).text(staged)
-    names = sorted(child_folders(spark, staged), key=lambda n: int(n.split("=")[1]) if "=" in n else -1)
-    for at, name in enumerate(n for n in names if "=" in n):
-        spark.read.text(f"{staged}/{name}").coalesce(1).write.text(f"{path}/{at:06d}")
-        time.sleep(1.1)
+    lines.select("value", by).hint("rebalance", by).write.partitionBy(by).text(staged)
+    values = {n: n.split("=", 1)[1] for n in child_folders(spark, staged) if n.startswith(f"{by}=")}
+    names = sorted(values, key=lambda n: (values[n] != NULL_FOLDER, int(values[n]) if values[n] != NULL_FOLDER else 0))
+    begin = int(time.time()) - len(names)
+    kept = all(set_file_times(spark, f"{staged}/{name}", begin + at) for at, name in enumerate(names))
+    for at, name in enumerate(names):
+        if kept:
+            move_folder(spark, f"{staged}/{name}", f"{path}/{at:06d}")
+        else:
+            spark.read.text(f"{staged}/{name}").write.text(f"{path}/{at:06d}")
+            time.sleep(1.1)
+    return [sum(n.startswith("part-") for n in child_folders(spark, f"{path}/{at:06d}")) for at in range(len(names))]
+
+
+def files_per_batch(landed: list[int]) -> int:
+    """Files of a micro-batch over folders that ``land_in_order`` made: the largest folder's, or more where there
+    are so many folders that the batches would be above ``MOST_BATCHES``."""
+    return max([1, *landed, -(-sum(landed) // MOST_BATCHES)])
 
 
 def run_to_sink(
@@ -132,22 +152,24 @@ def stream_clean(
     return run_to_sink(cleaned, sink, checkpoint, **kw)
 
 
-def _enriched_stream(spark, landing, cat, max_files, max_bytes) -> DataFrame:
+def _enriched_stream(spark, landing, cat, max_files, max_bytes) -> tuple[DataFrame, bool]:
+    """The enriched rows, and whether the catalogue is broadcast for them."""
     # Stream-static joins. The catalogue lookup tables are aggregated once when the query
     # starts and checkpointed (not re-aggregated every micro-batch); they are broadcast when
     # the catalogue's bytes allow, otherwise each micro-batch is shuffled against them.
     idx = catalog_index(cat, materialize=True, song_only=False)
     cleaned = clean_tweets(_parsed(spark, landing, max_files, max_bytes))
     if fits_broadcast(spark, idx.n_bytes):
-        return enrich(cleaned, idx, strategy="broadcast")
+        return enrich(cleaned, idx, strategy="broadcast"), True
     # A stream with state is planned without AQE: what is hot among the lines landed so far is salted.
     seen = parse_tweets(spark.read.text(landing).sample(BACKLOG_SHARE, BACKLOG_SEED))
-    return enrich(cleaned, idx, strategy="direct", hot=hot_requests(clean_tweets(seen)))
+    return enrich(cleaned, idx, strategy="direct", hot=hot_requests(clean_tweets(seen))), False
 
 
 def stream_enrich(spark, landing, sink, checkpoint, cat, max_files=1, max_bytes=None, **kw) -> StreamingQuery:
     """Landed lines -> enriched table parquet (stream-static join with the catalogue)."""
-    out = schemas.conform(_enriched_stream(spark, landing, cat, max_files, max_bytes), schemas.ENRICHED)
+    enriched, _ = _enriched_stream(spark, landing, cat, max_files, max_bytes)
+    out = schemas.conform(enriched, schemas.ENRICHED)
     return run_to_sink(out, sink, checkpoint, **kw)
 
 
@@ -198,13 +220,14 @@ def stream_genre_hour(
     ``append`` (needs ``watermark``, e.g. "2 hours") emits an hour once the watermark passes
     it, to the file sink; rows older than the watermark are dropped as late, and so is state.
 
-    ``state_partitions``: shuffle partitions of the whole query, catalogue joins of a large
-    catalogue included; default the session's. Lower it only where the catalogue is broadcast
-    and the cluster's partition count would make too many state stores.
+    ``state_partitions``: state stores of the query, each with its own files per batch; default the
+    session's shuffle partitions. It counts where the catalogue is broadcast; the joins of a larger one are
+    shuffled by the session's number, and so is the state then.
     """
-    if state_partitions:
+    enriched, broadcast = _enriched_stream(spark, landing, cat, max_files, max_bytes)
+    if state_partitions and broadcast:
         kw.setdefault("start_conf", {"spark.sql.shuffle.partitions": str(state_partitions)})
-    counts = genre_hour_stream(_enriched_stream(spark, landing, cat, max_files, max_bytes), watermark)
+    counts = genre_hour_stream(enriched, watermark)
     if output_mode == "update":
         if child_folders(spark, sink) and not child_folders(spark, f"{checkpoint}/offsets"):
             raise ValueError(f"{sink} holds results of another checkpoint; start a new sink or keep its checkpoint")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from test_streaming import CAT, LINE, _land, _rows
 
 from songpulse import schemas, streaming
-from songpulse.operators.catalog import HotRequests, enrich, hot_requests
+from songpulse.operators.catalog import HotRequests, catalog_index, enrich, hot_requests
 from songpulse.plans.derived import Derived
 from songpulse.session import scratch_path
 from songpulse.sources import commits, fixtures
@@ -96,6 +96,86 @@ def test_state_of_closed_hours_goes(spark):
     assert [r[2] for r in got] == [2] * len(got) and 40 - 10 <= len(got) < 40  # late posts counted, open hours not out
 
 
+def _times(spark, landing):
+    """Seconds of modification of the files in each landed folder, in order of the folders."""
+    files = spark.read.format("binaryFile").load(f"{landing}/*").select("path", F.unix_seconds("modificationTime").alias("t")).collect()
+    folders = sorted({r["path"].split("/")[-2] for r in files})
+    return [{r["t"] for r in files if r["path"].split("/")[-2] == f} for f in folders]
+
+
+@pytest.mark.parametrize("store_keeps_times", [True, False])
+def test_folders_land_in_order_in_files_of_several_tasks(spark, monkeypatch, store_keeps_times):
+    """A value of many lines is no single file, NULL is a value too, and a store without set times gets copies."""
+    if not store_keeps_times:
+        monkeypatch.setattr("songpulse.streaming.jobs.set_file_times", lambda *_: False)
+    landing = scratch_path(spark, "landing")
+    ids = spark.range(0, 60000, 1, 8).withColumn("value", F.sha2(F.col("id").cast("string"), 256))
+    size = F.when(F.col("id") % 1000 == 7, F.lit(-2)).when(F.col("id") % 1000 == 8, F.lit(11)).when(F.col("id") % 1000 != 9, F.lit(3))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        landed = streaming.land_in_order(ids.withColumn("file", size), landing, "file")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(landed) == 4 and landed[2] > 2  # NULL, -2, 3, 11
+    times = _times(spark, landing)
+    assert len(times) == 4 and all(max(a) < min(b) for a, b in zip(times, times[1:]))
+    assert [spark.read.text(f"{landing}/{i:06d}").count() for i in range(4)] == [60, 60, 59820, 60]
+    assert spark.read.text(f"{landing}/*").select("value").exceptAll(ids.select("value")).count() == 0
+
+
+def test_batches_over_landed_folders_are_bounded():
+    assert streaming.files_per_batch([]) == 1
+    assert streaming.files_per_batch([1] * 7) == 1
+    assert streaming.files_per_batch([2, 5, 4]) == 5
+    assert -(-700 // streaming.files_per_batch([1] * 700)) <= 32
+
+
+def test_batches_that_end_within_a_folder_lose_no_late_post(spark):
+    """Hours as in ``test_state_of_closed_hours_goes``, in folders of several files, some of them in one batch."""
+    cat = spark.createDataFrame([(1, "a", "b", "G", 1.0)], CAT)
+    rows = [(f, LINE % (1000000 + h * 3600)) for h in range(24) for f in (h // 4, h // 4 + h % 2)] * 50
+    lines = spark.createDataFrame(rows, "file int, value string").repartition(4)
+    got = []
+    for per_batch in (2, 5):
+        landing, sink, ckpt = scratch_path(spark, "landing"), scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")
+        try:
+            assert max(streaming.land_in_order(lines, landing, "file")) > 1
+        finally:
+            spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        streaming.stream_genre_hour(
+            spark, f"{landing}/*", sink, ckpt, cat, max_files=per_batch, output_mode="append", watermark="8 hours", state_partitions=2
+        )
+        got.append(_rows(spark.read.parquet(sink)))
+    assert got[0] == got[1] and [r[2] for r in got[0]] == [100] * len(got[0]) and len(got[0]) >= 14
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_state_stores_are_fewer_where_the_catalogue_is_broadcast(spark, broadcast):
+    landing, sink, ckpt = scratch_path(spark, "landing"), scratch_path(spark, "sink"), scratch_path(spark, "ckpt")
+    _land(spark, landing, "f0", [LINE % 5])
+    cat = spark.createDataFrame([(1, "a", "b", "G", 1.0)], CAT)
+    if not broadcast:
+        spark.conf.set("songpulse.broadcast.maxBytes", "0")
+    try:
+        q = streaming.stream_genre_hour(spark, f"{landing}/*", sink, ckpt, cat, state_partitions=3)
+    finally:
+        spark.conf.unset("songpulse.broadcast.maxBytes")
+    stores = {p["stateOperators"][0]["numShufflePartitions"] for p in q.recentProgress if p["stateOperators"]}
+    assert stores == {3 if broadcast else int(spark.conf.get("spark.sql.shuffle.partitions"))}
+    assert _rows(streaming.read_genre_hour(spark, sink)) == [("G", "01 Jan 1970-00", 1)]
+
+
+def test_lookup_tables_of_repeated_names_are_measured_as_they_are(spark):
+    """A large catalogue of few names has small lookup tables: a stream broadcasts them."""
+    cat = spark.range(20000).selectExpr("id", "'a' || id % 5", "'b' || id % 3", "'G'", "1.0D").toDF("track_id", "song", "artist", "genre", "popularity")
+    bound = catalog_index(cat, song_only=False).n_bytes
+    made = catalog_index(cat, materialize=True, song_only=False)
+    assert made.hits.count() == 15 and made.tops.count() == 3
+    assert 15 * 128 < made.n_bytes < 10000 < bound
+    assert catalog_index(cat.where("track_id < 0"), materialize=True).n_bytes == 0
+
+
 # ---- admission by records -----------------------------------------------------------------------
 
 
